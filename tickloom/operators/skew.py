@@ -1,0 +1,101 @@
+"""Splitting groups too large for one task.
+
+A single series may hold a large share of all points. Operators that need the
+points of a series in order first cut such series into time slices, work per
+slice, and combine what the slices contribute. The cuts depend only on the data
+(counts, first and last ticks), so a recomputed task makes the same ones.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tickloom.functions.timeunits import floor_div
+from tickloom.session import materialise
+
+# Points a task may hold as one group.
+DEFAULT_GROUP_LIMIT = 5_000_000
+
+_MAX_LEVELS = 8
+
+
+def split_by_time(
+    points: DataFrame, keys: list[str], limit: int = DEFAULT_GROUP_LIMIT
+) -> tuple[DataFrame, list[str]]:
+    """Cut groups with more than ``limit`` rows into slices of equal duration.
+
+    Returns the points with slice columns, and their names, coarsest first;
+    slices of a group are numbered in time order and rows of other groups have
+    slice -1. There are no slice columns when no group is too large. A slice that
+    is itself too large is cut again, so unevenly spread ticks are handled; only
+    points sharing one tick stay together.
+    """
+    slices: list[str] = []
+    candidates = points
+    for level in range(_MAX_LEVELS):
+        sizes = candidates.groupBy(*keys, *slices).agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("ts").alias("_low"), F.max("ts").alias("_high")
+        )
+        wanted = F.ceil(F.col("_rows") / F.lit(limit)) + 1
+        # At most one row per ``limit`` points.
+        large = materialise(
+            sizes.where((F.col("_rows") > limit) & (F.col("_high") > F.col("_low"))).select(
+                *keys,
+                *slices,
+                "_low",
+                F.greatest(
+                    F.ceil((F.col("_high") - F.col("_low") + 1) / wanted).cast("bigint"), F.lit(1).cast("bigint")
+                ).alias("_width"),
+            )
+        )
+        if large.isEmpty():
+            break
+        name = f"_slice{level}"
+        points = (
+            points.join(large, [*keys, *slices], "left")
+            .withColumn(name, F.coalesce(floor_div(F.col("ts") - F.col("_low"), F.col("_width")), F.lit(-1)))
+            .drop("_low", "_width")
+        )
+        slices = [*slices, name]
+        candidates = points.where(F.col(name) >= 0)
+    return points, slices
+
+
+def with_rank(
+    points: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    name: str = "rank",
+    descending: bool = False,
+    limit: int = DEFAULT_GROUP_LIMIT,
+) -> DataFrame:
+    """Number the points of every group from 1 in tick order.
+
+    ``order`` breaks ties between equal ticks. Large groups are numbered slice
+    by slice, each starting after the points of the slices before it.
+    """
+    first = F.col("ts").desc() if descending else F.col("ts").asc()
+    sliced, slices = split_by_time(points, keys, limit)
+    inside = Window.partitionBy(*keys, *slices).orderBy(first, *order)
+    if not slices:
+        return sliced.withColumn(name, F.row_number().over(inside).cast("bigint"))
+
+    direction = [F.col(s).desc() if descending else F.col(s).asc() for s in slices]
+    before = (
+        Window.partitionBy(*keys).orderBy(*direction).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = materialise(
+        sliced.where(F.col(slices[0]) >= 0)
+        .groupBy(*keys, *slices)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*keys, *slices, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    )
+    # Without the explicit repartition the window would reuse a partitioning by
+    # ``keys`` alone and bring a large group back together.
+    return (
+        sliced.join(starts, [*keys, *slices], "left")
+        .repartition(*keys, *slices)
+        .withColumn(name, F.row_number().over(inside) + F.coalesce("_start", F.lit(0)))
+        .drop("_start", *slices)
+    )

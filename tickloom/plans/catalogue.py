@@ -82,10 +82,9 @@ from tickloom.plans.workflows import merge_text, push_points, scan_to_sequence_f
 from tickloom.session import new_shared_path
 from tickloom.sources.files import archive_entries, read_whole_files, whole_file_ingest
 from tickloom.sources.keyvalue import (
-    BYTES_WRITABLE,
-    NULL_WRITABLE,
     SEQUENCE_INPUT,
     SEQUENCE_OUTPUT,
+    TEXT_WRITABLE,
     bytes_sink,
     hadoop_sink,
     hadoop_source,
@@ -1058,13 +1057,14 @@ def kv_sink_query(spark: SparkSession, folder: str) -> DataFrame:
     return kv_source(spark, path, settings, "text", schema="key bigint, value string")
 
 
-@query("select event_id as key, props as value from events")
+@query("select event_id::varchar as key, props as value from events")
 def hadoop_kv(spark: SparkSession, folder: str) -> DataFrame:
     path = new_shared_path(spark, "pairs")
-    pairs = read_table(spark, folder, "events").select("event_id", "props")
-    key, value = "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text"
-    hadoop_sink(pairs, path, SEQUENCE_OUTPUT, key, value)
-    return hadoop_source(spark, path, SEQUENCE_INPUT, key, value, "key bigint, value string")
+    pairs = read_table(spark, folder, "events").select(F.col("event_id").cast("string"), "props")
+    hadoop_sink(pairs, path, SEQUENCE_OUTPUT, TEXT_WRITABLE, TEXT_WRITABLE)
+    return hadoop_source(
+        spark, path, SEQUENCE_INPUT, TEXT_WRITABLE, TEXT_WRITABLE, "key string, value string"
+    )
 
 
 @query(

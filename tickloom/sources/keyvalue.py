@@ -15,6 +15,7 @@ SEQUENCE_INPUT = "org.apache.hadoop.mapreduce.lib.input.SequenceFileInputFormat"
 SEQUENCE_OUTPUT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat"
 NULL_WRITABLE = "org.apache.hadoop.io.NullWritable"
 BYTES_WRITABLE = "org.apache.hadoop.io.BytesWritable"
+TEXT_WRITABLE = "org.apache.hadoop.io.Text"
 
 
 def resolve_profile(settings: Mapping[str, str], suffix: str = "") -> dict[str, str]:
@@ -98,9 +99,16 @@ def hadoop_sink(
     conf: Mapping[str, str] | None = None,
     suffix: str = "",
 ) -> None:
-    """Write two-column rows with a Hadoop output format."""
+    """Write two-column rows with a Hadoop output format.
+
+    Text, binary, double and boolean columns are taken. Whole numbers must be cast
+    first, as their record class would depend on their size.
+    """
     if len(pairs.columns) != 2:
         raise ValueError(f"expected 2 columns, got {len(pairs.columns)}")
+    for field in pairs.schema:
+        if isinstance(field.dataType, T.IntegralType):
+            raise ValueError(f"cast {field.name!r} to text or double before writing")
     pairs.rdd.map(lambda row: (row[0], row[1])).saveAsNewAPIHadoopFile(
         path, output_format, key_class, value_class, conf=resolve_profile(conf or {}, suffix)
     )

@@ -1,0 +1,307 @@
+"""Packing, ranking of large series, chunks, joins and bags."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.model import BLOCKS_SCHEMA, SERIES_KEY, with_selector, with_series_key
+from tickloom.operators.aggregates import (
+    bag_by_key,
+    block_count,
+    extreme_series,
+    is_block_empty,
+    series_bounds,
+    series_count,
+    top_one,
+)
+from tickloom.operators.blocks import (
+    block_metadata,
+    chunk_blocks,
+    join_key_value,
+    load_blocks,
+    merge_series,
+    pack_points,
+    point_of,
+    split_key_value,
+    unpack_points,
+)
+from tickloom.operators.chunks import chunk_fuse, time_chunk
+from tickloom.operators.dump import POINT_ORDER
+from tickloom.operators.joins import (
+    bounds_cogroup,
+    cogroup_bags,
+    group_assignment,
+    partition_join,
+)
+from tickloom.operators.skew import split_by_time, with_rank
+
+from fixtures import frame, point, same_points
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the points in one series, most of them close together."""
+    rng = random.Random(7)
+    ticks = [0, *(10**12 + rng.randrange(5000) for _ in range(300))]
+    points = [point("hot", {"k": "v"}, ts=t, v_long=i) for i, t in enumerate(ticks)]
+    points += [point(f"c{i % 60}", {"k": str(i % 3)}, ts=rng.randrange(100), v_long=i) for i in range(600)]
+    return frame(spark, *points).repartition(4).cache()
+
+
+def order():
+    return [F.col(name) for name in POINT_ORDER]
+
+
+def place_of_every_point(points, descending=False):
+    by_series = {}
+    for p in points.collect():
+        key = (p["class"], tuple(sorted(p["labels"].items())))
+        by_series.setdefault(key, []).append((p["ts"], p["v_long"]))
+    places = {}
+    for key, values in by_series.items():
+        ordered = sorted(values, key=lambda v: (-v[0] if descending else v[0], v[1]))
+        places.update({(key[0], v): place for place, v in enumerate(ordered, 1)})
+    return places
+
+
+@pytest.mark.parametrize("limit", [5, 40, 10_000])
+@pytest.mark.parametrize("descending", [False, True])
+def test_rank_is_the_same_with_and_without_slices(skewed, limit, descending):
+    keyed = with_series_key(skewed)
+    ranked = with_rank(keyed, SERIES_KEY, order(), descending=descending, limit=limit)
+    got = {(r["class"], (r["ts"], r["v_long"])): r["rank"] for r in ranked.collect()}
+    assert got == place_of_every_point(skewed, descending)
+
+
+def test_slices_bound_every_group(skewed):
+    sliced, slices = split_by_time(with_series_key(skewed), SERIES_KEY, 40)
+    assert len(slices) >= 2
+    groups = sliced.groupBy(*SERIES_KEY, *slices).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ts").alias("ticks")
+    )
+    assert groups.where("n > 40 and ticks > 1").isEmpty()
+    assert sliced.count() == skewed.count()
+
+
+def test_one_tick_cannot_be_sliced_but_is_ranked(spark):
+    points = frame(spark, *[point(ts=5, v_long=i) for i in range(20)], point(ts=6, v_long=99))
+    ranked = with_rank(with_series_key(points), SERIES_KEY, order(), limit=3)
+    assert sorted((r["rank"], r["v_long"]) for r in ranked.collect()) == [
+        *((i + 1, i) for i in range(20)),
+        (21, 99),
+    ]
+
+
+@pytest.mark.parametrize("group_limit", [25, 10_000])
+def test_unpack_undoes_pack(skewed, group_limit):
+    blocks = pack_points(skewed, max_points=7, group_limit=group_limit)
+    same_points(unpack_points(blocks), skewed)
+    rows = blocks.orderBy(*SERIES_KEY, "block_no").collect()
+    by_series = {}
+    for row in rows:
+        assert row["count"] == len(row["points"]) <= 7
+        assert [p["ts"] for p in row["points"]] == sorted(p["ts"] for p in row["points"])
+        by_series.setdefault((row["class"], row["label_key"]), []).append(row)
+    for series in by_series.values():
+        assert [r["block_no"] for r in series] == list(range(len(series)))
+        assert all(r["count"] == 7 for r in series[:-1])
+        for earlier, later in zip(series, series[1:]):
+            assert earlier["points"][-1]["ts"] <= later["points"][0]["ts"]
+
+
+def test_blocks_have_the_declared_columns(spark):
+    blocks = pack_points(frame(spark, point(v_long=1)))
+    declared = {f.name: f.dataType.simpleString() for f in BLOCKS_SCHEMA}
+    assert {f.name: f.dataType.simpleString() for f in blocks.schema if f.name in declared} == declared
+    with pytest.raises(ValueError):
+        pack_points(blocks, max_points=0)
+
+
+def test_point_forms():
+    assert list(point_of("t", "v")) == ["ts", "value"]
+    assert list(point_of("t", "e", "v")) == ["ts", "elev", "value"]
+    assert list(point_of("t", "a", "o", "v")) == ["ts", "lat", "lon", "value"]
+    assert list(point_of("t", "a", "o", "e", "v")) == ["ts", "lat", "lon", "elev", "value"]
+    for wrong in (("t",), tuple("abcdef")):
+        with pytest.raises(ValueError):
+            point_of(*wrong)
+
+
+def test_arity(spark):
+    points = frame(
+        spark,
+        point(ts=2, v_long=1),
+        point(ts=3, elev=1, v_long=1),
+        point(ts=4, lat=1.0, lon=1.0, v_long=1),
+        point(ts=5, lat=1.0, lon=1.0, elev=1, v_long=1),
+    )
+    rows = unpack_points(pack_points(points)).collect()
+    assert all(r["arity"] == r["ts"] for r in rows) and len(rows) == 4
+
+
+def stored_blocks(spark):
+    """Blocks whose header count and points disagree in every way."""
+    one = "named_struct('ts',%dL,'lat',cast(null as double),'lon',cast(null as double),'elev',cast(null as bigint),'v_long',1L,'v_double',cast(null as double),'v_bool',cast(null as boolean),'v_str',cast(null as string))"
+    pts = lambda *ticks: f"array({','.join(one % t for t in ticks)})"
+    none = f"filter({pts(1)}, p -> false)"
+    head = "cast(0 as bigint) base, cast(0 as bigint) bucketcount, cast(0 as bigint) bucketspan, cast(0 as bigint) lastbucket"
+    rows = [
+        ("'unset header'", "map('k','v')", "map('a','1')", 0, pts(1, 2, 3)),
+        ("'empty'", "map('k','v')", "map('a','1')", 0, none),
+        ("'header only'", "map('k','v')", "map('a','1')", 4, none),
+        ("cast(null as string)", "cast(null as map<string,string>)", "cast(null as map<string,string>)", 1, pts(9)),
+    ]
+    parts = [
+        f"select {c} class, {l} labels, {a} attributes, {head}, cast({n} as bigint) count, {p} points"
+        for c, l, a, n, p in rows
+    ]
+    return spark.sql(" union all ".join(parts))
+
+
+def test_count_and_emptiness_agree(spark):
+    rows = stored_blocks(spark).select("class", block_count().alias("n"), is_block_empty().alias("empty"))
+    assert {r["class"]: (r["n"], r["empty"]) for r in rows.collect()} == {
+        "unset header": (3, False),
+        "empty": (0, True),
+        "header only": (4, False),
+        None: (1, False),
+    }
+
+
+def test_metadata_is_never_null(spark):
+    row = block_metadata(stored_blocks(spark)).where("class = ''").first()
+    assert (row["labels"], row["attributes"], row["count"]) == ({}, {}, 1)
+
+
+def test_merge_keeps_equal_points_and_empty_series(spark):
+    a = frame(spark, *[point("m", {"k": "v"}, ts=t, v_long=1, attributes={"from": "a"}) for t in (5, 6, 6)])
+    b = frame(spark, *[point("m", {"k": "v"}, ts=t, v_long=1, attributes={"from": "b"}) for t in (1, 6)])
+    empty = stored_blocks(spark).where("class = 'empty'")
+    blocks = pack_points(a, 2).unionByName(pack_points(b, 2)).drop("label_key", "block_no")
+    merged = {r["class"]: r for r in merge_series(blocks.unionByName(empty)).collect()}
+    assert [p["ts"] for p in merged["m"]["points"]] == [1, 5, 6, 6, 6]
+    assert merged["m"]["attributes"] == {"from": "b"} and merged["m"]["count"] == 5
+    assert merged["empty"]["points"] == [] and merged["empty"]["attributes"] == {"a": "1"}
+
+
+@pytest.mark.parametrize("group_limit", [25, 10_000])
+def test_merge_of_large_series(skewed, group_limit):
+    blocks = pack_points(skewed.where("v_long % 2 = 0"), 10).unionByName(
+        pack_points(skewed.where("v_long % 2 = 1"), 10)
+    )
+    merged = merge_series(blocks, 50, group_limit)
+    same_points(unpack_points(merged), skewed)
+    assert merged.where("class = 'hot'").count() == 7
+
+
+def test_split_and_join_of_blocks(skewed):
+    blocks = pack_points(skewed, max_points=20)
+    keys, payloads = split_key_value(blocks)
+    assert "points" not in keys.columns
+    same_points(unpack_points(join_key_value(keys, payloads)), skewed)
+
+
+def test_load_modes(spark):
+    points = frame(spark, *[point("c", {"k": "v"}, ts=t, v_long=t) for t in (-11, -10, -1, 0, 9, 10, 25)])
+    blocks = pack_points(points)
+    normal = load_blocks(blocks, "NORMAL").first()
+    assert len(normal["encoded"]["points"]) == 7
+    light = load_blocks(blocks, "light", gen_ids=True)
+    assert light.columns == ["className", "labels", "classIdForJoin", "labelsIdForJoin", "encoded"]
+    assert "points" not in light.first()["encoded"]
+    chunks = load_blocks(blocks, "Chunk", gen_ids=True, clip_from=-10, clip_to=10, chunk_width=10)
+    got = {r["chunkId"]: [p["ts"] for p in r["encoded"]["points"]] for r in chunks.collect()}
+    assert got == {"-1": [-10, -1], "0": [0, 9], "1": [10]}
+    assert chunks.select("labelsIdForJoin").distinct().count() == 1
+    assert chunks.first()["labelsIdForJoin"] == light.first()["labelsIdForJoin"]
+    for wrong in ({"mode": "other"}, {"mode": "chunk"}, {"mode": "chunk", "clip_from": 0, "clip_to": 1}):
+        with pytest.raises(ValueError):
+            load_blocks(blocks, **wrong)
+
+
+def test_block_chunks_equal_point_chunks(skewed):
+    width, low, high = 17, 3, 10**12 + 900
+    by_block = unpack_points(chunk_blocks(pack_points(skewed, 13), low, high, width).drop("label_key"))
+    by_point = time_chunk(skewed, low, high, width)
+    same_points(by_block.drop("arity"), by_point.drop("base_key"))
+
+
+def test_fuse_undoes_chunk(skewed):
+    chunks = time_chunk(skewed, 10, 10**12 + 2000, 50)
+    clip = skewed.where(F.col("ts").between(10, 10**12 + 2000))
+    same_points(chunk_fuse(chunks), clip)
+    same_points(chunk_fuse(chunks.drop("base_key")), clip)
+    with pytest.raises(ValueError):
+        time_chunk(skewed, 0, 1, 0)
+
+
+def test_chunk_edges_and_negative_ticks(spark):
+    points = frame(spark, *[point(labels={"chunkId": "old", "k": "v"}, ts=t, v_long=t) for t in (-20, -11, -10, -1, 0, 10, 20)])
+    rows = time_chunk(points, -11, 20, 10).collect()
+    assert {r["ts"]: r["labels"]["chunkId"] for r in rows} == {
+        -11: "-2", -10: "-1", -1: "-1", 0: "0", 10: "1", 20: "2",
+    }
+    assert all(r["labels"]["k"] == "v" for r in rows)
+
+
+def test_bounds_and_extremes(spark):
+    points = frame(
+        spark,
+        *[point("b", ts=t, v_long=1) for t in (1, 50)],
+        *[point("a", ts=t, v_long=1) for t in (1, 50)],
+        point("z", ts=20, v_long=1),
+    )
+    assert {r["class"]: r["n_points"] for r in series_count(points).collect()} == {"a": 2, "b": 2, "z": 1}
+    earliest, latest = extreme_series(series_bounds(points))
+    assert earliest.first()["class"] == latest.first()["class"] == "a"
+    one = bounds_cogroup(series_bounds(points)).collect()
+    assert [(r["first_tick"], r["last_tick"]) for r in one] == [(1, 50)]
+    later = points.union(frame(spark, point("z", ts=60, v_long=1)))
+    two = bounds_cogroup(series_bounds(later)).collect()
+    assert sorted(((r["first_tick"], r["last_tick"]) for r in two), key=repr) == [(1, None), (None, 60)]
+    best = top_one(with_selector(series_bounds(later)), [], ["last_tick", "selector"], descending=True)
+    assert best.first()["class"] == "z"
+
+
+def test_group_join(skewed):
+    assignment = group_assignment(skewed, ["k"])
+    assert assignment.count() == series_count(skewed).count()
+    joined = partition_join(skewed, assignment)
+    assert joined.count() == skewed.count()
+    by_label = joined.select("group_id", F.col("labels")["k"].alias("k")).distinct()
+    assert by_label.count() == by_label.select("k").distinct().count() == 4
+
+
+def key_values(df, bag):
+    return sorted((r["k"], e["v"]) for r in df.collect() for e in r[bag])
+
+
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_bags_of_large_keys_are_spread(spark, limit):
+    rows = [(1, 5)] * 200 + [(k, v) for k in (2, 3) for v in range(4)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(8)
+    bags = bag_by_key(df, ["k"], limit=limit)
+    assert key_values(bags, "bag") == sorted(rows)
+    parts = {r["k"]: r["count"] for r in bags.groupBy("k").count().collect()}
+    assert parts[2] == parts[3] == 1
+    assert parts[1] == 1 if limit == 1000 else parts[1] > 3
+
+
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_cogroup_keeps_every_row_once(spark, limit):
+    left = [(1, v) for v in range(50)] + [(2, 0)]
+    right = [(1, v) for v in range(30)] + [(3, 7)]
+    frames = [spark.createDataFrame(rows, "k int, v int").repartition(4) for rows in (left, right)]
+    joined = cogroup_bags(*frames, ["k"], limit=limit)
+    assert key_values(joined, "left_bag") == sorted(left)
+    assert key_values(joined, "right_bag") == sorted(right)
+    sizes = {r["k"]: (len(r["left_bag"]), len(r["right_bag"])) for r in joined.collect() if r["k"] != 1}
+    assert sizes == {2: (1, 0), 3: (0, 1)}
+
+
+def test_attributes_are_no_part_of_the_key(spark):
+    points = frame(spark, point("c", {"k": "v"}, ts=1, v_long=1, attributes={"a": "1"}), point("c", {"k": "v"}, ts=2, v_long=1))
+    blocks = pack_points(points)
+    assert blocks.count() == 1
+    assert blocks.first()["attributes"] == {"a": "1"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed by the text format: a decimal number and the parts of a line. The brace
@@ -65,17 +65,18 @@ def continuation_line() -> Column:
     return F.concat(F.lit("="), position_text(), F.lit(" "), value_text())
 
 
-def line_parts(line: Column) -> Column:
-    """Parts of a line as an array, or null when the line is malformed.
+def with_line_parts(df: DataFrame, line: str, name: str) -> DataFrame:
+    """Add the parts of a line as an array, null when the line is malformed.
 
     One pattern match per line: the parts are rewritten with a separator that
-    the pattern does not accept inside them, then split.
+    the pattern does not accept inside them, then split. They pass through a
+    one-element ``explode`` so that conditions on them, also those a join adds,
+    are evaluated on the parts and do not repeat the match.
     """
-    marked = F.regexp_replace(
-        F.trim(line), LINE_PATTERN, _PART_MARK.join(f"${n}" for n in range(1, len(LINE_PARTS) + 1))
-    )
-    parts = F.split(marked, _PART_MARK, len(LINE_PARTS))
-    return F.when(F.size(parts) == len(LINE_PARTS), parts)
+    rewritten = _PART_MARK.join(f"${n}" for n in range(1, len(LINE_PARTS) + 1))
+    marked = F.regexp_replace(F.trim(F.col(line)), LINE_PATTERN, rewritten)
+    split = df.withColumn(name, F.explode(F.array(F.split(marked, _PART_MARK, len(LINE_PARTS)))))
+    return split.withColumn(name, F.when(F.size(name) == len(LINE_PARTS), F.col(name)))
 
 
 def parsed_value(text: Column) -> dict[str, Column]:

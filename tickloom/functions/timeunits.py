@@ -38,8 +38,11 @@ def ticks_of_timestamp(timestamp: Column, unit: str = "us") -> Column:
 
 def ticks_of_local_timestamp(timestamp: Column, unit: str = "us") -> Column:
     """Ticks of a zoneless timestamp read as UTC, whatever the session zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return convert_ticks(F.timestamp_diff("MICROSECOND", epoch, timestamp), "us", unit)
+    days = F.unix_date(timestamp.cast("date")).cast("bigint")
+    minutes = (F.hour(timestamp) * 60 + F.minute(timestamp)).cast("bigint")
+    seconds = F.extract(F.lit("SECOND"), timestamp)
+    micros = (seconds * 1_000_000).cast("bigint")
+    return convert_ticks(days * 86_400_000_000 + minutes * 60_000_000 + micros, "us", unit)
 
 
 def timestamp_of_ticks(ticks: Column, unit: str = "us") -> Column:

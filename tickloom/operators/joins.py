@@ -47,13 +47,15 @@ def cogroup_bags(
 def group_assignment(series: DataFrame, by_labels: Iterable[str]) -> DataFrame:
     """Group id of every series, from the values of chosen labels.
 
-    ``series`` is any table with metadata, for instance blocks loaded light.
+    ``series`` is any table with metadata: points, blocks, or blocks loaded light.
     """
     chosen = {name: F.coalesce(F.col("labels").getItem(name), F.lit("")) for name in by_labels}
-    named = with_selector(with_series_ids(series))
-    return named.select(
-        *ID_KEY, *SERIES_KEY, text_id(known_label_text(chosen)).alias("group_id")
-    ).dropDuplicates(SERIES_KEY)
+    listed = with_series_key(series).select(
+        *SERIES_KEY, known_label_text(chosen).alias("_group")
+    ).distinct()
+    return with_selector(with_series_ids(listed)).select(
+        *ID_KEY, *SERIES_KEY, text_id("_group").alias("group_id")
+    )
 
 
 def partition_join(points: DataFrame, assignment: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.text import (
     LINE_PARTS,
-    line_parts,
     parsed_labels,
     parsed_value,
     percent_decode,
+    with_line_parts,
 )
 from tickloom.model import POINTS_SCHEMA, VALUE_FIELDS, empty_string_map
 
@@ -20,7 +20,7 @@ LINE_PLACE = ["file", "block_start", "place"]
 
 def _typed(lines: DataFrame, column: str) -> DataFrame:
     """Line columns plus ``_mark``, ``_class``, ``_labels`` and the point columns."""
-    split = lines.withColumn("_parts", line_parts(F.col(column)))
+    split = with_line_parts(lines, column, "_parts")
 
     def part(name: str) -> Column:
         return F.nullif(F.col("_parts")[LINE_PARTS.index(name)], F.lit(""))
@@ -124,7 +124,6 @@ def rejected_lines(parsed: DataFrame) -> DataFrame:
 def strict_points(parsed: DataFrame) -> DataFrame:
     """Points of all lines; the query fails on the first line with a problem."""
     failure = F.raise_error(F.concat(F.col("problem"), F.lit(": "), F.col("line")))
-    checked = parsed.withColumn(
-        "ts", F.when(F.col("problem").isNull(), F.col("ts")).otherwise(failure.cast("bigint"))
-    )
-    return checked.drop("line", "problem", *LINE_PLACE)
+    # As a condition the check stays whatever columns are used later.
+    fine = F.when(F.col("problem").isNull(), True).otherwise(failure.cast("boolean"))
+    return parsed.where(fine).drop("line", "problem", *LINE_PLACE)

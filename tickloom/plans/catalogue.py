@@ -332,7 +332,7 @@ def archive_entry_ingest(spark: SparkSession, folder: str) -> DataFrame:
             contents = []
             for text, lang in zip(batch["text"], batch["lang"]):
                 buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
                     archive.writestr("text.txt", text)
                     archive.writestr("about/", "")
                     archive.writestr("about/lang", lang)
@@ -772,7 +772,9 @@ def merge_series_query(spark: SparkSession, folder: str) -> DataFrame:
             "attributes", F.create_map(F.lit("half"), F.lit(str(half)))
         )
         halves.append(pack_points(rows, max_points=3))
-    merged = with_selector(merge_series(halves[0].unionByName(halves[1])))
+    path = new_shared_path(spark, "blocks")
+    write_blocks(halves[0].unionByName(halves[1]), path)
+    merged = with_selector(merge_series(read_blocks(spark, path)))
     return merged.select(
         "selector",
         F.col("count").alias("n_points"),
@@ -880,10 +882,9 @@ SHARD_ID = _ID.format("'shard=' || shard")
 )
 def partition_join_query(spark: SparkSession, folder: str) -> DataFrame:
     points = event_points(spark, folder)
-    series = points.select("class", "label_key", "labels").dropDuplicates(SERIES_KEY)
     return reduce_by_group(
         points,
-        group_assignment(series, ["shard"]),
+        group_assignment(points, ["shard"]),
         partial={
             "n": F.count(F.lit(1)),
             "first": F.min("ts"),
@@ -902,8 +903,7 @@ def partition_join_query(spark: SparkSession, folder: str) -> DataFrame:
 @query(P + f"select event_id, selector, {SHARD_ID} as group_id from p")
 def partition_join_points(spark: SparkSession, folder: str) -> DataFrame:
     points = event_points(spark, folder)
-    series = points.select("class", "label_key", "labels").dropDuplicates(SERIES_KEY)
-    joined = partition_join(points, group_assignment(series, ["shard"]))
+    joined = partition_join(points, group_assignment(points, ["shard"]))
     return with_selector(joined).select("event_id", "selector", "group_id")
 
 
@@ -1144,12 +1144,15 @@ def map_rows_query(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(P + "select class, lk as label_key, max(v_double) - min(v_double) as spread from p group by 1, 2")
 def apply_per_series_query(spark: SparkSession, folder: str) -> DataFrame:
+    def row(part: pd.DataFrame, low: float, high: float) -> pd.DataFrame:
+        key = [part[name].iat[0] for name in SERIES_KEY]
+        return pd.DataFrame([[*key, low, high]], columns=[*SERIES_KEY, "low", "high"])
+
     def extremes(points: pd.DataFrame) -> pd.DataFrame:
-        ends = points.groupby(SERIES_KEY, as_index=False)["v_double"].agg(["min", "max"])
-        return ends.rename(columns={"min": "low", "max": "high"})
+        return row(points, points["v_double"].min(), points["v_double"].max())
 
     def widest(parts: pd.DataFrame) -> pd.DataFrame:
-        return parts.groupby(SERIES_KEY, as_index=False).agg({"low": "min", "high": "max"})
+        return row(parts, parts["low"].min(), parts["high"].max())
 
     points = event_points(spark, folder).select(*SERIES_KEY, "ts", "v_double")
     schema = "class string, label_key string, low double, high double"

@@ -10,6 +10,7 @@ from tickloom.operators.aggregates import series_bounds
 from tickloom.operators.dump import dump_text
 from tickloom.operators.joins import bounds_cogroup
 from tickloom.operators.parse import parse_lines, parse_stream, strict_points
+from tickloom.session import materialise
 from tickloom.sources.keyvalue import sequence_file_sink
 from tickloom.sources.series import series_scan
 from tickloom.sources.text import read_lines, write_update_stream
@@ -19,10 +20,11 @@ def merge_text(lines: DataFrame) -> DataFrame:
     """Lines of any series in any order, as lines that name each series once.
 
     In tall form the merge of equal selectors is the grouping by series key that
-    the dump makes, so points are never gathered into blocks.
+    the dump makes, so points are never gathered into blocks. The parsed points
+    are written once, as the dump reads them more than once.
     """
-    points = strict_points(parse_lines(lines))
-    return dump_text(with_series_key(points), optimize=True)
+    points = materialise(with_series_key(strict_points(parse_lines(lines))))
+    return dump_text(points, optimize=True)
 
 
 def time_window(points: DataFrame) -> DataFrame:

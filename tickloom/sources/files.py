@@ -8,11 +8,12 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of archive entries handed to Spark at once.
+# Archive entries handed to Spark at once.
 _BATCH_BYTES = 32 * 1024 * 1024
+_BATCH_ROWS = 10_000
 
 
 def read_whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -29,38 +30,32 @@ def whole_file_ingest(spark: SparkSession, path_list: DataFrame, folder: str | l
     to the list, and a listed file that is not there fails the query.
     """
     tokens = F.split(F.trim("line"), r"\s+")
-    listed = path_list.where(F.trim("line") != "").select(
-        "line",
-        tokens.alias("tokens"),
-        F.when(F.size(tokens) <= 2, F.size(tokens))
-        .otherwise(F.raise_error(F.concat(F.lit("not one or two paths: "), "line")).cast("int"))
-        .alias("n_paths"),
+    too_many = F.raise_error(F.concat(F.lit("not one or two paths: "), F.col("line")))
+    listed = path_list.where(F.trim("line") != "").withColumn("tokens", tokens)
+    wanted = listed.where(
+        F.when(F.size("tokens") <= 2, True).otherwise(too_many.cast("boolean"))
+    ).select(
+        F.when(F.size("tokens") == 2, _plain_path(F.col("tokens")[0])).alias("key_path"),
+        _plain_path(F.element_at("tokens", -1)).alias("value_path"),
     )
-    wanted = listed.select(
-        "n_paths",
-        F.when(F.col("n_paths") == 2, F.col("tokens")[0]).alias("key_path"),
-        F.element_at("tokens", F.col("n_paths")).alias("value_path"),
-    )
-    files = read_whole_files(spark, folder).select(_plain_path("path").alias("path"), "content")
-    keys = files.select(F.col("path").alias("key_path"), F.col("content").alias("key_bytes"))
+    files = read_whole_files(spark, folder).select(_plain_path(F.col("path")).alias("path"), "content")
+    keys = files.select(F.col("path").alias("key_path"), F.col("content").alias("key"))
     values = files.select(F.col("path").alias("value_path"), F.col("content").alias("value"))
-    found = (
-        wanted.withColumns({c: _plain_path(c) for c in ("key_path", "value_path")})
-        .join(values, "value_path", "left")
-        .join(keys, "key_path", "left")
+    found = wanted.join(values, "value_path", "left").join(keys, "key_path", "left")
+    missing = (
+        F.when(F.col("value").isNull(), F.col("value_path"))
+        .when(F.col("key_path").isNotNull() & F.col("key").isNull(), F.col("key_path"))
     )
+    absent = F.raise_error(F.concat(F.lit("file not found: "), missing))
     base_name = F.element_at(F.split("value_path", "/"), -1).cast("binary")
-    key = F.when(F.col("n_paths") == 1, base_name).otherwise(F.col("key_bytes"))
-    missing = F.raise_error(F.concat(F.lit("file not found: "), F.col("value_path"))).cast("binary")
-    missing_key = F.raise_error(F.concat(F.lit("file not found: "), F.col("key_path"))).cast("binary")
-    return found.select(
-        F.coalesce(key, missing_key).alias("key"), F.coalesce("value", missing).alias("value")
-    )
+    return found.where(
+        F.when(missing.isNull(), True).otherwise(absent.cast("boolean"))
+    ).select(F.coalesce("key", base_name).alias("key"), "value")
 
 
-def _plain_path(column: str):
+def _plain_path(path: Column) -> Column:
     """A path without its scheme, so that listed and read paths compare."""
-    return F.regexp_replace(column, r"^[a-z0-9]+:(?://[^/]*)?(?=/)", "")
+    return F.regexp_replace(path, r"^[a-z0-9]+:(?://[^/]*)?(?=/)", "")
 
 
 def ingest_totals(records: DataFrame) -> DataFrame:
@@ -79,10 +74,12 @@ def archive_entries(archives: DataFrame) -> DataFrame:
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys: list[str] = []
+        values: list[bytes] = []
+        held = 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 name = quote(path.rsplit("/", 1)[-1], safe="*-._").replace("~", "%7E")
-                keys, values, held = [], [], 0
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for entry in archive.infolist():
                         if entry.is_dir():
@@ -90,10 +87,10 @@ def archive_entries(archives: DataFrame) -> DataFrame:
                         keys.append(f"{name} {entry.filename}")
                         values.append(archive.read(entry))
                         held += len(values[-1])
-                        if held >= _BATCH_BYTES:
+                        if held >= _BATCH_BYTES or len(keys) >= _BATCH_ROWS:
                             yield pd.DataFrame({"key": keys, "value": values})
                             keys, values, held = [], [], 0
-                if keys:
-                    yield pd.DataFrame({"key": keys, "value": values})
+        if keys:
+            yield pd.DataFrame({"key": keys, "value": values})
 
     return archives.select("path", "content").mapInPandas(read, "key string, value binary")

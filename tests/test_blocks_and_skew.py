@@ -14,6 +14,7 @@ from tickloom.operators.aggregates import (
     series_bounds,
     series_count,
     top_one,
+    window_of_all,
 )
 from tickloom.operators.blocks import (
     block_metadata,
@@ -255,6 +256,9 @@ def test_bounds_and_extremes(spark):
     assert {r["class"]: r["n_points"] for r in series_count(points).collect()} == {"a": 2, "b": 2, "z": 1}
     earliest, latest = extreme_series(series_bounds(points))
     assert earliest.first()["class"] == latest.first()["class"] == "a"
+    both = window_of_all(series_bounds(points)).first()
+    assert both["first_series"]["class"] == both["last_series"]["class"] == "a"
+    assert (both["first_tick"], both["last_tick"]) == (1, 50)
     one = bounds_cogroup(series_bounds(points)).collect()
     assert [(r["first_tick"], r["last_tick"]) for r in one] == [(1, 50)]
     later = points.union(frame(spark, point("z", ts=60, v_long=1)))

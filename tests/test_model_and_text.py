@@ -62,6 +62,13 @@ def test_equal_first_points_give_one_head(spark):
     assert lines == sorted(["1// c{} 5"] + ["=1// 5"] * 3 + ["=1// 9", "=8// 1"])
 
 
+def test_negative_zero_keeps_its_sign(spark):
+    points = frame(spark, point(ts=1, v_double=-0.0), point(ts=1, v_double=0.0), point("d", ts=1, v_double=-0.0))
+    lines = sorted(r["line"] for r in dump_text(points, optimize=True).collect())
+    assert len(lines) == 3 and "1// d{} -0.0" in lines
+    assert sorted(line.rsplit(" ", 1)[1] for line in lines) == ["-0.0", "-0.0", "0.0"]
+
+
 def test_copies_of_heads_come_out_whole_in_steps(spark, monkeypatch):
     monkeypatch.setattr("tickloom.operators.dump._COPIES_PER_STEP", 3)
     copies = frame(spark, *[point(ts=1, v_long=5)] * 10)

@@ -159,7 +159,7 @@ def test_whole_files(spark, tmp_path):
     got = sorted((bytes(r["key"]), bytes(r["value"])) for r in records.collect())
     assert got == [(b"K", b"BBB"), (b"a.bin", b"AA"), (b"b.bin", b"BBB")]
     assert tuple(ingest_totals(records).first()) == (3, 1 + 3 + 5 + 2 + 5 + 3)
-    for line, problem in {"a b c": "not one or two paths", "/no/such": "file not found"}.items():
+    for line, problem in {"a b c": "not one or two paths", "/no/such": "files not found"}.items():
         wrong = spark.createDataFrame([(line,)], "line string")
         with pytest.raises(Exception, match=problem):
             whole_file_ingest(spark, wrong, str(tmp_path)).select("key").collect()

@@ -56,8 +56,24 @@ def top_one(
     return found.select(*keys, "_row.*")
 
 
+def window_of_all(bounds: DataFrame) -> DataFrame:
+    """One row: the first series to start and the last to end, with those ticks.
+
+    Ties go to the smaller class, then the smaller selector.
+    """
+    named = with_selector(bounds)
+    tie = ["class", "selector"]
+    row = F.struct(*[c for c in named.columns if c not in ("first_tick", "last_tick")])
+    return named.agg(
+        F.min_by(row, F.struct("first_tick", *tie)).alias("first_series"),
+        F.min("first_tick").alias("first_tick"),
+        F.min_by(row, F.struct(-F.col("last_tick"), *tie)).alias("last_series"),
+        F.max("last_tick").alias("last_tick"),
+    )
+
+
 def extreme_series(bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The series that starts first and the series that ends last.
+    """The series that starts first and the series that ends last, one row each.
 
     Ties go to the smaller class, then the smaller selector.
     """

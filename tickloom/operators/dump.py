@@ -40,21 +40,15 @@ def _dump_with_heads(points: DataFrame) -> DataFrame:
     )
 
     # Equal first points are counted before they are put in order and written
-    # out again afterwards, in bounded steps.
+    # out again afterwards, in bounded steps. They are told apart by their text
+    # as well, since grouping takes -0.0 and 0.0 as one number.
     first_of_series = Window.partitionBy(*SERIES_KEY).orderBy(*POINT_ORDER)
     heads = (
         started.where(F.col("ts") == F.col("_start"))
-        .groupBy(*SERIES_KEY, *POINT_FIELDS)
+        .withColumns({"_full": full_line(selector_text()), "_continued": continuation_line()})
+        .groupBy(*SERIES_KEY, *POINT_FIELDS, "_full", "_continued")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_is_head", F.row_number().over(first_of_series) == 1)
-        .select(
-            *SERIES_KEY,
-            "ts",
-            "_is_head",
-            "_copies",
-            full_line(selector_text()).alias("_full"),
-            continuation_line().alias("_continued"),
-        )
     )
     last_step = F.expr(f"(_copies - 1) div {_COPIES_PER_STEP}")
     in_step = F.least(

@@ -47,11 +47,11 @@ from tickloom.operators.aggregates import (
     bag_by_key,
     block_count,
     emitted_count,
-    extreme_series,
     is_block_empty,
     series_bounds,
     series_count,
     top_one,
+    window_of_all,
 )
 from tickloom.operators.blocks import (
     block_metadata,
@@ -794,9 +794,12 @@ def merge_series_query(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def group_all_window(spark: SparkSession, folder: str) -> DataFrame:
-    earliest, latest = extreme_series(series_bounds(event_points(spark, folder)))
-    return earliest.select(F.col("selector").alias("first_series"), "first_tick").crossJoin(
-        latest.select(F.col("selector").alias("last_series"), "last_tick")
+    window = window_of_all(series_bounds(event_points(spark, folder)))
+    return window.select(
+        F.col("first_series.selector").alias("first_series"),
+        "first_tick",
+        F.col("last_series.selector").alias("last_series"),
+        "last_tick",
     )
 
 

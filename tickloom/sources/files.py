@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import materialise
+
 # Archive entries handed to Spark at once.
 _BATCH_BYTES = 32 * 1024 * 1024
 _BATCH_ROWS = 10_000
@@ -27,7 +29,7 @@ def whole_file_ingest(spark: SparkSession, path_list: DataFrame, folder: str | l
     A line with one path gives the base name and the bytes of the file; a line
     with two gives the bytes of both. Blank lines are skipped and more paths are
     an error. ``folder`` is where the files are; they are read by Spark and joined
-    to the list, and a listed file that is not there fails the query.
+    to the list, and a listed file that is not there is an error.
     """
     tokens = F.split(F.trim("line"), r"\s+")
     too_many = F.raise_error(F.concat(F.lit("not one or two paths: "), F.col("line")))
@@ -38,19 +40,32 @@ def whole_file_ingest(spark: SparkSession, path_list: DataFrame, folder: str | l
         F.when(F.size("tokens") == 2, _plain_path(F.col("tokens")[0])).alias("key_path"),
         _plain_path(F.element_at("tokens", -1)).alias("value_path"),
     )
+    # The list is written, so its size is known and a short list is broadcast:
+    # file contents then stay where they are read. Only lines of two paths bring
+    # the contents of two files together.
+    wanted = materialise(wanted)
     files = read_whole_files(spark, folder).select(_plain_path(F.col("path")).alias("path"), "content")
-    keys = files.select(F.col("path").alias("key_path"), F.col("content").alias("key"))
+    _check_listed(wanted, files.select("path"))
     values = files.select(F.col("path").alias("value_path"), F.col("content").alias("value"))
-    found = wanted.join(values, "value_path", "left").join(keys, "key_path", "left")
-    missing = (
-        F.when(F.col("value").isNull(), F.col("value_path"))
-        .when(F.col("key_path").isNotNull() & F.col("key").isNull(), F.col("key_path"))
-    )
-    absent = F.raise_error(F.concat(F.lit("file not found: "), missing))
     base_name = F.element_at(F.split("value_path", "/"), -1).cast("binary")
-    return found.where(
-        F.when(missing.isNull(), True).otherwise(absent.cast("boolean"))
-    ).select(F.coalesce("key", base_name).alias("key"), "value")
+    single = values.join(wanted.where(F.col("key_path").isNull()), "value_path").select(
+        base_name.alias("key"), "value"
+    )
+    keys = files.select(F.col("path").alias("key_path"), F.col("content").alias("key"))
+    paired = values.join(wanted.where(F.col("key_path").isNotNull()), "value_path").join(
+        keys, "key_path"
+    )
+    return single.unionByName(paired.select("key", "value"))
+
+
+def _check_listed(wanted: DataFrame, present: DataFrame) -> None:
+    """Fail when a listed path is not among the files."""
+    paths = wanted.select(F.col("value_path").alias("path")).union(
+        wanted.where(F.col("key_path").isNotNull()).select("key_path")
+    )
+    missing = paths.join(present, "path", "left_anti").take(3)
+    if missing:
+        raise FileNotFoundError(f"listed files not found: {', '.join(row['path'] for row in missing)}")
 
 
 def _plain_path(path: Column) -> Column:

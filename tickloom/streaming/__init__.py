@@ -1,0 +1,6 @@
+"""Streams.
+
+The data model has no streaming operators of its own: nothing here needs watermarks
+or state. The row-wise operators (parsing, selecting, chunking and dumping lines in
+full) take streaming DataFrames as they are.
+"""

@@ -122,6 +122,17 @@ def test_continuation_does_not_cross_files(spark, tmp_path):
     assert [(r["line"], r["problem"]) for r in rejected] == [("=3// 3", "no series named before this line")]
 
 
+def test_lines_after_a_malformed_head_are_no_part_of_the_series_before(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1// c{} 1\n=2// 2\nd{} oops\n=3// 3\n4// e{} 4\n=5// f{} 5\n=6// 6\n")
+    parsed = parse_stream(read_lines(spark, str(tmp_path)))
+    assert {(p["class"], p["ts"]) for p in good_points(parsed).collect()} == {("c", 1), ("c", 2), ("e", 4), ("e", 6)}
+    assert {r["line"]: r["problem"] for r in rejected_lines(parsed).collect()} == {
+        "d{} oops": "malformed line",
+        "=3// 3": "no series named before this line",
+        "=5// f{} 5": "continuation line names a series",
+    }
+
+
 def test_bad_lines_are_rejected(spark):
     bad = {
         "junk": "malformed line",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.ids import text_id, with_series_ids
+from tickloom.functions.text import parsed_labels
 from tickloom.functions.timeunits import floor_div
 from tickloom.model import (
     HEADER_FIELDS,
@@ -65,19 +66,20 @@ def pack_points(
     if max_points < 1:
         raise ValueError("max_points must be at least 1")
     keys = [*SERIES_KEY, *(by or [])]
-    ranked = with_rank(
-        with_series_key(points), keys, [F.col(c) for c in POINT_ORDER], limit=group_limit
-    )
+    # The label map is left out of the shuffle: the label text says the same.
+    rows = with_series_key(points).select(*keys, "attributes", *POINT_FIELDS)
+    ranked = with_rank(rows, keys, [F.col(c) for c in POINT_ORDER], limit=group_limit)
     numbered = ranked.withColumn("block_no", floor_div(F.col("rank") - 1, max_points))
     packed = numbered.groupBy(*keys, "block_no").agg(
-        F.any_value("labels").alias("labels"),
         F.min_by("attributes", "rank").alias("attributes"),
         F.count(F.lit(1)).alias("count"),
-        F.array_sort(F.collect_list(point_struct())).alias("points"),
+        F.sort_array(F.collect_list(point_struct())).alias("points"),
     )
     zero = F.lit(0).cast("bigint")
     return packed.select(
-        *METADATA_FIELDS,
+        "class",
+        parsed_labels(F.col("label_key")).alias("labels"),
+        "attributes",
         *[zero.alias(name) for name in HEADER_FIELDS],
         "count",
         "points",

@@ -58,6 +58,7 @@ def _problem() -> Column:
         .when(F.col("ts").isNull(), "tick out of range")
         .when(F.coalesce("_lost", F.lit(False)), "malformed position")
         .when(~has_value, "malformed value")
+        .when(F.col("_mark") & F.col("_class").isNotNull(), "continuation line names a series")
         .when(F.col("class").isNull() | F.col("labels").isNull(), "no series named before this line")
     )
 
@@ -87,24 +88,32 @@ def parse_stream(lines: DataFrame, column: str = "line") -> DataFrame:
     """As ``parse_lines``, for lines that may continue the series before them.
 
     ``lines`` has the columns of ``LINE_PLACE``. The series in force at the start
-    of a file block is found from one row per block, so that no task reads more
-    than a block in order. Series do not carry over from one file to the next.
+    of a file block comes from the last full line of the blocks before it, so that
+    no task reads more than a block in order. Lines that continue a malformed line
+    are problems too, and no series carries over from one file to the next.
     """
-    typed = _typed(lines, column).withColumn(
-        "_series", F.when(~F.col("_mark") & F.col("_class").isNotNull(), F.struct("_class", "_labels"))
-    )
+
+    def head(value: Column) -> Column:
+        return F.when(~F.ltrim(F.col(column)).startswith("="), value)
+
     block = ["file", "block_start"]
-    block_ends = typed.groupBy(*block).agg(
-        F.max_by("_series", F.when(F.col("_series").isNotNull(), F.col("place"))).alias("_end")
+    series = F.struct("_class", "_labels")
+
+    block_ends = lines.groupBy(*block).agg(
+        F.max_by(column, head(F.col("place"))).alias("_end")
     )
     before = (
         Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = block_ends.select(*block, F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    carried = block_ends.select(*block, F.last("_end", ignorenulls=True).over(before).alias(column))
+    carried = _typed(carried, column).select(*block, series.alias("_carried"))
+
     so_far = Window.partitionBy(*block).orderBy("place")
     current = F.coalesce(F.last("_series", ignorenulls=True).over(so_far), F.col("_carried"))
     placed = (
-        typed.join(carried, block, "left")
+        _typed(lines, column)
+        .withColumn("_series", head(series))
+        .join(carried, block, "left")
         .withColumn("_current", current)
         .withColumns({"class": F.col("_current._class"), "labels": F.col("_current._labels")})
     )

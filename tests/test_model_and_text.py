@@ -141,6 +141,9 @@ def test_bad_lines_are_rejected(spark):
         "99999999999999999999// c{} 1": "tick out of range",
         "1/1.2.3:4/ c{} 1": "malformed position",
         "1// c{} 99999999999999999999": "malformed value",
+        "1// c{a=1,a=2} 1": "malformed series name",
+        "1// c{%zz=1} 1": "malformed series name",
+        "1// %zz{} 1": "malformed series name",
         "=1// 5": "no series named before this line",
         "1// 5": "no series named before this line",
     }

@@ -69,13 +69,11 @@ def with_line_parts(df: DataFrame, line: str, name: str) -> DataFrame:
     """Add the parts of a line as an array, null when the line is malformed.
 
     One pattern match per line: the parts are rewritten with a separator that
-    the pattern does not accept inside them, then split. They pass through a
-    one-element ``explode`` so that conditions on them, also those a join adds,
-    are evaluated on the parts and do not repeat the match.
+    the pattern does not accept inside them, then split.
     """
     rewritten = _PART_MARK.join(f"${n}" for n in range(1, len(LINE_PARTS) + 1))
     marked = F.regexp_replace(F.trim(F.col(line)), LINE_PATTERN, rewritten)
-    split = df.withColumn(name, F.explode(F.array(F.split(marked, _PART_MARK, len(LINE_PARTS)))))
+    split = df.withColumn(name, F.split(marked, _PART_MARK, len(LINE_PARTS)))
     return split.withColumn(name, F.when(F.size(name) == len(LINE_PARTS), F.col(name)))
 
 
@@ -92,8 +90,9 @@ def parsed_value(text: Column) -> dict[str, Column]:
     }
 
 
-def parsed_labels(text: Column) -> Column:
-    """Label map of ``k=v,k=v``, percent-decoded; empty text is an empty map."""
+def label_entries(text: Column) -> Column:
+    """Array of ``(key, value)`` of ``k=v,k=v``; a part badly encoded is null."""
+
     def entry(pair: Column) -> Column:
         parts = F.split(pair, "=", 2)
         value = F.when(F.size(parts) == 2, parts[1]).otherwise(F.lit(""))
@@ -101,6 +100,18 @@ def parsed_labels(text: Column) -> Column:
             percent_decode(parts[0]).alias("key"), percent_decode(value).alias("value")
         )
 
-    pairs = F.transform(F.split(text, ","), entry)
-    empty = F.create_map().cast("map<string,string>")
-    return F.when(text == "", empty).otherwise(F.map_from_entries(pairs))
+    pairs = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
+    return F.transform(pairs, entry)
+
+
+def labels_of_entries(entries: Column) -> Column:
+    """Label map of entries; null when a part is null or a key occurs twice."""
+    keys = F.array_distinct(F.array_compact(entries["key"]))
+    values = F.array_compact(entries["value"])
+    whole = (F.size(keys) == F.size(entries)) & (F.size(values) == F.size(entries))
+    return F.when(whole, F.map_from_entries(entries))
+
+
+def parsed_labels(text: Column) -> Column:
+    """Label map of a canonical label text."""
+    return F.map_from_entries(label_entries(text))

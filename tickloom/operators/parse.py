@@ -2,70 +2,89 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import (
     LINE_PARTS,
-    parsed_labels,
+    label_entries,
+    labels_of_entries,
     parsed_value,
     percent_decode,
     with_line_parts,
 )
-from tickloom.model import POINTS_SCHEMA, VALUE_FIELDS, empty_string_map
+from tickloom.model import POINT_FIELDS, POINTS_SCHEMA, VALUE_FIELDS, empty_string_map
 
 # Columns that ``sources.text.read_lines`` adds to give lines their file order.
 LINE_PLACE = ["file", "block_start", "place"]
 
 
 def _typed(lines: DataFrame, column: str) -> DataFrame:
-    """Line columns plus ``_mark``, ``_class``, ``_labels`` and the point columns."""
-    split = with_line_parts(lines, column, "_parts")
+    """Lines and their place, plus the parts of each line, typed.
+
+    ``_bad`` says what is wrong with a line taken by itself. The parts pass through
+    a one-element ``inline``, so that conditions put on them later, also those that
+    joins add, work on the parts and do not repeat the parsing.
+    """
+
+    def raw(name: str) -> Column:
+        return F.col("_parts")[LINE_PARTS.index(name)]
 
     def part(name: str) -> Column:
-        return F.nullif(F.col("_parts")[LINE_PARTS.index(name)], F.lit(""))
+        return F.nullif(raw(name), F.lit(""))
 
-    named = split.withColumns(
+    kept = [column, *[name for name in lines.columns if name in LINE_PLACE]]
+    named = raw("brace") == "{"
+    staged = with_line_parts(lines.select(*kept), column, "_parts").withColumns(
         {
-            "_mark": F.col("_parts")[LINE_PARTS.index("mark")] == "=",
-            "_value": F.col("_parts")[LINE_PARTS.index("value")],
-            "_named": F.col("_parts")[LINE_PARTS.index("brace")] == "{",
             "ts": part("ts").try_cast("bigint"),
             "lat": part("lat").try_cast("double"),
             "lon": part("lon").try_cast("double"),
             "elev": part("elev").try_cast("bigint"),
+            "_value": raw("value"),
+            "_entries": F.when(named, label_entries(raw("labels"))),
         }
     )
-    value = parsed_value(F.col("_value"))
-    typed = named.withColumns(
+    typed = staged.withColumns(
         {
-            **value,
-            "_class": F.when(F.col("_named"), percent_decode(F.col("_parts")[LINE_PARTS.index("class")])),
-            "_labels": F.when(F.col("_named"), parsed_labels(F.col("_parts")[LINE_PARTS.index("labels")])),
-            "_lost": (part("lat").isNotNull() & F.col("lat").isNull())
-            | (part("lon").isNotNull() & F.col("lon").isNull())
-            | (part("elev").isNotNull() & F.col("elev").isNull()),
+            **parsed_value(F.col("_value")),
+            "_mark": raw("mark") == "=",
+            "_named": named,
+            "_class": F.when(named, percent_decode(raw("class"))),
+            "_labels": labels_of_entries(F.col("_entries")),
         }
     )
-    return typed.drop("_named")
-
-
-def _problem() -> Column:
-    """Why a line is no point, or null."""
-    has_value = F.coalesce(*[F.col(name).cast("string") for name in VALUE_FIELDS]).isNotNull()
-    return (
+    lost_position = reduce(
+        or_, [part(name).isNotNull() & F.col(name).isNull() for name in ("lat", "lon", "elev")]
+    )
+    no_value = reduce(and_, [F.col(name).isNull() for name in VALUE_FIELDS])
+    bad = (
         F.when(F.col("_parts").isNull(), "malformed line")
         .when(F.col("ts").isNull(), "tick out of range")
-        .when(F.coalesce("_lost", F.lit(False)), "malformed position")
-        .when(~has_value, "malformed value")
-        .when(F.col("_mark") & F.col("_class").isNotNull(), "continuation line names a series")
-        .when(F.col("class").isNull() | F.col("labels").isNull(), "no series named before this line")
+        .when(lost_position, "malformed position")
+        .when(no_value, "malformed value")
+        .when(F.col("_named") & F.col("_mark"), "continuation line names a series")
+        .when(
+            F.col("_named") & (F.col("_class").isNull() | F.col("_labels").isNull()),
+            "malformed series name",
+        )
     )
+    parts = F.struct("_mark", "_class", "_labels", *POINT_FIELDS, bad.alias("_bad"))
+    return typed.select(*kept, F.inline(F.array(parts)))
 
 
 def _finish(typed: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    nameless = F.when(
+        F.col("class").isNull() | F.col("labels").isNull(), "no series named before this line"
+    )
     return typed.withColumn("attributes", empty_string_map()).select(
-        *POINTS_SCHEMA.fieldNames(), *keep, F.col(column).alias("line"), _problem().alias("problem")
+        *POINTS_SCHEMA.fieldNames(),
+        *keep,
+        F.col(column).alias("line"),
+        F.coalesce("_bad", nameless).alias("problem"),
     )
 
 

@@ -127,7 +127,9 @@ def parse_stream(lines: DataFrame, column: str = "line") -> DataFrame:
     carried = block_ends.select(*block, F.last("_end", ignorenulls=True).over(before).alias(column))
     carried = _typed(carried, column).select(*block, series.alias("_carried"))
 
-    so_far = Window.partitionBy(*block).orderBy("place")
+    so_far = (
+        Window.partitionBy(*block).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    )
     current = F.coalesce(F.last("_series", ignorenulls=True).over(so_far), F.col("_carried"))
     placed = (
         _typed(lines, column)

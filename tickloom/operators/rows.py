@@ -66,19 +66,28 @@ def apply_per_series(
         sizes = keyed.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("_rows"))
         if not sizes.where(F.col("_rows") > limit).isEmpty():
             raise ValueError(f"a series has more than {limit} points: pass merge to work in slices")
-        return keyed.groupBy(*SERIES_KEY).applyInPandas(function, schema)
+        return _spread(keyed, SERIES_KEY).groupBy(*SERIES_KEY).applyInPandas(function, schema)
 
     sliced, slices = split_by_time(keyed, SERIES_KEY, limit)
     if not slices:
-        return sliced.groupBy(*SERIES_KEY).applyInPandas(function, schema)
+        return _spread(sliced, SERIES_KEY).groupBy(*SERIES_KEY).applyInPandas(function, schema)
     parts = (
-        sliced.repartition(*SERIES_KEY, *slices)
+        _spread(sliced, [*SERIES_KEY, *slices])
         .groupBy(*SERIES_KEY, *slices)
         .applyInPandas(lambda pdf: function(pdf.drop(columns=slices)), schema)
     )
     return parts.groupBy(*SERIES_KEY).applyInPandas(merge, schema)
 
 
+def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows partitioned by keys over all configured shuffle partitions.
+
+    Adaptive execution would join partitions that are small in bytes, and so put
+    many Python calls into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def generate_rows(df: DataFrame, generator: Callable[..., Any], *arguments: Column) -> DataFrame:
     """Rows a Python table function makes from each row, beside that row.
 

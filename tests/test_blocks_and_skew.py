@@ -292,6 +292,13 @@ def test_bags_of_large_keys_are_spread(spark, limit):
     assert parts[1] == 1 if limit == 1000 else parts[1] > 3
 
 
+def test_a_large_null_key_is_spread(spark):
+    rows = [(None, v % 7) for v in range(100)] + [(2, 1)]
+    bags = bag_by_key(spark.createDataFrame(rows, "k int, v int").repartition(4), ["k"], limit=10).collect()
+    assert sum(r["k"] is None for r in bags) > 3
+    assert sorted(e["v"] for r in bags if r["k"] is None for e in r["bag"]) == sorted(v for k, v in rows if k is None)
+
+
 @pytest.mark.parametrize("limit", [10, 1000])
 def test_cogroup_keeps_every_row_once(spark, limit):
     left = [(1, v) for v in range(50)] + [(2, 0)]

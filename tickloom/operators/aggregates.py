@@ -6,6 +6,9 @@ or holds it in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,11 +108,14 @@ def bag_by_key(
         # The partition number spreads equal rows, the content spreads the rest.
         hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
         spread = F.pmod(F.xxhash64("_spread", *hashable), F.col("_parts"))
+        # A null key is a key as any other, so it is compared null-safely.
+        renamed = large.select(*[F.col(k).alias(f"_large_{k}") for k in keys], "_parts")
+        same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])
         parted = (
             df.withColumn("_spread", F.spark_partition_id())
-            .join(large, keys, "left")
+            .join(renamed, same_key, "left")
             .withColumn("part", F.coalesce(spread, F.lit(0).cast("bigint")))
-            .drop("_parts", "_spread")
+            .drop("_parts", "_spread", *[f"_large_{k}" for k in keys])
         )
     return parted.groupBy(*keys, "part").agg(F.collect_list(row).alias(bag))
 

@@ -33,7 +33,7 @@ def cogroup_bags(
 
     A side without the key has an empty bag. Bags of keys with more than about
     ``limit`` rows go on over rows with the next ``part`` numbers; the sides are
-    never paired row by row.
+    never paired row by row. Null keys of the two sides do not meet.
     """
     on = [*keys, "part"]
     a = bag_by_key(left, keys, "left_bag", limit)

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.chat import rotate
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import COUNTS, judge
+from tickloom.llm.secrets import scan, span_columns
 from tickloom.llm.sharding import shuffle_into_shards
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -32,8 +34,7 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return judge(docs).select(
+    return judge(read_table(spark, folder, "documents"), ["doc_id"]).select(
         "row.doc_id", *[f"features.{name}" for name in COUNTS], "base_failed", "kept"
     )
 
@@ -42,9 +43,18 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read_table(spark, folder, "documents"), TOKENIZER_FILE)
 
 
+def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan(read_table(spark, folder, "documents"), ["doc_id"])
+    return found.select("row.doc_id", *span_columns(found))
+
+
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return rotate(read_table(spark, folder, "conversations"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    found = find_benchmark(docs, read_table(spark, folder, "benchmark"))
+    docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    found = find_benchmark(docs, benchmark, ["doc_id"])
     return found.select(
         "row.doc_id",
         "n_words",
@@ -59,6 +69,8 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_sharding": (op2_sharding, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_packing": (op6_packing, None),
+    "op7_secret_scans": (op7_secret_scans, None),
+    "op8_chat_formatting": (op8_chat_formatting, None),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, None),
 }
 

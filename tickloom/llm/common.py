@@ -37,52 +37,111 @@ def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda total, x: total + x)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as an array of (start, end, value).
+def total_before(numbers: Column, then: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``then(before)`` where ``before(i)`` is the sum of the first ``i`` numbers.
 
-    Positions are code points, the end is exclusive. They are sums of the
-    lengths of the matches and of the pieces between them; sums go over blocks
-    of 256, so a text with very many matches does not cost their square.
+    Sums go over blocks of 256, so that a long array does not cost its square.
     """
 
-    def located(found: Column, pieces: Column) -> Column:
-        lengths = F.zip_with(found, pieces, lambda m, p: F.length(m) + F.length(p))
-        return let(lengths, lambda n: let(_block_totals(n), lambda blocks: at(found, pieces, n, blocks)))
-
-    def at(found: Column, pieces: Column, lengths: Column, blocks: Column) -> Column:
-        def one(value: Column, i: Column) -> Column:
+    def with_blocks(n: Column, blocks: Column) -> Column:
+        def before(i: Column) -> Column:
             block = F.floor(i / _PREFIX_BLOCK).cast("int")
-            start = (
-                _total(F.slice(blocks, 1, block))
-                + _total(F.slice(lengths, block * _PREFIX_BLOCK + 1, i % _PREFIX_BLOCK))
-                + F.length(F.get(pieces, i))
-            )
-            return F.struct(
-                start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value")
-            )
-
-        return F.transform(found, one)
-
-    def _block_totals(lengths: Column) -> Column:
+            inside = F.slice(n, block * _PREFIX_BLOCK + 1, i % _PREFIX_BLOCK)
+            return _total(F.slice(blocks, 1, block)) + _total(inside)
+
+        return then(before)
+
+    def block_totals(n: Column) -> Column:
         return F.transform(
-            counter(0, F.floor((F.size(lengths) - 1) / _PREFIX_BLOCK).cast("int")),
-            lambda b: _total(F.slice(lengths, b * _PREFIX_BLOCK + 1, _PREFIX_BLOCK)),
+            counter(0, F.floor((F.size(n) - 1) / _PREFIX_BLOCK).cast("int")),
+            lambda b: _total(F.slice(n, b * _PREFIX_BLOCK + 1, _PREFIX_BLOCK)),
+        )
+
+    return let(numbers, lambda n: let(block_totals(n), lambda blocks: with_blocks(n, blocks)))
+
+
+def matches(text: Column, pattern: str, context: int = 0) -> Column:
+    """Leftmost non-overlapping matches as an array of (start, end, value, before, after).
+
+    Positions are code points, the end is exclusive. ``before`` and ``after``
+    are up to ``context`` code points on either side, not beyond the next match.
+    """
+
+    def located(found: Column, pieces: Column) -> Column:
+        def one(before: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+            def of(value: Column, i: Column) -> Column:
+                start = before(i) + F.length(F.get(pieces, i))
+                return F.struct(
+                    start.alias("start"),
+                    (start + F.length(value)).alias("end"),
+                    value.alias("value"),
+                    F.right(F.get(pieces, i), F.lit(context)).alias("before"),
+                    F.left(F.get(pieces, i + 1), F.lit(context)).alias("after"),
+                )
+
+            return of
+
+        # The piece after the last match has no match of its own.
+        lengths = F.zip_with(
+            found, F.slice(pieces, 1, F.size(found)), lambda m, p: F.length(m) + F.length(p)
         )
+        return total_before(lengths, lambda before: F.transform(found, one(before)))
 
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
     return let(
         F.regexp_extract_all(text, F.lit(pattern), 0),
         lambda found: F.when(F.size(found) == 0, none).otherwise(
-            # The last piece follows the last match and is not needed.
-            let(
-                F.split(text, pattern, -1),
-                lambda pieces: located(found, F.slice(pieces, 1, F.size(found))),
-            )
+            let(F.split(text, pattern, -1), lambda pieces: located(found, pieces))
+        ),
+    )
+
+
+def replaced(text: Column, spans: Column, mark: Column | str) -> Column:
+    """``text`` with the union of ``spans`` (structs with start and end) cut out and marked.
+
+    Spans may overlap; a run of overlapping spans is replaced once.
+    """
+
+    def joined(starts: Column, ends: Column) -> Column:
+        # Start of the i-th run and end of the run before it: as many spans have started
+        # as have ended there, which holds for sorted starts and ends of any intervals.
+        firsts = F.filter(starts, lambda s, i: (i == 0) | (F.get(ends, i - 1) < s))
+        lasts = F.filter(ends, lambda e, i: (i == F.size(ends) - 1) | (e < F.get(starts, i + 1)))
+        return let(firsts, lambda a: let(lasts, lambda b: pieces(a, b)))
+
+    def pieces(firsts: Column, lasts: Column) -> Column:
+        def piece(i: Column) -> Column:
+            begin = F.coalesce(F.get(lasts, i - 1), F.lit(0))
+            end = F.coalesce(F.get(firsts, i), F.length(text))
+            return F.substring(text, begin + 1, end - begin)
+
+        name = F.lit(mark) if isinstance(mark, str) else mark
+        return F.concat_ws("", F.transform(
+            counter(0, F.size(firsts)),
+            lambda i: F.when(i == 0, piece(i)).otherwise(F.concat(name, piece(i))),
+        ))
+
+    return F.when(F.size(spans) == 0, text).otherwise(
+        let(
+            F.sort_array(F.transform(spans, lambda s: s["start"])),
+            lambda starts: let(
+                F.sort_array(F.transform(spans, lambda s: s["end"])), lambda ends: joined(starts, ends)
+            ),
+        )
+    )
+
+
+def listed(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
         ),
+        ",",
     )
 
 
-def span_text(kind: Column | str, start: Column, end: Column) -> Column:
-    """``kind:start:end``."""
-    name = F.lit(kind) if isinstance(kind, str) else kind
-    return F.concat_ws(":", name, start.cast("string"), end.cast("string"))
+def row_of(docs: DataFrame, carry: list[str] | None = None) -> Column:
+    """The columns ``carry`` of ``docs``, or all, as one struct whose names clash with nothing."""
+    return F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row")

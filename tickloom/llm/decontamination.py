@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import row_of
+
 WINDOW = 10
 #: Bytes of benchmark text whose tables one search holds; more text means more searches in turn.
 TABLE_BYTES = 4_000_000
@@ -93,8 +95,10 @@ def _item_blocks(benchmark: DataFrame) -> list[DataFrame]:
     return [texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == i) for i in range(parts)]
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``n_words``, ``hits`` and ``items``.
+def find_benchmark(
+    docs: DataFrame, benchmark: DataFrame, carry: list[str] | None = None
+) -> DataFrame:
+    """``row`` (the columns ``carry`` of ``docs``, or all), ``n_words``, ``hits`` and ``items``.
 
     ``hits`` are the places (from 0) of the words inside an occurrence of a
     benchmark window, in order; ``items`` the ids, as text and in order, of the
@@ -107,7 +111,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of which searches the documents in the same pass: documents are not shuffled.
     """
     found = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        row_of(docs, carry),
         F.col("text").cast("string").alias("_text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("hits"),

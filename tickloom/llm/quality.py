@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WHITE_SPACE, counter, let
+from tickloom.llm.common import WHITE_SPACE, counter, let, row_of
 from tickloom.session import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -194,8 +194,8 @@ def _outside(name: str) -> Column:
     return too_small | F.coalesce(value > fence["high"], F.lit(False))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``features``, ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the columns ``carry`` of ``docs``, or all), ``features``, ``base_failed`` and ``kept``.
 
     ``docs`` needs ``text``, ``lang`` and ``source``; other columns, whatever
     their names, only ride along in ``row``. Null and empty texts have no words
@@ -204,7 +204,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     measured = materialise(
         docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+            row_of(docs, carry),
             F.col("lang"),
             F.col("source"),
             features(F.col("text")).alias("features"),

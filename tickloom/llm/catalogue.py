@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import privacy, secrets
 from tickloom.llm.chat import rotate
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import COUNTS, judge
-from tickloom.llm.secrets import scan, span_columns
 from tickloom.llm.sharding import shuffle_into_shards
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,11 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = privacy.find_personal_data(read_table(spark, folder, "documents"), ["doc_id"])
+    return found.select("row.doc_id", *privacy.span_columns())
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(read_table(spark, folder, "documents"), ["doc_id"]).select(
         "row.doc_id", *[f"features.{name}" for name in COUNTS], "base_failed", "kept"
@@ -44,8 +49,8 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
-    found = scan(read_table(spark, folder, "documents"), ["doc_id"])
-    return found.select("row.doc_id", *span_columns(found))
+    found = secrets.scan(read_table(spark, folder, "documents"), ["doc_id"])
+    return found.select("row.doc_id", *secrets.span_columns())
 
 
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +72,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_sharding": (op2_sharding, None),
+    "op4_pii": (op4_pii, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_packing": (op6_packing, None),
     "op7_secret_scans": (op7_secret_scans, None),

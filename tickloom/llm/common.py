@@ -96,10 +96,10 @@ def matches(text: Column, pattern: str, context: int = 0) -> Column:
     )
 
 
-def replaced(text: Column, spans: Column, mark: Column | str) -> Column:
-    """``text`` with the union of ``spans`` (structs with start and end) cut out and marked.
+def replaced(text: Column, spans: Column, mark: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with every run of overlapping ``spans`` replaced by ``mark(start, end)``.
 
-    Spans may overlap; a run of overlapping spans is replaced once.
+    ``spans`` is an array of structs with start and end, in any order.
     """
 
     def joined(starts: Column, ends: Column) -> Column:
@@ -115,11 +115,15 @@ def replaced(text: Column, spans: Column, mark: Column | str) -> Column:
             end = F.coalesce(F.get(firsts, i), F.length(text))
             return F.substring(text, begin + 1, end - begin)
 
-        name = F.lit(mark) if isinstance(mark, str) else mark
-        return F.concat_ws("", F.transform(
-            counter(0, F.size(firsts)),
-            lambda i: F.when(i == 0, piece(i)).otherwise(F.concat(name, piece(i))),
-        ))
+        def marked(i: Column) -> Column:
+            return F.concat(mark(F.get(firsts, i - 1), F.get(lasts, i - 1)), piece(i))
+
+        return F.concat_ws(
+            "",
+            F.transform(
+                counter(0, F.size(firsts)), lambda i: F.when(i == 0, piece(i)).otherwise(marked(i))
+            ),
+        )
 
     return F.when(F.size(spans) == 0, text).otherwise(
         let(

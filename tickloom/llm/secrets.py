@@ -150,7 +150,7 @@ def redact(docs: DataFrame) -> DataFrame:
     ``n_chars`` is set anew in changed rows, if there is such a column.
     """
     found = scan(docs)
-    text = replaced(F.coalesce("row.text", F.lit("")), F.col("spans"), MARK)
+    text = replaced(F.coalesce("row.text", F.lit("")), F.col("spans"), lambda *_: F.lit(MARK))
     changed = found.withColumn(
         "new", F.when(F.size("spans") > 0, text).otherwise(F.col("row.text"))
     )
@@ -167,7 +167,7 @@ def redact(docs: DataFrame) -> DataFrame:
     return changed.select(*out)
 
 
-def span_columns(found: DataFrame) -> list[Column]:
+def span_columns() -> list[Column]:
     """Counts of the strong findings, digest of their spans, and all spans."""
     of = lambda kind: F.filter("base", lambda s: s["kind"] == kind)
     return [

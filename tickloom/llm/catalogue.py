@@ -15,10 +15,33 @@ from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import COUNTS, judge
 from tickloom.llm.sharding import shuffle_into_shards
+from tickloom.llm.warc import archive_and_read
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_and_read(read_table(spark, folder, "pages"))
+
+
+OP1_SQL = """
+WITH hashed AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages
+), found AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)
+      for i in range(0, 32)], '') AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, url
+FROM found
+"""
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     sharded = shuffle_into_shards(read_table(spark, folder, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
@@ -71,6 +94,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_warc": (op1_warc, OP1_SQL),
     "op2_sharding": (op2_sharding, None),
     "op4_pii": (op4_pii, None),
     "op5_quality_rules": (op5_quality_rules, None),

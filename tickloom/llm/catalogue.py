@@ -15,6 +15,7 @@ from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import COUNTS, judge
 from tickloom.llm.sharding import shuffle_into_shards
+from tickloom.llm.similarity import join_similar
 from tickloom.llm.warc import archive_and_read
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +81,11 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return rotate(read_table(spark, folder, "conversations"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    joined = join_similar(read_table(spark, folder, "documents"), ["doc_id"])
+    return joined.select("row.doc_id", "class_id", "n_links")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
     found = find_benchmark(docs, benchmark, ["doc_id"])
@@ -101,6 +107,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_packing": (op6_packing, None),
     "op7_secret_scans": (op7_secret_scans, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
+    "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, None),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, None),
 }
 

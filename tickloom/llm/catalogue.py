@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tickloom.llm import privacy, secrets
 from tickloom.llm.chat import rotate
 from tickloom.llm.common import read_table
@@ -16,10 +16,9 @@ from tickloom.llm.packing import pack
 from tickloom.llm.quality import COUNTS, judge
 from tickloom.llm.sharding import shuffle_into_shards
 from tickloom.llm.similarity import join_similar
+from tickloom.llm.substrings import remove_repeats
 from tickloom.llm.warc import archive_and_read
 
-TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
-
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_and_read(read_table(spark, folder, "pages"))
@@ -57,6 +56,11 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = remove_repeats(read_table(spark, folder, "documents"), ["doc_id"])
+    return left.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = privacy.find_personal_data(read_table(spark, folder, "documents"), ["doc_id"])
     return found.select("row.doc_id", *privacy.span_columns())
@@ -69,7 +73,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(read_table(spark, folder, "documents"), TOKENIZER_FILE)
+    return pack(read_table(spark, folder, "documents"), corpus_pipeline.TOKENIZER_FILE)
 
 
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,12 +106,14 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_sharding": (op2_sharding, None),
+    "op3_suffix_array_dedup": (op3_suffix_array_dedup, None),
     "op4_pii": (op4_pii, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_packing": (op6_packing, None),
     "op7_secret_scans": (op7_secret_scans, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, None),
 }
 

@@ -32,8 +32,8 @@ SPREADS = 6.0
 LEAST_RANGE = {
     "word_length": 0.5,
     "symbol_ratio": 0.05,
-    "dup_line_ratio": 0.05,
-    "repeat_ratio": 0.05,
+    "dup_line_ratio": 0.1,
+    "repeat_ratio": 0.07,
 }
 #: Ratios that are also too small below the lower fence.
 TWO_SIDED = ("word_length",)

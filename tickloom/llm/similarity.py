@@ -44,7 +44,7 @@ STEP = 16
 TOLERANCE = 1e-6
 
 #: Texts of a bucket, and of a group, that are compared in one piece.
-BUCKET_BLOCK = 2048
+BUCKET_BLOCK = 512
 GROUP_BLOCK = 256
 
 _rng = np.random.default_rng(5_081_320)

@@ -154,6 +154,8 @@ class _Shard:
                 "start": first[i], "stop": stop[i], "anchor": place[i],
             })
         settled = np.flatnonzero(times[of] > 1)
+        if not len(settled):
+            return
         # Neighbouring contexts of a text overlap, so runs of them are one stretch of bytes.
         new = np.ones(len(settled), bool)
         new[1:] = (owner[settled][1:] != owner[settled][:-1]) | (first[settled][1:] > stop[settled][:-1])

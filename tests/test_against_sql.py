@@ -7,7 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tickloom.plans import catalogue
 
 FOLDER = os.environ.get("TEST_FOLDER", "/root/testdata/sf0.01")
 TABLES = (
@@ -37,12 +37,12 @@ def rows_by_name(columns, rows):
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalogue.queries()))
 def test_query(name, spark, duck):
-    got = contract.queries()[name](spark, FOLDER)
+    got = catalogue.queries()[name](spark, FOLDER)
     rows = [tuple(row) for row in got.collect()]
     assert rows
-    sql = contract.oracle_sql()[name]
+    sql = catalogue.oracle_sql()[name]
     cursor = duck.execute(sql)
     columns = [d[0] for d in cursor.description]
     expected = cursor.fetchall()

@@ -1,4 +1,4 @@
-"""Packing, ranking of large series, chunks, joins and bags."""
+"""Packing, ranking of large groups, chunks, joins and bags."""
 
 import random
 
@@ -9,7 +9,6 @@ from tickloom.model import BLOCKS_SCHEMA, SERIES_KEY, with_selector, with_series
 from tickloom.operators.aggregates import (
     bag_by_key,
     block_count,
-    extreme_series,
     is_block_empty,
     series_bounds,
     series_count,
@@ -35,7 +34,7 @@ from tickloom.operators.joins import (
     group_assignment,
     partition_join,
 )
-from tickloom.operators.skew import split_by_time, with_rank
+from tickloom.operators.ordering import with_rank
 
 from fixtures import frame, point, same_points
 
@@ -50,8 +49,18 @@ def skewed(spark):
     return frame(spark, *points).repartition(4).cache()
 
 
-def order():
-    return [F.col(name) for name in POINT_ORDER]
+def order(descending=False):
+    ts = F.col("ts").desc() if descending else F.col("ts")
+    return [ts, *(F.col(name) for name in POINT_ORDER)]
+
+
+@pytest.fixture(params=["1", "4", "40"])
+def partitions(spark, request):
+    """Ranges from the whole table to stretches that cut every large group."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield int(request.param)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def place_of_every_point(points, descending=False):
@@ -66,37 +75,31 @@ def place_of_every_point(points, descending=False):
     return places
 
 
-@pytest.mark.parametrize("limit", [5, 40, 10_000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_rank_is_the_same_with_and_without_slices(skewed, limit, descending):
+def test_rank_does_not_depend_on_partitions(skewed, partitions, descending):
     keyed = with_series_key(skewed)
-    ranked = with_rank(keyed, SERIES_KEY, order(), descending=descending, limit=limit)
+    ranked = with_rank(keyed, SERIES_KEY, order(descending))
     got = {(r["class"], (r["ts"], r["v_long"])): r["rank"] for r in ranked.collect()}
     assert got == place_of_every_point(skewed, descending)
 
 
-def test_slices_bound_every_group(skewed):
-    sliced, slices = split_by_time(with_series_key(skewed), SERIES_KEY, 40)
-    assert len(slices) >= 2
-    groups = sliced.groupBy(*SERIES_KEY, *slices).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("ts").alias("ticks")
+def test_rank_of_one_group_null_keys_and_weights(spark, partitions):
+    rows = [(None, 1, v) for v in range(50)] + [(1, None, v) for v in range(50)] + [(None, None, 7)]
+    df = spark.createDataFrame(rows, "a int, b int, v int").repartition(3)
+    ranked = with_rank(df, ["a", "b"], [F.col("v")], weight=F.col("v")).collect()
+    assert sorted(map(tuple, ranked), key=repr) == sorted(
+        [(None, None, 7, 1, 0), *((*k, v, v + 1, v * (v - 1) // 2) for k in ((None, 1), (1, None)) for v in range(50))],
+        key=repr,
     )
-    assert groups.where("n > 40 and ticks > 1").isEmpty()
-    assert sliced.count() == skewed.count()
 
 
-def test_one_tick_cannot_be_sliced_but_is_ranked(spark):
-    points = frame(spark, *[point(ts=5, v_long=i) for i in range(20)], point(ts=6, v_long=99))
-    ranked = with_rank(with_series_key(points), SERIES_KEY, order(), limit=3)
-    assert sorted((r["rank"], r["v_long"]) for r in ranked.collect()) == [
-        *((i + 1, i) for i in range(20)),
-        (21, 99),
-    ]
+def test_rank_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "k int, v int")
+    assert with_rank(empty, ["k"], [F.col("v")]).collect() == []
 
 
-@pytest.mark.parametrize("group_limit", [25, 10_000])
-def test_unpack_undoes_pack(skewed, group_limit):
-    blocks = pack_points(skewed, max_points=7, group_limit=group_limit)
+def test_unpack_undoes_pack(skewed, partitions):
+    blocks = pack_points(skewed, max_points=7)
     same_points(unpack_points(blocks), skewed)
     rows = blocks.orderBy(*SERIES_KEY, "block_no").collect()
     by_series = {}
@@ -111,6 +114,15 @@ def test_unpack_undoes_pack(skewed, group_limit):
             assert earlier["points"][-1]["ts"] <= later["points"][0]["ts"]
 
 
+def test_blocks_are_bounded_in_bytes(spark):
+    points = frame(spark, *[point(ts=t, v_str="x" * 420) for t in range(40)])
+    blocks = pack_points(points, max_points=9, max_bytes=2000).orderBy("block_no").collect()
+    assert [t for b in blocks for t in (p["ts"] for p in b["points"])] == list(range(40))
+    assert max(b["count"] for b in blocks) <= 4
+    with pytest.raises(ValueError):
+        pack_points(points, max_bytes=0)
+
+
 def test_blocks_have_the_declared_columns(spark):
     blocks = pack_points(frame(spark, point(v_long=1)))
     declared = {f.name: f.dataType.simpleString() for f in BLOCKS_SCHEMA}
@@ -186,12 +198,11 @@ def test_merge_keeps_equal_points_and_empty_series(spark):
     assert merged["empty"]["points"] == [] and merged["empty"]["attributes"] == {"a": "1"}
 
 
-@pytest.mark.parametrize("group_limit", [25, 10_000])
-def test_merge_of_large_series(skewed, group_limit):
+def test_merge_of_large_series(skewed, partitions):
     blocks = pack_points(skewed.where("v_long % 2 = 0"), 10).unionByName(
         pack_points(skewed.where("v_long % 2 = 1"), 10)
     )
-    merged = merge_series(blocks, 50, group_limit)
+    merged = merge_series(blocks, 50)
     same_points(unpack_points(merged), skewed)
     assert merged.where("class = 'hot'").count() == 7
 
@@ -216,6 +227,10 @@ def test_load_modes(spark):
     assert got == {"-1": [-10, -1], "0": [0, 9], "1": [10]}
     assert chunks.select("labelsIdForJoin").distinct().count() == 1
     assert chunks.first()["labelsIdForJoin"] == light.first()["labelsIdForJoin"]
+    first = light.first()
+    assert first["labels"] == {
+        "k": "v", **{n: str(first[n]) for n in ("classIdForJoin", "labelsIdForJoin")}
+    }
     for wrong in ({"mode": "other"}, {"mode": "chunk"}, {"mode": "chunk", "clip_from": 0, "clip_to": 1}):
         with pytest.raises(ValueError):
             load_blocks(blocks, **wrong)
@@ -228,6 +243,11 @@ def test_block_chunks_equal_point_chunks(skewed):
     same_points(by_block.drop("arity"), by_point.drop("base_key"))
 
 
+def test_chunk_width_must_be_positive(skewed):
+    with pytest.raises(ValueError):
+        chunk_blocks(pack_points(skewed), 0, 9, -5)
+
+
 def test_fuse_undoes_chunk(skewed):
     chunks = time_chunk(skewed, 10, 10**12 + 2000, 50)
     clip = skewed.where(F.col("ts").between(10, 10**12 + 2000))
@@ -254,8 +274,6 @@ def test_bounds_and_extremes(spark):
         point("z", ts=20, v_long=1),
     )
     assert {r["class"]: r["n_points"] for r in series_count(points).collect()} == {"a": 2, "b": 2, "z": 1}
-    earliest, latest = extreme_series(series_bounds(points))
-    assert earliest.first()["class"] == latest.first()["class"] == "a"
     both = window_of_all(series_bounds(points)).first()
     assert both["first_series"]["class"] == both["last_series"]["class"] == "a"
     assert (both["first_tick"], both["last_tick"]) == (1, 50)
@@ -264,6 +282,7 @@ def test_bounds_and_extremes(spark):
     later = points.union(frame(spark, point("z", ts=60, v_long=1)))
     two = bounds_cogroup(series_bounds(later)).collect()
     assert sorted(((r["first_tick"], r["last_tick"]) for r in two), key=repr) == [(1, None), (None, 60)]
+    assert bounds_cogroup(series_bounds(points.where("false"))).collect() == []
     best = top_one(with_selector(series_bounds(later)), [], ["last_tick", "selector"], descending=True)
     assert best.first()["class"] == "z"
 
@@ -281,30 +300,28 @@ def key_values(df, bag):
     return sorted((r["k"], e["v"]) for r in df.collect() for e in r[bag])
 
 
-@pytest.mark.parametrize("limit", [10, 1000])
-def test_bags_of_large_keys_are_spread(spark, limit):
-    rows = [(1, 5)] * 200 + [(k, v) for k in (2, 3) for v in range(4)]
-    df = spark.createDataFrame(rows, "k int, v int").repartition(8)
-    bags = bag_by_key(df, ["k"], limit=limit)
-    assert key_values(bags, "bag") == sorted(rows)
-    parts = {r["k"]: r["count"] for r in bags.groupBy("k").count().collect()}
-    assert parts[2] == parts[3] == 1
-    assert parts[1] == 1 if limit == 1000 else parts[1] > 3
-
-
-def test_a_large_null_key_is_spread(spark):
-    rows = [(None, v % 7) for v in range(100)] + [(2, 1)]
-    bags = bag_by_key(spark.createDataFrame(rows, "k int, v int").repartition(4), ["k"], limit=10).collect()
-    assert sum(r["k"] is None for r in bags) > 3
-    assert sorted(e["v"] for r in bags if r["k"] is None for e in r["bag"]) == sorted(v for k, v in rows if k is None)
+@pytest.mark.parametrize("rows_per_bag", [10, 1000])
+def test_bags_are_filled_one_after_the_other(spark, partitions, rows_per_bag):
+    rows = [(1, 5)] * 200 + [(k, v) for k in (2, None) for v in range(14)]
+    made = [
+        bag_by_key(spark.createDataFrame(rows, "k int, v int").repartition(n), ["k"], rows_per_bag=rows_per_bag)
+        for n in (1, 8)
+    ]
+    sizes = [sorted(((r["k"], r["part"], len(r["bag"])) for r in m.collect()), key=repr) for m in made]
+    expected = []
+    for k, n in ((1, 200), (2, 14), (None, 14)):
+        expected += [(k, p, min(rows_per_bag, n - p * rows_per_bag)) for p in range(-(-n // rows_per_bag))]
+    assert sizes[0] == sizes[1] == sorted(expected, key=repr)
+    contents = [sorted(((r["k"], r["part"], sorted(e["v"] for e in r["bag"])) for r in m.collect()), key=repr) for m in made]
+    assert contents[0] == contents[1]
 
 
-@pytest.mark.parametrize("limit", [10, 1000])
-def test_cogroup_keeps_every_row_once(spark, limit):
+@pytest.mark.parametrize("rows_per_bag", [10, 1000])
+def test_cogroup_keeps_every_row_once(spark, rows_per_bag):
     left = [(1, v) for v in range(50)] + [(2, 0)]
     right = [(1, v) for v in range(30)] + [(3, 7)]
     frames = [spark.createDataFrame(rows, "k int, v int").repartition(4) for rows in (left, right)]
-    joined = cogroup_bags(*frames, ["k"], limit=limit)
+    joined = cogroup_bags(*frames, ["k"], rows_per_bag=rows_per_bag)
     assert key_values(joined, "left_bag") == sorted(left)
     assert key_values(joined, "right_bag") == sorted(right)
     sizes = {r["k"]: (len(r["left_bag"]), len(r["right_bag"])) for r in joined.collect() if r["k"] != 1}

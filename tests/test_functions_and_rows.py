@@ -14,7 +14,7 @@ from tickloom.functions.portable import (
     new_bag,
     to_portable,
 )
-from tickloom.functions.selectors import parse_selector
+from tickloom.functions.selectors import parse_selector, pushable_classes
 from tickloom.functions.stack import (
     flatten_bag,
     flatten_struct,
@@ -57,6 +57,24 @@ def test_selectors(series):
     assert chosen(series, "~.*{missing~.*}") == []
     assert chosen(series, "wind{note=x%2Cy%3D1}") == [4]
     assert chosen(series, "~.*{room=a,unit=C}", "windy") == [1, 5]
+    assert chosen(series, "~w.+y") == [5] and chosen(series, "~wind.+") == [5]
+    assert chosen(series, "~temp.%5Ba-n%5D+{room~\\w+}") == [1, 2]
+
+
+def test_selectors_match_whole_texts_and_read_signs_as_they_are(spark):
+    names = ["a", "a\n", "a+b", "a b", "a12", "a,b{c"]
+    rows = frame(spark, *[point(name, {"n": name}, v_long=i) for i, name in enumerate(names)])
+    assert chosen(rows, "~a") == chosen(rows, "~.*{n~a}") == [0]
+    assert chosen(rows, "a+b") == chosen(rows, "a%2Bb") == chosen(rows, "~a%5C+b") == [2]
+    assert chosen(rows, "a b") == chosen(rows, "a%20b") == [3]
+    assert chosen(rows, "~a\\d+") == chosen(rows, "~.*{n~a\\d+}") == [4]
+    assert chosen(rows, "a%2Cb%7Bc") == chosen(rows, "~.*{n=a%2Cb%7Bc}") == [5]
+
+
+def test_classes_that_a_scan_may_be_asked_for():
+    assert pushable_classes("~.*") is None and pushable_classes("{k=v}") is None
+    assert pushable_classes("~|a") is None and pushable_classes("a", "~(b|c)") is None
+    assert pushable_classes("a", "~b.*|c") is not None
 
 
 def test_either_selector_is_the_union(series):
@@ -178,28 +196,27 @@ def test_map_rows_takes_options(spark):
     assert sorted(r["y"] for r in map_rows(spark.range(4), shift, "y bigint", by=10).collect()) == [10, 11, 12, 13]
 
 
-def test_apply_per_series(spark):
-    def row(part, low, high):
-        key = [part[name].iat[0] for name in SERIES_KEY]
-        return pd.DataFrame([[*key, low, high]], columns=[*SERIES_KEY, "low", "high"])
-
-    def spread(part):
-        return row(part, part["v_long"].min(), part["v_long"].max())
-
-    def widest(parts):
-        return row(parts, parts["low"].min(), parts["high"].max())
+@pytest.mark.parametrize("batch_rows", ["7", "10000"])
+def test_apply_per_series_streams(spark, batch_rows):
+    def extremes(frames):
+        key, low, high = None, None, None
+        for part in frames:
+            assert len(part) <= int(batch_rows)
+            key = [part[name].iat[0] for name in SERIES_KEY]
+            low = min(v for v in (low, part["v_long"].min()) if v is not None)
+            high = max(v for v in (high, part["v_long"].max()) if v is not None)
+        yield pd.DataFrame([[*key, low, high]], columns=[*SERIES_KEY, "low", "high"])
 
     points = frame(
         spark, *[point("hot", ts=t, v_long=t) for t in range(50)], point("cold", ts=1, v_long=3)
     )
     schema = "class string, label_key string, low bigint, high bigint"
-    expected = {("hot", "", 0, 49), ("cold", "", 3, 3)}
-    for limit in (7, 100):
-        got = apply_per_series(points, spread, schema, merge=widest, limit=limit)
-        assert {tuple(r) for r in got.collect()} == expected
-    assert {tuple(r) for r in apply_per_series(points, spread, schema).collect()} == expected
-    with pytest.raises(ValueError, match="more than 7 points"):
-        apply_per_series(points, spread, schema, limit=7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        got = {tuple(r) for r in apply_per_series(points, extremes, schema).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {("hot", "", 0, 49), ("cold", "", 3, 3)}
 
 
 def test_generate_rows(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.ids import with_series_ids
 from tickloom.functions.timeunits import convert_ticks, floor_div, ticks_of_local_timestamp
 from tickloom.model import label_text, to_points, with_selector
+from tickloom.operators.aggregates import series_count
 from tickloom.operators.dump import dump_text, update_stream
 from tickloom.operators.parse import (
     good_points,
@@ -14,7 +15,8 @@ from tickloom.operators.parse import (
     rejected_lines,
     strict_points,
 )
-from tickloom.sources.text import read_lines, write_update_stream
+from tickloom.plans.workflows import push_points
+from tickloom.sources.text import read_lines, write_lines
 
 from fixtures import frame, point, same_points
 
@@ -69,28 +71,81 @@ def test_negative_zero_keeps_its_sign(spark):
     assert sorted(line.rsplit(" ", 1)[1] for line in lines) == ["-0.0", "-0.0", "0.0"]
 
 
-def test_copies_of_heads_come_out_whole_in_steps(spark, monkeypatch):
-    monkeypatch.setattr("tickloom.operators.dump._COPIES_PER_STEP", 3)
-    copies = frame(spark, *[point(ts=1, v_long=5)] * 10)
-    lines = [r["line"] for r in dump_text(copies, optimize=True).collect()]
-    assert sorted(lines) == sorted(["1// c{} 5"] + ["=1// 5"] * 9)
+@pytest.fixture(params=["1", "8"])
+def partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("limit", [2, 1000])
-def test_update_stream_files_are_readable_alone(spark, tmp_path, limit):
-    points = frame(
+def hot_and_cold(spark):
+    return frame(
         spark,
         *[point("hot", {"k": "1"}, ts=t * t, v_long=t) for t in range(40)],
         *[point(f"cold{c}", ts=t, v_long=t) for c in range(5) for t in range(2)],
     )
+
+
+@pytest.mark.parametrize("run_lines", [3, 1000])
+def test_optimized_dump_reads_back_whole(spark, tmp_path, partitions, run_lines):
+    points = hot_and_cold(spark).union(frame(spark, *MIXED))
+    path = str(tmp_path / "dump")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        write_lines(dump_text(points, optimize=True, run_lines=run_lines), path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    same_points(strict_points(parse_stream(read_lines(spark, path))), points)
+
+
+def test_dump_written_as_plain_text_reads_back_whole(spark, tmp_path):
+    points = hot_and_cold(spark)
+    dump_text(points, optimize=True).select("line").write.text(str(tmp_path / "dump"))
+    same_points(strict_points(parse_stream(read_lines(spark, str(tmp_path / "dump")))), points)
+
+
+def test_names_in_the_text_depend_on_the_series_only(spark, partitions):
+    points = hot_and_cold(spark)
+    for run_lines, heads in ((1000, 6), (3, 14 + 5), (1, 50)):
+        lines = dump_text(points, optimize=True, run_lines=run_lines)
+        assert lines.where(~F.col("line").startswith("=")).count() == heads
+    with pytest.raises(ValueError):
+        dump_text(points, optimize=True, run_lines=0)
+
+
+def test_update_stream_passes_ready_lines(spark, tmp_path, partitions):
+    points = hot_and_cold(spark)
+    ready = dump_text(frame(spark, *MIXED)).select("line")
     path = str(tmp_path / "stream")
-    write_update_stream(points, path, limit)
+    counted = push_points(points, path, ready)
     for file in (tmp_path / "stream").glob("*.txt"):
-        text = file.read_text()
-        assert not text or not text.startswith("=")
-    same_points(strict_points(parse_stream(read_lines(spark, path))), points)
-    heads = update_stream(points, limit).where(~F.col("line").startswith("=")).count()
-    assert heads == 6 if limit == 1000 else heads > 6
+        assert not file.read_text().startswith("=")
+    same_points(strict_points(parse_stream(read_lines(spark, path))), points.union(frame(spark, *MIXED)))
+    assert {r["class"]: r["emitted"] for r in counted.collect()} == {
+        "hot": 40, **{f"cold{c}": 2 for c in range(5)}, None: len(MIXED)
+    }
+    continued = spark.createDataFrame([("=1// 2",)], "line string")
+    with pytest.raises(Exception, match="names no series"):
+        update_stream(points, continued).collect()
+
+
+def test_points_without_a_value_are_never_lost_silently(spark):
+    df = spark.sql("select 1L ts, 5 v union all select 2L, null")
+    read = lambda **options: to_points(df, F.lit("c"), F.col("ts"), F.col("v"), **options)
+    for use in (lambda p: dump_text(p).collect(), lambda p: series_count(p).collect(), lambda p: p.count()):
+        with pytest.raises(Exception, match="a point without a value"):
+            use(read())
+    kept = read(drop_null_values=True)
+    assert series_count(kept).first()["n_points"] == dump_text(kept).count() == 1
+    with pytest.raises(Exception, match="a point without a value"):
+        dump_text(frame(spark, point(ts=1))).collect()
+
+
+def test_a_plus_in_a_line_is_a_plus(spark):
+    lines = spark.createDataFrame([("1// a+b{k=c+d} 'e+f%2B'",)], "line string")
+    row = strict_points(parse_lines(lines)).first()
+    assert (row["class"], row["labels"], row["v_str"]) == ("a+b", {"k": "c+d"}, "e+f+")
 
 
 def test_stream_carries_series_over_file_blocks(spark, tmp_path):

@@ -3,22 +3,24 @@
 The class is exact, or a regular expression after ``~``. Regular expressions
 match whole values. A label name is looked up in the labels and, only when
 absent there, in the attributes; a name in neither rejects the series. Class,
-names and values are percent-decoded, so a comma in a value is written ``%2C``.
+names and values are percent-decoded, so a comma in a value is written ``%2C``,
+a brace ``%7B``; a ``+`` is itself.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
-from urllib.parse import unquote_plus
+from urllib.parse import unquote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _LITERAL = re.compile(r"[A-Za-z0-9_ /:@-]+")
-_PREFIX = re.compile(r"([A-Za-z0-9_ /:@-]+)\.\*")
+_PREFIX = re.compile(r"([A-Za-z0-9_ /:@-]+)\.[*+]")
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,7 @@ class Match:
     def on(self, column: Column) -> Column:
         if not self.is_regex:
             return column == self.text
-        return column.rlike(f"^(?:{self.text})$")
+        return column.rlike(f"\\A(?:{self.text})\\z")
 
     def pushable(self, column: Column) -> Column | None:
         """A condition implied by this one that file formats can evaluate."""
@@ -70,9 +72,9 @@ def parse_selector(text: str) -> Selector:
         raise ValueError(f"malformed selector: {text!r}")
     class_text, label_text = shape.group(1), shape.group(2) or ""
     class_match = (
-        Match(unquote_plus(class_text[1:]), True)
+        Match(unquote(class_text[1:]), True)
         if class_text.startswith("~")
-        else Match(unquote_plus(class_text), False)
+        else Match(unquote(class_text), False)
     )
     label_matches = []
     for term in filter(None, (part.strip() for part in label_text.split(","))):
@@ -80,13 +82,25 @@ def parse_selector(text: str) -> Selector:
         if parts is None:
             raise ValueError(f"malformed label condition {term!r} in selector {text!r}")
         name, kind, value = parts.groups()
-        label_matches.append((unquote_plus(name), Match(unquote_plus(value), kind == "~")))
+        label_matches.append((unquote(name), Match(unquote(value), kind == "~")))
     for match in [class_match, *(m for _, m in label_matches)]:
         if match.is_regex:
             re.compile(match.text)
     return Selector(class_match, tuple(label_matches))
 
 
+def pushable_classes(*selectors: str) -> Callable[[Column], Column] | None:
+    """What the selectors say about a class, for a column of raw classes.
+
+    None when they do not narrow it, or may select series without a class.
+    """
+    matches = [parse_selector(text).class_match for text in selectors]
+    narrow = all(m.pushable(F.lit("")) is not None for m in matches)
+    if not narrow or any(re.fullmatch(m.text, "") if m.is_regex else m.text == "" for m in matches):
+        return None
+    return lambda class_: reduce(or_, [m.pushable(class_) for m in matches])
+
+
 def selector_condition(
     *selectors: str,
     class_: Column | None = None,

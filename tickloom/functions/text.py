@@ -29,8 +29,8 @@ def percent_encode(text: Column) -> Column:
 
 
 def percent_decode(text: Column) -> Column:
-    """Undo percent-encoding; null when the text is not validly encoded."""
-    return F.try_url_decode(text)
+    """Undo percent-encoding; null when the text is not validly encoded. A ``+`` is itself."""
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
 def position_text() -> Column:
@@ -46,12 +46,16 @@ def position_text() -> Column:
 
 
 def value_text() -> Column:
-    """Value of a point row: ``T``/``F``, a number, or a quoted encoded string."""
+    """Value of a point row: ``T``/``F``, a number, or a quoted encoded string.
+
+    A point without any value fails the query, as a null line would lose it.
+    """
     return F.coalesce(
         F.col("v_double").cast("string"),
         F.col("v_long").cast("string"),
         F.when(F.col("v_bool"), "T").when(~F.col("v_bool"), "F"),
         F.concat(F.lit("'"), percent_encode(F.col("v_str")), F.lit("'")),
+        F.raise_error(F.lit("a point without a value")).cast("string"),
     )
 
 

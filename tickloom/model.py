@@ -132,10 +132,13 @@ def to_points(
     lon: Column | None = None,
     elev: Column | None = None,
     keep: Iterable[str] = (),
+    drop_null_values: bool = False,
 ) -> DataFrame:
     """Read any table as points. ``ts`` is in ticks; absent parts are null.
 
-    A null label value counts as the empty string.
+    A null label value counts as the empty string. A null ``value`` fails the
+    query, or with ``drop_null_values`` its row is no point: a point without a
+    value has no text form, so it must not be counted either.
     """
     if (lat is None) != (lon is None):
         raise ValueError("lat and lon come together")
@@ -166,7 +169,13 @@ def to_points(
         "elev": optional(elev, "bigint"),
         **typed_value(value, value_type),
     }
-    return df.select(*[column.alias(name) for name, column in columns.items()], *keep)
+    has_value = value.isNotNull()
+    if not drop_null_values:
+        failure = F.raise_error(F.lit("a point without a value")).cast("boolean")
+        has_value = F.when(has_value, True).otherwise(failure)
+    return df.where(has_value).select(
+        *[column.alias(name) for name, column in columns.items()], *keep
+    )
 
 
 def point_struct() -> Column:
@@ -174,11 +183,6 @@ def point_struct() -> Column:
     return F.struct(*POINT_FIELDS)
 
 
-def numeric_value() -> Column:
-    """The value of a point as a double, null for booleans and strings."""
-    return F.coalesce("v_double", F.col("v_long").cast("double"))
-
-
 def arity() -> Column:
     """Fields of a point in its shortest form, from 2 (tick, value) to 5."""
     has_location = F.col("lat").isNotNull()

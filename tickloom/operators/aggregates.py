@@ -6,17 +6,15 @@ or holds it in one task.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.ids import with_series_ids
+from tickloom.functions.timeunits import floor_div
 from tickloom.model import SERIES_KEY, with_selector, with_series_key
-from tickloom.session import materialise
+from tickloom.operators.ordering import with_rank
 
-DEFAULT_BAG_LIMIT = 1_000_000
+DEFAULT_BAG_ROWS = 100_000
 
 
 def series_count(points: DataFrame) -> DataFrame:
@@ -26,7 +24,8 @@ def series_count(points: DataFrame) -> DataFrame:
 
 def block_count() -> Column:
     """Points of a block: its header count, or the stored points when that is 0."""
-    stored = F.when(F.col("points").isNull(), 0).otherwise(F.size("points")).cast("bigint")
+    # The ticks alone say how many points there are, so other fields are not read.
+    stored = F.when(F.col("points").isNull(), 0).otherwise(F.size("points.ts")).cast("bigint")
     return F.when(F.coalesce("count", F.lit(0)) != 0, F.col("count")).otherwise(stored)
 
 
@@ -75,51 +74,33 @@ def window_of_all(bounds: DataFrame) -> DataFrame:
     )
 
 
-def extreme_series(bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The series that starts first and the series that ends last, one row each.
+def bag_by_key(
+    df: DataFrame, keys: list[str], bag: str = "bag", rows_per_bag: int = DEFAULT_BAG_ROWS
+) -> DataFrame:
+    """Rows of every key as arrays of structs of ``rows_per_bag`` rows at most.
 
-    Ties go to the smaller class, then the smaller selector.
+    The rows of a key fill bags one after the other, numbered by ``part`` from 0,
+    in an order that their content decides; how the table is stored does not
+    matter. Maps cannot be compared and do not take part in the order.
     """
-    named = with_selector(bounds)
-    tie = ["class", "selector"]
-    earliest = named.orderBy("first_tick", *tie).limit(1)
-    latest = named.orderBy(F.desc("last_tick"), *tie).limit(1)
-    return earliest, latest
+    if rows_per_bag < 1:
+        raise ValueError("rows_per_bag must be at least 1")
+    content = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*[c for c in df.columns if c not in keys])
+    ranked = with_rank(df, keys, [F.xxhash64(*content)], name="_rank")
+    part = floor_div(F.col("_rank") - 1, rows_per_bag)
+    return ranked.groupBy(*keys, part.alias("part")).agg(F.collect_list(row).alias(bag))
 
 
-def bag_by_key(
-    df: DataFrame, keys: list[str], bag: str = "bag", limit: int = DEFAULT_BAG_LIMIT
-) -> DataFrame:
-    """Rows of every key as an array of structs.
+def emitted_count(points: DataFrame, ready: DataFrame | None = None) -> DataFrame:
+    """Lines that ``update_stream`` writes for every series: one per point.
 
-    A key with more than about ``limit`` rows is spread over several numbered
-    ``part`` rows, so that no task gathers it whole; other keys have part 0 only.
+    Ready lines are counted under a null key.
     """
-    row = F.struct(*[c for c in df.columns if c not in keys])
-    large = materialise(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("bigint").alias("_parts"))
+    counted = series_count(points).withColumnRenamed("n_points", "emitted")
+    if ready is None:
+        return counted
+    null = F.lit(None).cast("string")
+    return counted.union(
+        ready.agg(F.count(F.lit(1)).alias("emitted")).select(null, null, "emitted").where("emitted > 0")
     )
-    if large.isEmpty():
-        parted = df.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        # The partition number spreads equal rows, the content spreads the rest.
-        hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-        spread = F.pmod(F.xxhash64("_spread", *hashable), F.col("_parts"))
-        # A null key is a key as any other, so it is compared null-safely.
-        renamed = large.select(*[F.col(k).alias(f"_large_{k}") for k in keys], "_parts")
-        same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])
-        parted = (
-            df.withColumn("_spread", F.spark_partition_id())
-            .join(renamed, same_key, "left")
-            .withColumn("part", F.coalesce(spread, F.lit(0).cast("bigint")))
-            .drop("_parts", "_spread", *[f"_large_{k}" for k in keys])
-        )
-    return parted.groupBy(*keys, "part").agg(F.collect_list(row).alias(bag))
-
-
-def emitted_count(lines: DataFrame) -> DataFrame:
-    """Lines written for every series."""
-    return lines.groupBy(*SERIES_KEY).agg(F.count("line").alias("emitted"))

@@ -23,12 +23,14 @@ from tickloom.model import (
 )
 from tickloom.operators.chunks import chunk_labels, without_chunk_label
 from tickloom.operators.dump import POINT_ORDER
-from tickloom.operators.skew import DEFAULT_GROUP_LIMIT, with_rank
+from tickloom.operators.ordering import with_rank
 from tickloom.session import materialise
 
-# Points per block unless the caller asks for another bound. A block is one row,
-# so this also bounds the size of a row.
+# Bounds of a block unless the caller asks for others. A block is one row.
 DEFAULT_BLOCK_POINTS = 100_000
+DEFAULT_BLOCK_BYTES = 64_000_000
+# A point without the text of its value.
+_POINT_BYTES = 80
 
 
 def point_of(*columns: str) -> dict[str, Column]:
@@ -53,24 +55,28 @@ def point_of(*columns: str) -> dict[str, Column]:
 def pack_points(
     points: DataFrame,
     max_points: int = DEFAULT_BLOCK_POINTS,
-    group_limit: int = DEFAULT_GROUP_LIMIT,
+    max_bytes: int = DEFAULT_BLOCK_BYTES,
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Blocks of at most ``max_points`` points, in tick order within a series.
+    """Blocks of bounded size, in tick order within a series.
 
-    Blocks of a series are numbered from 0 in ``block_no`` and all carry its
-    metadata. Points sorted and cut in one shuffle, unless a series is larger
-    than ``group_limit`` and needs to be ranked in time slices first. ``by`` adds
-    grouping columns that are kept in the result.
+    A block has at most ``max_points`` points and ends with the point that takes
+    the series over the next multiple of ``max_bytes``. Blocks of a series are
+    numbered upwards from 0 in ``block_no``; a number is left out where both
+    bounds are met at once. All blocks carry the metadata of the series. ``by``
+    adds grouping columns that are kept in the result.
     """
-    if max_points < 1:
-        raise ValueError("max_points must be at least 1")
+    if max_points < 1 or max_bytes < 1:
+        raise ValueError("max_points and max_bytes must be at least 1")
     keys = [*SERIES_KEY, *(by or [])]
     # The label map is left out of the shuffle: the label text says the same.
     rows = with_series_key(points).select(*keys, "attributes", *POINT_FIELDS)
-    ranked = with_rank(rows, keys, [F.col(c) for c in POINT_ORDER], limit=group_limit)
-    numbered = ranked.withColumn("block_no", floor_div(F.col("rank") - 1, max_points))
-    packed = numbered.groupBy(*keys, "block_no").agg(
+    size = F.lit(_POINT_BYTES) + F.coalesce(F.octet_length("v_str"), F.lit(0))
+    order = [F.col("ts"), *map(F.col, POINT_ORDER)]
+    ranked = with_rank(rows, keys, order, weight=size, weight_before="_bytes")
+    # Neither quotient ever falls, so their sum changes exactly where one of them does.
+    block = floor_div(F.col("rank") - 1, max_points) + floor_div(F.col("_bytes"), max_bytes)
+    packed = ranked.groupBy(*keys, block.alias("block_no")).agg(
         F.min_by("attributes", "rank").alias("attributes"),
         F.count(F.lit(1)).alias("count"),
         F.sort_array(F.collect_list(point_struct())).alias("points"),
@@ -122,7 +128,7 @@ def metadata_of_map(metadata: Column) -> dict[str, Column]:
 def merge_series(
     blocks: DataFrame,
     max_points: int = DEFAULT_BLOCK_POINTS,
-    group_limit: int = DEFAULT_GROUP_LIMIT,
+    max_bytes: int = DEFAULT_BLOCK_BYTES,
 ) -> DataFrame:
     """Blocks with one selector merged in tick order, equal points kept.
 
@@ -131,7 +137,7 @@ def merge_series(
     unless it fits a block.
     """
     blocks = with_series_key(blocks)
-    first_tick = F.array_min(F.transform("points", lambda p: p["ts"]))
+    first_tick = F.array_min("points.ts")
     # Blocks without points come last, whatever their attributes.
     place = F.struct(F.col("_start").isNull(), "_start", label_text(F.col("attributes")))
     owners = materialise(
@@ -147,7 +153,7 @@ def merge_series(
     )
     points = unpack_points(blocks).select(*SERIES_KEY, *POINT_FIELDS)
     merged = pack_points(
-        points.join(owners.drop("_start"), SERIES_KEY), max_points, group_limit
+        points.join(owners.drop("_start"), SERIES_KEY), max_points, max_bytes
     )
     zero = F.lit(0).cast("bigint")
     empty = owners.where(F.col("_start").isNull()).select(
@@ -190,7 +196,7 @@ def load_blocks(
 
     ``normal`` keeps the whole block, ``light`` only its metadata, and ``chunk``
     cuts it into time chunks, which need both clip bounds and a width. ``encoded``
-    is the block as a struct.
+    is the block as a struct. With ``gen_ids`` both join ids are columns and labels.
     """
     mode = mode.lower()
     if mode not in ("normal", "light", "chunk"):
@@ -208,6 +214,7 @@ def load_blocks(
         stored = stored.withColumns(
             {"classIdForJoin": text_id("class"), "labelsIdForJoin": text_id(original)}
         )
+        stored = stored.withColumn("labels", with_id_labels(F.col("labels")))
         extra = ["classIdForJoin", "labelsIdForJoin", *extra]
     payload = [*METADATA_FIELDS, *HEADER_FIELDS, "count"]
     if mode != "light":
@@ -217,23 +224,48 @@ def load_blocks(
     )
 
 
+def with_id_labels(labels: Column) -> Column:
+    """Labels with both ids of the row among them, replacing ones already there."""
+    names = ("classIdForJoin", "labelsIdForJoin")
+    plain = F.map_filter(F.coalesce(labels, empty_string_map()), lambda k, v: ~k.isin(*names))
+    return F.map_concat(
+        plain, F.create_map(*[c for n in names for c in (F.lit(n), F.col(n).cast("string"))])
+    )
+
+
 def chunk_blocks(blocks: DataFrame, clip_from: int, clip_to: int, width: int) -> DataFrame:
     """Every block cut into one block per time chunk, without a shuffle.
 
-    A block holds a bounded number of points, so its chunks are found by
-    filtering its own array.
+    The ticks of a block are sorted, so a chunk is a slice of the array: each
+    point is looked at a fixed number of times, however many chunks there are.
     """
-    def chunk_of(tick: Column) -> Column:
-        return floor_div(tick, width)
-
-    clipped = with_series_key(blocks).withColumn(
-        "points", F.filter("points", lambda p: p["ts"].between(clip_from, clip_to))
+    if width < 1:
+        raise ValueError("width must be at least 1")
+
+    def starts(points: Column) -> Column:
+        """Places (from 1) of the first point of each chunk, and one past the end."""
+        chunk = lambda i: floor_div(F.get(points, i)["ts"], width)
+        places = F.sequence(F.lit(0), F.size(points) - 1)
+        firsts = F.filter(places, lambda i: (i == 0) | (chunk(i) != chunk(i - 1)))
+        return F.concat(firsts, F.array(F.size(points)))
+
+    clipped = (
+        with_series_key(blocks)
+        .withColumn(
+            "points", F.filter("points", lambda p: p["ts"].between(clip_from, clip_to))
+        )
+        .where(F.size("points") > 0)
+        .withColumn("points", F.sort_array("points"))
+        .withColumn("_starts", starts(F.col("points")))
+    )
+    cut = clipped.select("*", F.posexplode("_starts").alias("_n", "_first")).where(
+        F.col("_n") < F.size("_starts") - 1
     )
-    ids = F.array_sort(F.array_distinct(F.transform("points", lambda p: chunk_of(p["ts"]))))
-    cut = clipped.withColumn("chunk_id", F.explode(ids))
-    inside = F.filter("points", lambda p: chunk_of(p["ts"]) == F.col("chunk_id"))
+    length = F.get("_starts", F.col("_n") + 1) - F.col("_first")
     return (
-        cut.withColumn("points", inside)
+        cut.withColumn("points", F.slice("points", F.col("_first") + 1, length))
+        .withColumn("chunk_id", floor_div(F.get("points", F.lit(0))["ts"], width))
         .withColumn("count", F.size("points").cast("bigint"))
         .withColumn("labels", chunk_labels(F.col("labels"), F.col("chunk_id")))
+        .drop("_starts", "_n", "_first")
     )

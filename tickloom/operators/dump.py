@@ -2,89 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import continuation_line, full_line
 from tickloom.model import POINT_FIELDS, SERIES_KEY, selector_text, with_series_key
-from tickloom.operators.skew import DEFAULT_GROUP_LIMIT, split_by_time
-from tickloom.session import materialise
+from tickloom.operators.ordering import with_rank
 
 # Order of points with one tick, so that results repeat.
 POINT_ORDER = [name for name in POINT_FIELDS if name != "ts"]
 
-_COPIES_PER_STEP = 1_000_000
+# Lines that may follow each other with one name.
+RUN_LINES = 1_000_000
 
 
-def dump_text(points: DataFrame, optimize: bool = False) -> DataFrame:
+def dump_text(points: DataFrame, optimize: bool = False, run_lines: int = RUN_LINES) -> DataFrame:
     """One text line per point, with the key of its series.
 
-    With ``optimize``, only the first line of a series names it; the others
-    start with ``=`` and hold position and value.
+    With ``optimize``, lines are in order and only the first line of a series
+    names it; the others start with ``=`` and hold position and value. The name
+    comes again after every ``run_lines`` lines, for every series alike. Runs of
+    lines under one name stay in one partition, and so in one file.
     """
     points = with_series_key(points)
-    if optimize:
-        return _dump_with_heads(points)
-    return points.select(*SERIES_KEY, "ts", full_line(selector_text()).alias("line"))
-
-
-def _dump_with_heads(points: DataFrame) -> DataFrame:
-    # The first point comes from a hash aggregate and a join on the series, not
-    # from ordering each series, so a series of any size is no burden. The list
-    # of series is joined by broadcast only when its written size allows it.
-    starts = materialise(points.groupBy(*SERIES_KEY).agg(F.min("ts").alias("_start")))
-    started = points.join(starts, SERIES_KEY)
-
-    rest = started.where(F.col("ts") > F.col("_start")).select(
-        *SERIES_KEY, "ts", continuation_line().alias("line")
-    )
-
-    # Equal first points are counted before they are put in order and written
-    # out again afterwards, in bounded steps. They are told apart by their text
-    # as well, since grouping takes -0.0 and 0.0 as one number.
-    first_of_series = Window.partitionBy(*SERIES_KEY).orderBy(*POINT_ORDER)
-    heads = (
-        started.where(F.col("ts") == F.col("_start"))
-        .withColumns({"_full": full_line(selector_text()), "_continued": continuation_line()})
-        .groupBy(*SERIES_KEY, *POINT_FIELDS, "_full", "_continued")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_is_head", F.row_number().over(first_of_series) == 1)
-    )
-    last_step = F.expr(f"(_copies - 1) div {_COPIES_PER_STEP}")
-    in_step = F.least(
-        F.lit(_COPIES_PER_STEP - 1).cast("bigint"), F.col("_copies") - 1 - F.col("_step") * _COPIES_PER_STEP
-    )
-    heads = (
-        heads.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last_step)))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), in_step)))
+    if not optimize:
+        return points.select(*SERIES_KEY, "ts", full_line(selector_text()).alias("line"))
+    if run_lines < 1:
+        raise ValueError("run_lines must be at least 1")
+    rows = points.select(*SERIES_KEY, *POINT_FIELDS)
+    place = F.col("_place") - 1
+    runs = with_rank(
+        rows, SERIES_KEY, [F.col("ts"), *map(F.col, POINT_ORDER)], name="_place"
+    ).withColumns({"_run": F.floor(place / run_lines), "_in_run": place % run_lines})
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        runs.repartition(n, *SERIES_KEY, "_run")
+        .sortWithinPartitions(*SERIES_KEY, "_place")
         .select(
             *SERIES_KEY,
             "ts",
-            F.when(
-                F.col("_is_head") & (F.col("_step") == 0) & (F.col("_copy") == 0), F.col("_full")
-            )
-            .otherwise(F.col("_continued"))
+            F.when(F.col("_in_run") == 0, full_line(selector_text()))
+            .otherwise(continuation_line())
             .alias("line"),
         )
     )
-    return rest.unionByName(heads)
 
 
-def update_stream(points: DataFrame, limit: int = DEFAULT_GROUP_LIMIT) -> DataFrame:
-    """Lines in the order an ingest endpoint reads them.
+def update_stream(
+    points: DataFrame, ready: DataFrame | None = None, run_lines: int = RUN_LINES
+) -> DataFrame:
+    """Lines in the order an ingest endpoint reads them, with the key of their series.
 
-    Partitions hold whole runs of lines, each run starting with a line that names
-    its series and going on with ``=`` lines in tick order. A series is one run,
-    or one run per time slice when it has more than ``limit`` points.
+    ``ready`` has lines of its own in ``line``, which are passed through as they
+    are, without a key; each must name its series.
     """
-    points, slices = split_by_time(with_series_key(points), SERIES_KEY, limit)
-    keys = [*SERIES_KEY, *slices]
-    in_run = Window.partitionBy(*keys).orderBy("ts", *POINT_ORDER)
-    ordered = points.repartition(*keys) if slices else points
-    return ordered.withColumn("_place", F.row_number().over(in_run)).select(
-        *SERIES_KEY,
-        "ts",
-        F.when(F.col("_place") == 1, full_line(selector_text()))
-        .otherwise(continuation_line())
-        .alias("line"),
+    stream = dump_text(points, optimize=True, run_lines=run_lines)
+    if ready is None:
+        return stream
+    nothing = {name: F.lit(None).cast(stream.schema[name].dataType) for name in (*SERIES_KEY, "ts")}
+    continued = F.raise_error(F.concat(F.lit("line names no series: "), F.col("line")))
+    named = F.when(F.ltrim("line").startswith("="), continued).otherwise(F.col("line"))
+    return stream.union(
+        ready.select(*[c.alias(name) for name, c in nothing.items()], named.alias("line"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.ids import text_id, with_series_ids
 from tickloom.model import SERIES_KEY, known_label_text, with_selector, with_series_key
-from tickloom.operators.aggregates import DEFAULT_BAG_LIMIT, bag_by_key, extreme_series
+from tickloom.operators.aggregates import DEFAULT_BAG_ROWS, bag_by_key, window_of_all
 
 ID_KEY = ["class_id", "labels_id", "selector"]
 
@@ -18,26 +18,41 @@ def bounds_cogroup(bounds: DataFrame) -> DataFrame:
     """First tick of the series that starts first, last tick of the one that ends last.
 
     One row when a series is both, else two rows with one side null each. Both
-    sides hold a single row.
+    come from one aggregate; without any series there is no row.
     """
-    earliest, latest = extreme_series(bounds)
-    return earliest.select(*ID_KEY, "first_tick").join(
-        latest.select(*ID_KEY, "last_tick"), ID_KEY, "full_outer"
+    window = window_of_all(bounds).where(F.col("first_series").isNotNull())
+    null = F.lit(None).cast("bigint")
+
+    def side(series: str, first: Column, last: Column) -> Column:
+        return F.struct(
+            *[F.col(f"{series}.{k}").alias(k) for k in ID_KEY],
+            first.alias("first_tick"),
+            last.alias("last_tick"),
+        )
+
+    first, last = F.col("first_tick"), F.col("last_tick")
+    same = F.col("first_series.selector") == F.col("last_series.selector")
+    return window.select(
+        F.inline(
+            F.when(same, F.array(side("first_series", first, last))).otherwise(
+                F.array(side("first_series", first, null), side("last_series", null, last))
+            )
+        )
     )
 
 
 def cogroup_bags(
-    left: DataFrame, right: DataFrame, keys: list[str], limit: int = DEFAULT_BAG_LIMIT
+    left: DataFrame, right: DataFrame, keys: list[str], rows_per_bag: int = DEFAULT_BAG_ROWS
 ) -> DataFrame:
     """One row per key of either side, with a bag of its rows from each side.
 
-    A side without the key has an empty bag. Bags of keys with more than about
-    ``limit`` rows go on over rows with the next ``part`` numbers; the sides are
+    A side without the key has an empty bag. Keys with more than ``rows_per_bag``
+    rows on a side go on over rows with the next ``part`` numbers; the sides are
     never paired row by row. Null keys of the two sides do not meet.
     """
     on = [*keys, "part"]
-    a = bag_by_key(left, keys, "left_bag", limit)
-    b = bag_by_key(right, keys, "right_bag", limit)
+    a = bag_by_key(left, keys, "left_bag", rows_per_bag)
+    b = bag_by_key(right, keys, "right_bag", rows_per_bag)
     joined = a.join(b, on, "full_outer")
     return joined.select(
         *on, *[F.coalesce(bag, F.array()).alias(bag) for bag in ("left_bag", "right_bag")]

@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tickloom.functions.expressions import read_expressions
 from tickloom.model import SERIES_KEY, with_series_key
-from tickloom.operators.skew import DEFAULT_GROUP_LIMIT, split_by_time
 
 
 def apply_exprs(df: DataFrame, script: str | list[str], name: str = "stack") -> DataFrame:
@@ -48,51 +49,36 @@ def map_rows(
 
 def apply_per_series(
     points: DataFrame,
-    function: Callable[[pd.DataFrame], pd.DataFrame],
+    function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
     schema: StructType | str,
-    merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
-    limit: int = DEFAULT_GROUP_LIMIT,
 ) -> DataFrame:
-    """Run a Python function on all points of a series.
+    """Run a Python function on the points of each series.
 
-    ``function`` gets a frame of points and returns a frame of ``schema``, which
-    must contain the series key. Given ``merge``, a series with more than
-    ``limit`` points is handed to ``function`` in time slices, in no set order,
-    and ``merge`` makes one result of the frames returned for them. Without
-    ``merge`` such a series is an error, since one worker cannot hold it.
+    ``function`` gets the points of a series as an iterator of frames, in no set
+    order, and yields frames of ``schema``. It streams, so a series of any size
+    takes the memory of one batch; what is kept between batches is up to the
+    function.
     """
     keyed = with_series_key(points)
-    if merge is None:
-        sizes = keyed.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-        if not sizes.where(F.col("_rows") > limit).isEmpty():
-            raise ValueError(f"a series has more than {limit} points: pass merge to work in slices")
-        return _spread(keyed, SERIES_KEY).groupBy(*SERIES_KEY).applyInPandas(function, schema)
-
-    sliced, slices = split_by_time(keyed, SERIES_KEY, limit)
-    if not slices:
-        return _spread(sliced, SERIES_KEY).groupBy(*SERIES_KEY).applyInPandas(function, schema)
-    parts = (
-        _spread(sliced, [*SERIES_KEY, *slices])
-        .groupBy(*SERIES_KEY, *slices)
-        .applyInPandas(lambda pdf: function(pdf.drop(columns=slices)), schema)
-    )
-    return parts.groupBy(*SERIES_KEY).applyInPandas(merge, schema)
-
-
-def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows partitioned by keys over all configured shuffle partitions.
-
-    Adaptive execution would join partitions that are small in bytes, and so put
-    many Python calls into one task.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    kinds = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in function(batch.to_pandas() for batch in batches):
+            yield pa.RecordBatch.from_pandas(frame, schema=kinds, preserve_index=False)
+
+    # Adaptive execution would join partitions that are small in bytes, and so put
+    # many Python calls into one task.
+    n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartition(n, *SERIES_KEY).groupBy(*SERIES_KEY).applyInArrow(run, schema)
 
 
 def generate_rows(df: DataFrame, generator: Callable[..., Any], *arguments: Column) -> DataFrame:
     """Rows a Python table function makes from each row, beside that row.
 
-    ``generator`` is made with ``pyspark.sql.functions.udtf``. A row for which it
-    makes nothing is dropped. Where a built-in generator such as ``explode`` fits,
-    use that instead.
+    ``generator`` is made with ``pyspark.sql.functions.udtf`` or ``arrow_udtf``. A
+    row for which it makes nothing is dropped. Where a built-in generator such as
+    ``explode`` fits, use that instead.
     """
     return df.lateralJoin(generator(*[argument.outer() for argument in arguments]))

@@ -6,9 +6,10 @@ import io
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,7 @@ from tickloom.functions.timeunits import (
 from tickloom.model import (
     POINTS_SCHEMA,
     SERIES_KEY,
+    arity,
     label_text,
     selector_text,
     to_points,
@@ -65,22 +67,26 @@ from tickloom.operators.blocks import (
     unpack_points,
 )
 from tickloom.operators.chunks import chunk_fuse, time_chunk
-from tickloom.operators.dump import POINT_ORDER, dump_text, update_stream
+from tickloom.operators.dump import POINT_ORDER, dump_text
 from tickloom.operators.joins import (
-    bounds_cogroup,
     cogroup_bags,
     group_assignment,
     partition_join,
     reduce_by_group,
 )
 from tickloom.operators.parse import parse_lines, parse_stream, strict_points
+from tickloom.operators.ordering import with_rank
 from tickloom.operators.rows import apply_exprs, apply_per_series, generate_rows, map_rows
 from tickloom.operators.select import filter_by_metadata, select_series
-from tickloom.operators.skew import with_rank
 from tickloom.plans.events import event_points, read_table
-from tickloom.plans.workflows import merge_text, push_points, scan_to_sequence_files
+from tickloom.plans.workflows import (
+    merge_text,
+    push_points,
+    scan_to_sequence_files,
+    time_window,
+)
 from tickloom.session import new_shared_path
-from tickloom.sources.files import archive_entries, read_whole_files, whole_file_ingest
+from tickloom.sources.files import archive_entries, whole_file_ingest
 from tickloom.sources.keyvalue import (
     SEQUENCE_INPUT,
     SEQUENCE_OUTPUT,
@@ -102,7 +108,7 @@ from tickloom.sources.series import (
     write_blocks,
     write_points,
 )
-from tickloom.sources.text import read_lines
+from tickloom.sources.text import read_lines, write_lines, write_update_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,7 +164,7 @@ DAY = 86_400_000_000
 # Ticks used as window and clip bounds, within the first month of 2024.
 CLIP_FROM, CLIP_TO = 1_704_326_400_000_000, 1_705_881_600_000_000
 NOW, TIMESPAN = 1_705_881_600_000_000, 7 * DAY
-SELECTORS = ["~p.*|si.*{shard~[01]}", "click{tier=gold}"]
+SELECTORS = ["~p.+|si.*{shard~[01]+}", "click{tier=gold}"]
 
 
 def exact_sum(value: Column | str) -> Column:
@@ -175,14 +181,18 @@ def tick_text(points: str = "points") -> Column:
 
 @query(
     """
-    with n as (select count(*) as c, (count(*) + 6) // 7 as step from events),
-    i as (select row_number() over () - 1 as i from events)
-    select i - (i // step) * step as seqno, 100 + i as value from i, n
+    with n as (select max(event_id) + 1 as c, (max(event_id) + 7) // 7 as step from events)
+    select event_id - (event_id // step) * step as seqno, 100 + event_id as value, event_type
+    from events, n
     """
 )
 def range_scan_query(spark: SparkSession, folder: str) -> DataFrame:
-    count = read_table(spark, folder, "events").count()
-    return range_scan(spark, 100, count, splits=7)
+    events = read_table(spark, folder, "events").select("event_id", "event_type")
+    last = events.agg(F.max("event_id")).first()[0]
+    numbers = range_scan(spark, 100, last + 1, splits=7)
+    return numbers.join(events, F.col("value") == F.col("event_id") + 100).select(
+        "seqno", "value", "event_type"
+    )
 
 
 @query(
@@ -195,7 +205,7 @@ def range_scan_query(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def series_scan_query(spark: SparkSession, folder: str) -> DataFrame:
-    points = event_points(spark, folder, window=(NOW - TIMESPAN, NOW))
+    points = event_points(spark, folder, window=(NOW - TIMESPAN, NOW), selectors=SELECTORS)
     return series_scan(points, *SELECTORS, now=NOW, timespan=TIMESPAN).select("id", "ts", "v_double")
 
 
@@ -219,8 +229,9 @@ def stored_series_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     P
     + f"""
-    select class as "className", lk as label_text, {CLASS_ID} as "classIdForJoin",
-           {LABELS_ID} as "labelsIdForJoin", count(*) as n_header, count(*) as n_stored
+    select class as "className",
+           'classIdForJoin=' || {CLASS_ID} || ',labelsIdForJoin=' || {LABELS_ID} || ',' || lk as label_text,
+           {CLASS_ID} as "classIdForJoin", {LABELS_ID} as "labelsIdForJoin", count(*) as n_header, count(*) as n_stored
     from p group by class, lk
     """
 )
@@ -258,14 +269,15 @@ def block_load_light(spark: SparkSession, folder: str) -> DataFrame:
     + f"""
     select class as "className", {LABELS_ID} as "labelsIdForJoin",
            floor(ts / {DAY}.0)::bigint::varchar as "chunkId",
-           'chunkId=' || floor(ts / {DAY}.0)::bigint || ',' || lk as label_text,
+           'chunkId=' || floor(ts / {DAY}.0)::bigint || ',classIdForJoin=' || {CLASS_ID}
+             || ',labelsIdForJoin=' || {LABELS_ID} || ',' || lk as label_text,
            count(*) as n_header, string_agg(ts::varchar, ',' order by ts) as ticks
     from p where ts between {CLIP_FROM} and {CLIP_TO} group by class, lk, 3, 4
     """
 )
 def block_load_chunk(spark: SparkSession, folder: str) -> DataFrame:
     loaded = load_blocks(
-        pack_points(event_points(spark, folder)),
+        pack_points(event_points(spark, folder, clip=(CLIP_FROM, CLIP_TO))),
         "chunk",
         gen_ids=True,
         clip_from=CLIP_FROM,
@@ -367,14 +379,32 @@ def dump_text_query(spark: SparkSession, folder: str) -> DataFrame:
 HEADED_LINE = f"case when rn = 1 then {FULL_LINE} else '=' || place || ' ' || v_double end"
 
 
-@query(P + f"select {HEADED_LINE} as line from lines")
+@query(P + f"select class, lk as label_key, rn as place, {HEADED_LINE} as line from lines")
 def dump_text_optimized(spark: SparkSession, folder: str) -> DataFrame:
-    return dump_text(event_points(spark, folder), optimize=True).select("line")
+    lines = dump_text(event_points(spark, folder), optimize=True)
+    return lines_in_place(lines, *SERIES_KEY)
 
 
-@query(P + f"select {HEADED_LINE} as line from lines")
+def lines_in_place(lines: DataFrame, *columns: str) -> DataFrame:
+    """Lines with their place in their series, as they follow each other in the partitions."""
+    at = lines.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(*SERIES_KEY).orderBy("_at"))
+    return at.select(*columns, place.cast("bigint").alias("place"), "line")
+
+
+@query(P + f"select class, lk as label_key, rn as place, {HEADED_LINE} as line from lines")
 def convert_text(spark: SparkSession, folder: str) -> DataFrame:
-    return merge_text(dump_text(event_points(spark, folder)).select("line")).select("line")
+    merged = merge_text(dump_text(event_points(spark, folder)).select("line"))
+    return lines_in_place(merged, *SERIES_KEY)
+
+
+@query(P + "select class, lk as label_key, rn as place, ts, lat, lon, elev, v_double from lines")
+def dump_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "lines")
+    write_lines(dump_text(event_points(spark, folder), optimize=True), path)
+    points = with_series_key(strict_points(parse_stream(read_lines(spark, path))))
+    ranked = with_rank(points, SERIES_KEY, [F.col("ts"), *map(F.col, POINT_ORDER)], name="place")
+    return ranked.select(*SERIES_KEY, "place", "ts", "lat", "lon", "elev", "v_double")
 
 
 @query(
@@ -404,29 +434,44 @@ def pack_points_bounded(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FORM = """case when lat is null and elev is null then 2 when lat is null then 3
+                when elev is null then 4 else 5 end"""
+
+
 @query(
     P
-    + """
-    select selector, count(*) as n_points, 0 as n_located, count(elev) as n_raised,
-           string_agg(ts::varchar, ',' order by ts) as ticks
-    from p where elev is not null group by selector
+    + f"""
+    select selector, {FORM} as form, count(*) as n_points, count(lat) as n_located,
+           count(elev) as n_raised, string_agg(ts::varchar, ',' order by ts) as ticks
+    from p group by 1, 2
     """
 )
 def pack_points_elevation(spark: SparkSession, folder: str) -> DataFrame:
-    rows = event_points(spark, folder).where(F.col("elev").isNotNull())
-    form = point_of("ts", "elev", "v_double")
-    points = to_points(
-        rows.select("class", "labels", "ts", "elev", "v_double"),
-        class_=F.col("class"),
-        labels={name: F.col("labels")[name] for name in ("user", "shard")},
-        **form,
-    )
-    packed = with_selector(pack_points(points))
+    forms = {
+        2: ("ts", "v_double"),
+        3: ("ts", "elev", "v_double"),
+        4: ("ts", "lat", "lon", "v_double"),
+        5: ("ts", "lat", "lon", "elev", "v_double"),
+    }
+    rows = event_points(spark, folder).withColumn("form", arity())
+    read = [
+        to_points(
+            rows.where(F.col("form") == size),
+            class_=F.col("class"),
+            labels={name: F.col("labels")[name] for name in ("user", "shard")},
+            **point_of(*columns),
+            keep=["form"],
+        )
+        for size, columns in forms.items()
+    ]
+    packed = with_selector(pack_points(reduce(DataFrame.unionByName, read), by=["form"]))
+    some = lambda field: F.size(F.filter("points", lambda p: p[field].isNotNull())).cast("bigint")
     return packed.select(
         "selector",
+        "form",
         F.col("count").alias("n_points"),
-        F.size(F.filter("points", lambda p: p["lat"].isNotNull())).cast("bigint").alias("n_located"),
-        F.size(F.filter("points", lambda p: p["elev"].isNotNull())).cast("bigint").alias("n_raised"),
+        some("lat").alias("n_located"),
+        some("elev").alias("n_raised"),
         tick_text().alias("ticks"),
     )
 
@@ -512,7 +557,7 @@ def series_selector(spark: SparkSession, folder: str) -> DataFrame:
     """
     select event_id, event_type || ':' || value as by_text,
            '[' || user_id || ',' || event_id || ']' as bag_text,
-           event_id::varchar || '|' || event_type as tuple_text, '1 days' as other
+           event_id::varchar || '|' || event_type as tuple_text, user_id || ' days' as other
     from events
     """
 )
@@ -522,7 +567,7 @@ def to_portable_query(spark: SparkSession, folder: str) -> DataFrame:
         F.create_map(F.col("event_id"), F.create_map("event_type", "value")).alias("nested"),
         F.array("user_id", "event_id").alias("numbers"),
         F.struct("event_id", "event_type").alias("pair"),
-        F.make_dt_interval(F.lit(1)).alias("span"),
+        F.make_dt_interval(F.col("user_id").cast("int")).alias("span"),
     )
     portable = columns_to_portable(events, "nested", "numbers", "pair", "span")
     inner = F.col("nested")[F.col("event_id").cast("string")]
@@ -543,7 +588,7 @@ def to_portable_query(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     select event_id, event_id || ',' || user_id as bag_text, event_id + user_id as list_sum,
-           2 as n_inner
+           2 + event_id % 2 as n_inner
     from events
     """
 )
@@ -553,7 +598,12 @@ def from_portable_query(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         F.array(one("event_id"), one("user_id")).alias("bag"),
         F.struct("event_id", "user_id").alias("pair"),
-        F.create_map(F.lit("k"), F.array(one("event_id"), one("user_id"))).alias("by_name"),
+        F.create_map(
+            F.lit("k"),
+            F.when(F.col("event_id") % 2 == 0, F.array(one("event_id"), one("user_id"))).otherwise(
+                F.array(one("event_id"), one("user_id"), one("event_id"))
+            ),
+        ).alias("by_name"),
     )
     script = columns_from_portable(events, "bag", "pair", "by_name")
     return script.select(
@@ -650,17 +700,18 @@ def time_unit_convert(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    with n as (select (count(*) + 1) // 2 as step from events),
-    i as (select row_number() over () - 1 as i from events)
-    select '[TOP OUT]' as e0, i || ' [2 IN]' as e1,
-           (i - (i // step) * step) || ' [TOP IN]' as e2
-    from i, n
+    with n as (select (max(event_id) + 2) // 2 as step from events)
+    select '[TOP OUT] ' || event_type as e0, event_id || ' [2 IN]' as e1,
+           (event_id - (event_id // step) * step) || ' [TOP IN]' as e2
+    from events, n
     """
 )
 def row_string_expr(spark: SparkSession, folder: str) -> DataFrame:
-    numbers = range_scan(spark, 0, read_table(spark, folder, "events").count(), splits=2)
+    events = read_table(spark, folder, "events").select("event_id", "event_type")
+    last = events.agg(F.max("event_id")).first()[0]
+    numbers = range_scan(spark, 0, last + 1, splits=2).join(events, F.col("value") == F.col("event_id"))
     script = [
-        "'[TOP OUT]'",
+        "concat('[TOP OUT] ', event_type)",
         "concat(cast(value as string), ' [2 IN]')",
         "concat(cast(seqno as string), ' [TOP IN]')",
     ]
@@ -679,13 +730,13 @@ def row_string_expr(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def select_series_query(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = select_series(event_points(spark, folder), *SELECTORS)
+    chosen = select_series(event_points(spark, folder, selectors=SELECTORS), *SELECTORS)
     return with_selector(chosen).select("event_id", "selector")
 
 
 @query(P + "select event_id, selector, v_double from p where class = 'click'")
 def filter_by_name(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = filter_by_metadata(event_points(spark, folder), "name", "click")
+    chosen = filter_by_metadata(event_points(spark, folder, name="click"), "name", "click")
     return with_selector(chosen).select("event_id", "selector", "v_double")
 
 
@@ -805,14 +856,16 @@ def group_all_window(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    select user_id, 0 as part, count(*) as n_rows, sum(event_id)::bigint as id_sum
-    from events group by user_id
+    with sizes as (select user_id, count(*) as n, sum(event_id)::bigint as total from events group by 1)
+    select user_id, part, least(20, n - part * 20) as n_rows, total as id_sum
+    from sizes, unnest(range((n + 19) // 20)) as parts(part)
     """
 )
 def group_by_key(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select("user_id", "event_id", "value")
-    bags = bag_by_key(events, ["user_id"])
-    return bags.select("user_id", "part", *bag_sums("bag", "n_rows", "id_sum"))
+    bags = bag_by_key(events, ["user_id"], rows_per_bag=20)
+    total = F.sum("id_sum").over(Window.partitionBy("user_id"))
+    return bags.select("user_id", "part", *bag_sums("bag", "n_rows", "id_sum")).withColumn("id_sum", total)
 
 
 def bag_sums(bag: str, size: str, total: str) -> list[Column]:
@@ -825,7 +878,7 @@ def bag_sums(bag: str, size: str, total: str) -> list[Column]:
 
 @query(P + "select class, lk as label_key, count(*) as emitted from p group by class, lk")
 def emitted_count_query(spark: SparkSession, folder: str) -> DataFrame:
-    return emitted_count(update_stream(event_points(spark, folder)))
+    return emitted_count(event_points(spark, folder))
 
 
 # --------------------------------------------------------------- joins
@@ -845,31 +898,34 @@ def emitted_count_query(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def bounds_cogroup_query(spark: SparkSession, folder: str) -> DataFrame:
-    return bounds_cogroup(series_bounds(event_points(spark, folder)))
+    return time_window(event_points(spark, folder))
 
 
 @query(
     """
-    with a as (select user_id, count(*) as n, sum(event_id)::bigint as s from events
-               where event_type = 'click' group by 1),
-    b as (select user_id, count(*) as n, sum(event_id)::bigint as s from events
-          where event_type = 'signup' group by 1)
-    select user_id, 0 as part, coalesce(a.n, 0) as n_left, coalesce(a.s, 0) as left_sum,
-           coalesce(b.n, 0) as n_right, coalesce(b.s, 0) as right_sum
-    from a full join b using (user_id)
+    with a as (select user_id as k, count(*) as n, sum(event_id)::bigint as s from events group by 1),
+    b as (select o_custkey as k, count(*) as n, sum(o_orderkey)::bigint as s from orders group by 1),
+    j as (select k, coalesce(a.n, 0) as na, coalesce(a.s, 0) as sa, coalesce(b.n, 0) as nb,
+                 coalesce(b.s, 0) as sb
+          from a full join b using (k))
+    select k as key, part, greatest(0, least(10, na - part * 10)) as n_left, sa as left_sum,
+           greatest(0, least(10, nb - part * 10)) as n_right, sb as right_sum
+    from j, unnest(range((greatest(na, nb) + 9) // 10)) as parts(part)
     """
 )
 def cogroup_bags_query(spark: SparkSession, folder: str) -> DataFrame:
-    events = read_table(spark, folder, "events")
-    left = events.where(F.col("event_type") == "click").select("user_id", "event_id")
-    right = events.where(F.col("event_type") == "signup").select("user_id", "event_id")
-    bags = cogroup_bags(left, right, ["user_id"])
+    events = read_table(spark, folder, "events").select(F.col("user_id").alias("key"), "event_id")
+    orders = read_table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("event_id")
+    )
+    bags = cogroup_bags(events, orders, ["key"], rows_per_bag=10)
+    of_key = Window.partitionBy("key")
     return bags.select(
-        "user_id",
+        "key",
         "part",
         *bag_sums("left_bag", "n_left", "left_sum"),
         *bag_sums("right_bag", "n_right", "right_sum"),
-    )
+    ).withColumns({name: F.sum(name).over(of_key) for name in ("left_sum", "right_sum")})
 
 
 SHARD_ID = _ID.format("'shard=' || shard")
@@ -925,9 +981,8 @@ def sort_points(spark: SparkSession, folder: str) -> DataFrame:
     ranked = with_rank(
         event_points(spark, folder),
         SERIES_KEY,
-        [F.col(name) for name in POINT_ORDER],
+        [F.col("ts").desc(), *map(F.col, POINT_ORDER)],
         name="place",
-        descending=True,
     )
     return with_selector(ranked).select("selector", "ts", "v_double", "place")
 
@@ -960,7 +1015,7 @@ def top_one_query(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def time_chunk_query(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = time_chunk(event_points(spark, folder), CLIP_FROM, CLIP_TO, DAY)
+    chunks = time_chunk(event_points(spark, folder, clip=(CLIP_FROM, CLIP_TO)), CLIP_FROM, CLIP_TO, DAY)
     counted = chunks.groupBy("class", "base_key", "chunk_id").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.min("ts").alias("first_tick"),
@@ -983,7 +1038,7 @@ def time_chunk_query(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def chunk_fuse_query(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = time_chunk(event_points(spark, folder), CLIP_FROM, CLIP_TO, DAY)
+    chunks = time_chunk(event_points(spark, folder, clip=(CLIP_FROM, CLIP_TO)), CLIP_FROM, CLIP_TO, DAY)
     fused = with_series_key(chunk_fuse(chunks))
     counted = fused.groupBy(*SERIES_KEY).agg(
         F.count(F.lit(1)).alias("n_points"),
@@ -1080,7 +1135,9 @@ def hadoop_kv(spark: SparkSession, folder: str) -> DataFrame:
 )
 def update_stream_query(spark: SparkSession, folder: str) -> DataFrame:
     path = new_shared_path(spark, "stream")
-    update_stream(event_points(spark, folder)).select("line").write.text(path)
+    points = event_points(spark, folder)
+    ready = dump_text(points.where(F.col("event_id") % 3 == 0)).select("line")
+    write_update_stream(points.where(F.col("event_id") % 3 != 0), path, ready, run_lines=7)
     points = with_series_key(strict_points(parse_stream(read_lines(spark, path))))
     counted = points.groupBy(*SERIES_KEY).agg(
         F.count(F.lit(1)).alias("n_points"),
@@ -1091,9 +1148,19 @@ def update_stream_query(spark: SparkSession, folder: str) -> DataFrame:
     return with_selector(counted).select("selector", "n_points", "first_tick", "last_tick", "total")
 
 
-@query(P + "select class, lk as label_key, count(*) as emitted from p group by class, lk")
+@query(
+    P
+    + """
+    select class, lk as label_key, count(*) as emitted from p where event_id % 3 <> 0 group by class, lk
+    union all select null, null, count(*) from p where event_id % 3 = 0
+    """
+)
 def push_points_query(spark: SparkSession, folder: str) -> DataFrame:
-    return push_points(event_points(spark, folder), new_shared_path(spark, "stream"))
+    points = event_points(spark, folder)
+    ready = dump_text(points.where(F.col("event_id") % 3 == 0)).select("line")
+    return push_points(
+        points.where(F.col("event_id") % 3 != 0), new_shared_path(spark, "stream"), ready
+    )
 
 
 @query(
@@ -1130,60 +1197,84 @@ def apply_exprs_query(spark: SparkSession, folder: str) -> DataFrame:
     return run.select("event_id", "stack.*")
 
 
-@query("select event_id, value * 3 + 1 as scaled, event_id % 10 as digit from events")
+@query(
+    """
+    select event_id, 'u' || user_id || '.' || event_type as path,
+           (ascii(event_type) + user_id) % 256 as check_byte
+    from events
+    """
+)
 def map_rows_query(spark: SparkSession, folder: str) -> DataFrame:
-    def scale(batch: pd.DataFrame, factor: float, base: int) -> pd.DataFrame:
+    def packed(batch: pd.DataFrame, separator: str, size: int) -> pd.DataFrame:
+        """What a foreign library would do to a batch."""
         return pd.DataFrame(
             {
                 "event_id": batch["event_id"],
-                "scaled": batch["value"] * factor + 1,
-                "digit": batch["event_id"] % base,
+                "path": "u" + batch["user_id"].astype(str) + separator + batch["event_type"],
+                "check_byte": (batch["event_type"].str.encode("utf-8").str[0] + batch["user_id"]) % size,
             }
         )
 
-    events = read_table(spark, folder, "events").select("event_id", "value")
-    return map_rows(events, scale, "event_id bigint, scaled double, digit bigint", factor=3.0, base=10)
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    return map_rows(
+        events, packed, "event_id bigint, path string, check_byte bigint", separator=".", size=256
+    )
 
 
-@query(P + "select class, lk as label_key, max(v_double) - min(v_double) as spread from p group by 1, 2")
+@query(
+    P
+    + """
+    , ordered as (select class, lk, ts, lag(ts) over (partition by class, lk order by ts) as before from p)
+    select class, lk as label_key, count(*) as n_points,
+           count(*) filter (before is null or ts - before > 3600000000) as n_sessions
+    from ordered group by 1, 2
+    """
+)
 def apply_per_series_query(spark: SparkSession, folder: str) -> DataFrame:
-    def row(part: pd.DataFrame, low: float, high: float) -> pd.DataFrame:
-        key = [part[name].iat[0] for name in SERIES_KEY]
-        return pd.DataFrame([[*key, low, high]], columns=[*SERIES_KEY, "low", "high"])
-
-    def extremes(points: pd.DataFrame) -> pd.DataFrame:
-        return row(points, points["v_double"].min(), points["v_double"].max())
-
-    def widest(parts: pd.DataFrame) -> pd.DataFrame:
-        return row(parts, parts["low"].min(), parts["high"].max())
-
-    points = event_points(spark, folder).select(*SERIES_KEY, "ts", "v_double")
-    schema = "class string, label_key string, low double, high double"
-    ends = apply_per_series(points, extremes, schema, merge=widest)
-    return ends.select(*SERIES_KEY, (F.col("high") - F.col("low")).alias("spread"))
+    def sessions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Runs of ticks with gaps of an hour at most, merged frame by frame."""
+        key, n, runs = None, 0, []
+        for frame in frames:
+            key = [frame[name].iat[0] for name in SERIES_KEY]
+            n += len(frame)
+            spans = sorted([*runs, *((t, t) for t in frame["ts"])])
+            runs = spans[:1]
+            for low, high in spans[1:]:
+                if low - runs[-1][1] > 3_600_000_000:
+                    runs.append((low, high))
+                else:
+                    runs[-1] = (runs[-1][0], max(high, runs[-1][1]))
+        yield pd.DataFrame([[*key, n, len(runs)]], columns=[*SERIES_KEY, "n_points", "n_sessions"])
+
+    points = event_points(spark, folder).select(*SERIES_KEY, "ts")
+    schema = "class string, label_key string, n_points bigint, n_sessions bigint"
+    return apply_per_series(points, sessions, schema)
 
 
 @query(
     P
     + f"""
-    , b as (select selector, min(ts) // {DAY} as a, max(ts) // {DAY} as z from p group by selector)
-    select selector, unnest(range(a, z + 1, 10)) as day from b
+    , b as (select selector, min(ts) // {DAY} as a, max(ts) // {DAY} as z from p group by selector),
+    d as (select selector, unnest(range(a, z + 1)) as day from b)
+    select selector, day from d where day % 7 in (1, 4)
     """
 )
 def generate_rows_query(spark: SparkSession, folder: str) -> DataFrame:
     @F.udtf(returnType="day bigint")
-    class Days:
-        def eval(self, first: int, last: int, step: int):
-            for day in range(first, last + 1, step):
-                yield (day,)
+    class ServiceDays:
+        """Days of a calendar that only Python code knows."""
+
+        def eval(self, first: int, last: int):
+            for day in range(first, last + 1):
+                if day % 7 in (1, 4):
+                    yield (day,)
 
     bounds = with_selector(series_bounds(event_points(spark, folder))).select(
         "selector",
         floor_div(F.col("first_tick"), DAY).alias("first_day"),
         floor_div(F.col("last_tick"), DAY).alias("last_day"),
-        F.lit(10).alias("step"),
     )
-    days = generate_rows(bounds, Days, F.col("first_day"), F.col("last_day"), F.col("step"))
+    days = generate_rows(bounds, ServiceDays, F.col("first_day"), F.col("last_day"))
     return days.select("selector", "day")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.selectors import Match, pushable_classes
 from tickloom.functions.timeunits import ticks_of_local_timestamp
 from tickloom.model import to_points
 
@@ -22,15 +24,34 @@ def _local_timestamp(tick: int) -> Column:
 
 
 def event_points(
-    spark: SparkSession, folder: str, window: tuple[int, int] | None = None
+    spark: SparkSession,
+    folder: str,
+    window: tuple[int, int] | None = None,
+    clip: tuple[int, int] | None = None,
+    selectors: Iterable[str] = (),
+    name: str | None = None,
 ) -> DataFrame:
     """Every event as a point of the series of its type and user.
 
     ``event_id`` decides which of location and elevation a point has, so that all
-    point forms occur. ``window`` keeps ticks in ``(window[0], window[1]]`` by a
-    condition on the stored timestamp, which the scan can use to skip data.
+    point forms occur.
+
+    The other arguments are conditions on the stored columns, which the scan can
+    use to skip data: ``window`` keeps ticks in ``(window[0], window[1]]``, ``clip``
+    in ``[clip[0], clip[1]]``, ``name`` the series of one class, and ``selectors``
+    what their classes allow. They spare reading what ``select_series`` and the
+    like drop later, and do not take their place.
     """
     events = read_table(spark, folder, "events")
+    classes = pushable_classes(*selectors) if selectors else None
+    if name:
+        classes = Match(name, False).pushable
+    if classes is not None:
+        # A null class is the empty text, which no condition of this kind allows.
+        events = events.where(classes(F.col("event_type")))
+    if clip is not None:
+        low, high = (_local_timestamp(tick) for tick in clip)
+        events = events.where((F.col("ts") >= low) & (F.col("ts") <= high))
     if window is not None:
         low, high = (_local_timestamp(tick) for tick in window)
         events = events.where((F.col("ts") > low) & (F.col("ts") <= high))

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.model import with_series_key
-from tickloom.operators.aggregates import series_bounds
+from tickloom.operators.aggregates import emitted_count, series_bounds
 from tickloom.operators.dump import dump_text
 from tickloom.operators.joins import bounds_cogroup
-from tickloom.operators.parse import parse_lines, parse_stream, strict_points
-from tickloom.session import materialise
+from tickloom.operators.parse import parse_lines, strict_points
 from tickloom.sources.keyvalue import sequence_file_sink
 from tickloom.sources.series import series_scan
-from tickloom.sources.text import read_lines, write_update_stream
+from tickloom.sources.text import write_update_stream
 
 
 def merge_text(lines: DataFrame) -> DataFrame:
-    """Lines of any series in any order, as lines that name each series once.
+    """Lines of any series in any order, as ordered lines that name each series once.
 
     In tall form the merge of equal selectors is the grouping by series key that
-    the dump makes, so points are never gathered into blocks. The parsed points
-    are written once, as the dump reads them more than once.
+    the dump makes, so points are never gathered into blocks.
     """
-    points = materialise(with_series_key(strict_points(parse_lines(lines))))
-    return dump_text(points, optimize=True)
+    return dump_text(strict_points(parse_lines(lines)), optimize=True)
 
 
 def time_window(points: DataFrame) -> DataFrame:
@@ -41,10 +37,7 @@ def scan_to_sequence_files(
     sequence_file_sink(lines, path)
 
 
-def push_points(points: DataFrame, path: str) -> DataFrame:
-    """Write points as an update stream; returns the points written per series."""
-    write_update_stream(points, path)
-    written = strict_points(parse_stream(read_lines(points.sparkSession, path)))
-    return (
-        with_series_key(written).groupBy("class", "label_key").agg(F.count(F.lit(1)).alias("emitted"))
-    )
+def push_points(points: DataFrame, path: str, ready: DataFrame | None = None) -> DataFrame:
+    """Write points and ready lines as an update stream; returns the lines written per series."""
+    write_update_stream(points, path, ready)
+    return emitted_count(points, ready)

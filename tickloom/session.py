@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: list[str] = []
+_local_shared_dir: str | None = None
 
 
 def build_session(app_name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,19 +31,24 @@ def build_session(app_name: str = "tickloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def use_local_shared_dir(path: str) -> None:
+    """Shared folder of sessions on this machine whose ``spark.checkpoint.dir`` is not set."""
+    global _local_shared_dir
+    _local_shared_dir = path.rstrip("/")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Where that is unset, a local session may be given a folder by
+    ``use_local_shared_dir``; there is no other.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if _local_shared_dir is None or not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if not _local_fallback:
-        _local_fallback.append(tempfile.mkdtemp(prefix="tickloom-"))
-    return _local_fallback[0]
+    return _local_shared_dir
 
 
 def new_shared_path(spark: SparkSession, kind: str) -> str:

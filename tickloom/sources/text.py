@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.dump import update_stream
-from tickloom.operators.skew import DEFAULT_GROUP_LIMIT
+from tickloom.operators.dump import RUN_LINES, update_stream
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -27,6 +26,17 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def write_update_stream(points: DataFrame, path: str, limit: int = DEFAULT_GROUP_LIMIT) -> None:
-    """Write points as files of lines, each readable on its own."""
-    update_stream(points, limit).select("line").write.text(path)
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write ``line`` as text files, each as its partition is.
+
+    A file must not be cut where ``spark.sql.files.maxRecordsPerFile`` says, since
+    its next lines may go on with a series that the lines before them name.
+    """
+    lines.select("line").write.option("maxRecordsPerFile", 0).text(path)
+
+
+def write_update_stream(
+    points: DataFrame, path: str, ready: DataFrame | None = None, run_lines: int = RUN_LINES
+) -> None:
+    """Write points, and lines that are ready, as files of lines, each readable on its own."""
+    write_lines(update_stream(points, ready, run_lines), path)

@@ -18,6 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
     ],
 )
 def test_conditions_reach_the_scan(spark, query, pushed):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = catalogue.queries()[query](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PushedFilters") :].split("\n")[0]
     assert all(p in filters for p in pushed), filters

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.model import with_series_key
-from tickloom.operators.blocks import pack_points
+from tickloom.operators.blocks import pack_points, unpack_points
 from tickloom.operators.dump import dump_text
 from tickloom.operators.parse import good_points, parse_lines
 from tickloom.operators.select import select_series
@@ -30,6 +30,7 @@ from tickloom.sources.keyvalue import (
 from tickloom.sources.ranges import range_location, range_scan
 from tickloom.sources.series import (
     normalize_mixed,
+    normalized_sink,
     read_blocks,
     read_points,
     series_scan,
@@ -91,26 +92,35 @@ def test_block_tables(spark, points, tmp_path):
         read_blocks(spark, other)
 
 
-def test_normalize_mixed(spark, points):
-    lines = dump_text(points.where("v_long < 0")).select(F.col("line").alias("item"))
-    listed = lines.select(F.array("item", F.lit(None)).alias("item")).union(
-        spark.sql("select cast(array() as array<string>) item")
-    )
-    block = F.struct("class", "labels", "attributes", "count", "points").alias("item")
-    blocks = pack_points(points.where("v_long >= 0"), 5).select(block)
-    for texts in (lines, listed):
-        same_points(normalize_mixed(texts, blocks), points)
-    same_points(
-        normalize_mixed(blocks=blocks.select(F.array("item").alias("item"))), points.where("v_long >= 0")
+def test_normalize_mixed(spark, points, tmp_path):
+    lines = dump_text(points.where("v_long < 0")).select("line")
+    block = F.struct("class", "labels", "attributes", "count", "points")
+    blocks = pack_points(points.where("v_long >= 0"), 5).select(block.alias("block"))
+    for kind in (F.col("line"), F.array("line", F.lit(None))):
+        same_points(normalize_mixed(lines.select(kind.alias("item"))), points.where("v_long < 0"))
+    for kind in (F.col("block"), F.array("block", F.lit(None))):
+        same_points(normalize_mixed(blocks.select(kind.alias("item"))), points.where("v_long >= 0"))
+
+    some = F.col("line").contains("a{")
+    mixed = (
+        lines.select(F.when(some, F.col("line")).alias("line"), F.when(~some, F.array("line", F.lit(None))).alias("lines"))
+        .unionByName(blocks, allowMissingColumns=True)
+        .union(spark.sql("select cast(null as string), cast(array() as array<string>)").withColumn("b", F.lit(None).cast(blocks.schema["block"].dataType)))
     )
+    items = mixed.select(F.struct("line", "lines", "block").alias("item"))
+    same_points(normalize_mixed(items), points)
+    normalized_sink(items, str(tmp_path / "blocks"), max_points=4)
+    stored = read_blocks(spark, str(tmp_path / "blocks"))
+    assert stored.where("count > 4").isEmpty()
+    same_points(unpack_points(stored), points)
+
     no_line = spark.createDataFrame([("bm90IGEgbGluZQ",)], "item string")
     with pytest.raises(Exception, match="malformed line"):
         normalize_mixed(no_line).count()
     assert normalize_mixed(no_line, strict=False).count() == 0
-    with pytest.raises(ValueError):
-        normalize_mixed(lines.withColumn("more", F.lit(1)))
-    with pytest.raises(ValueError):
-        normalize_mixed()
+    for wrong in (no_line.withColumn("more", F.lit(1)), spark.range(1).toDF("item")):
+        with pytest.raises(ValueError):
+            normalize_mixed(wrong)
 
 
 def test_profiles():

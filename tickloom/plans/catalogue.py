@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,8 +87,9 @@ from tickloom.plans.workflows import (
     time_window,
 )
 from tickloom.session import new_shared_path
-from tickloom.sources.files import archive_entries, whole_file_ingest
+from tickloom.sources.files import archive_entries, read_whole_files, whole_file_ingest
 from tickloom.sources.keyvalue import (
+    BYTES_WRITABLE,
     SEQUENCE_INPUT,
     SEQUENCE_OUTPUT,
     TEXT_WRITABLE,
@@ -101,7 +103,8 @@ from tickloom.sources.keyvalue import (
 )
 from tickloom.sources.ranges import range_scan
 from tickloom.sources.series import (
-    normalize_mixed,
+    MIXED_KINDS,
+    normalized_sink,
     read_blocks,
     read_points,
     series_scan,
@@ -320,45 +323,109 @@ def kv_source_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("select sum(strlen(text) + 1)::bigint as total_bytes from documents")
+# Texts of fifty documents each, one after the other.
+FILES = """
+with files as (
+  select doc_id // 50 as n, string_agg(text, chr(10) order by doc_id) as content from documents group by 1
+)
+"""
+
+
+def write_files(files: DataFrame, path: str) -> None:
+    """Write ``content`` under the file name ``name``; a retried task writes the same again."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, folder = fs.FileSystem.from_uri(path)
+        system.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["name"], batch["content"]):
+                with system.open_output_stream(f"{folder}/{name}", compression=None) as stream:
+                    stream.write(content)
+            yield batch[["name"]]
+
+    files.select("name", "content").mapInPandas(write, "name string").write.format("noop").mode(
+        "overwrite"
+    ).save()
+
+
+@query(
+    FILES
+    + """
+    select case when f.n % 2 = 0 or g.n is null then 'file' || f.n else md5(g.content) end as key,
+           md5(f.content) as digest, strlen(f.content) as n_bytes
+    from files f left join files g on g.n = f.n - 1
+    """
+)
 def whole_file_ingest_query(spark: SparkSession, folder: str) -> DataFrame:
     path = new_shared_path(spark, "files")
-    texts = read_table(spark, folder, "documents").select("text")
-    texts.write.option("maxRecordsPerFile", 5000).text(path)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-    records = whole_file_ingest(spark, listed.select(F.col("path").alias("line")), path)
-    return records.agg(F.sum(F.octet_length("value").cast("bigint")).alias("total_bytes"))
+    number = floor_div(F.col("doc_id"), 50)
+    texts = F.array_sort(F.collect_list(F.struct("doc_id", "text")))
+    files = (
+        read_table(spark, folder, "documents")
+        .groupBy(number.alias("n"))
+        .agg(F.encode(F.array_join(F.transform(texts, lambda t: t["text"]), "\n"), "UTF-8").alias("content"))
+    )
+    write_files(files.withColumn("name", F.concat(F.lit("file"), F.col("n").cast("string"))), path)
+    numbers = files.select("n")
+    before = numbers.select((F.col("n") + 1).alias("n"), F.lit(True).alias("has_before"))
+    place = lambda n: F.concat(F.lit(f"{path}/file"), n.cast("string"))
+    pair = (F.col("n") % 2 == 1) & F.col("has_before")
+    lines = numbers.join(before, "n", "left").select(
+        F.when(pair, F.concat(place(F.col("n") - 1), F.lit(" "), place(F.col("n"))))
+        .otherwise(place(F.col("n")))
+        .alias("line")
+    )
+    records = in_sequence_file(spark, whole_file_ingest(spark, lines, path))
+    name = F.decode("key", "UTF-8")
+    return records.select(
+        F.when(F.octet_length("key") < 20, name).otherwise(F.md5("key")).alias("key"),
+        F.md5("value").alias("digest"),
+        F.octet_length("value").cast("bigint").alias("n_bytes"),
+    )
+
+
+def in_sequence_file(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Records written as ``(key bytes, value bytes)`` sequence files and read back."""
+    path = new_shared_path(spark, "sequence")
+    pairs = records.select(F.col("key").cast("binary"), "value")
+    hadoop_sink(pairs, path, SEQUENCE_OUTPUT, BYTES_WRITABLE, BYTES_WRITABLE)
+    return hadoop_source(
+        spark, path, SEQUENCE_INPUT, BYTES_WRITABLE, BYTES_WRITABLE, "key binary, value binary"
+    )
 
 
 @query(
     """
-    select 'doc%20' || doc_id || '.zip text.txt' as key, strlen(text) as n_bytes, md5(text) as digest
+    select 'docs%20' || doc_id // 50 || '.zip ' || doc_id || '.txt' as key, strlen(text) as n_bytes,
+           md5(text) as digest
     from documents
     union all
-    select 'doc%20' || doc_id || '.zip about/lang', strlen(lang), md5(lang) from documents
+    select 'docs%20' || doc_id // 50 || '.zip about/' || doc_id, strlen(lang), md5(lang) from documents
     """
 )
 def archive_entry_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            contents = []
-            for text, lang in zip(batch["text"], batch["lang"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
-                    archive.writestr("text.txt", text)
-                    archive.writestr("about/", "")
-                    archive.writestr("about/lang", lang)
-                contents.append(buffer.getvalue())
-            yield pd.DataFrame({"path": batch["path"], "content": contents})
-
-    documents = read_table(spark, folder, "documents").select(
-        F.concat(F.lit("/archives/doc "), F.col("doc_id").cast("string"), F.lit(".zip")).alias("path"),
-        "text",
-        "lang",
+    def zipped(batch: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("about/", "")
+            for doc, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"]):
+                archive.writestr(f"{doc}.txt", text)
+                archive.writestr(f"about/{doc}", lang)
+        return pd.DataFrame({"name": [f"docs {batch['n'].iat[0]}.zip"], "content": [buffer.getvalue()]})
+
+    documents = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    archives = (
+        documents.withColumn("n", floor_div(F.col("doc_id"), 50))
+        .groupBy("n")
+        .applyInPandas(zipped, "name string, content binary")
     )
-    archives = documents.mapInPandas(zipped, "path string, content binary")
-    return archive_entries(archives).select(
-        "key", F.octet_length("value").cast("bigint").alias("n_bytes"), F.md5("value").alias("digest")
+    path = new_shared_path(spark, "archives")
+    write_files(archives, path)
+    records = in_sequence_file(spark, archive_entries(read_whole_files(spark, path)))
+    return records.select(
+        F.decode("key", "UTF-8").alias("key"),
+        F.octet_length("value").cast("bigint").alias("n_bytes"),
+        F.md5("value").alias("digest"),
     )
 
 
@@ -1091,19 +1158,31 @@ def scan_to_sequence_files_query(spark: SparkSession, folder: str) -> DataFrame:
 )
 def normalize_mixed_query(spark: SparkSession, folder: str) -> DataFrame:
     points = event_points(spark, folder)
-    lines = dump_text(points.where(F.col("event_id") % 2 == 0)).select(
-        F.when(F.length("line") % 2 == 0, F.array("line")).otherwise(F.array("line", F.lit(None))).alias("item")
+    kind = F.col("event_id") % 4
+    lines = dump_text(points.where(kind < 2)).select(
+        F.when(F.length("line") % 2 == 0, F.col("line")).alias("line"),
+        F.when(F.length("line") % 2 == 1, F.array("line", F.lit(None))).alias("lines"),
     )
-    blocks = pack_points(points.where(F.col("event_id") % 2 == 1)).select(
-        F.struct("class", "labels", "attributes", "count", "points").alias("item")
+    block = F.struct("class", "labels", "attributes", "count", "points")
+    single = pack_points(points.where(kind == 2)).select(block.alias("block"))
+    listed = pack_points(points.where(kind == 3)).select(F.array(block).alias("blocks"))
+    mixed = lines.unionByName(single, allowMissingColumns=True).unionByName(
+        listed, allowMissingColumns=True
     )
-    merged = with_series_key(normalize_mixed(lines, blocks))
-    counted = merged.groupBy(*SERIES_KEY).agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.min("ts").alias("first_tick"),
-        exact_sum("v_double").alias("total"),
+    path = new_shared_path(spark, "blocks")
+    normalized_sink(mixed.select(F.struct(*MIXED_KINDS).alias("item")), path)
+    stored = with_selector(read_blocks(spark, path))
+    return stored.groupBy("selector").agg(
+        F.sum("count").alias("n_points"),
+        F.min(F.array_min("points.ts")).alias("first_tick"),
+        exact_sum(
+            F.aggregate(
+                "points.v_double",
+                F.lit(0).cast("decimal(38,4)"),
+                lambda a, v: (a + v.cast("decimal(20,4)")).cast("decimal(38,4)"),
+            )
+        ).alias("total"),
     )
-    return with_selector(counted).select("selector", "n_points", "first_tick", "total")
 
 
 @query("select event_id as key, props as value from events")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.selectors import selector_condition
 from tickloom.functions.timeunits import floor_div
 from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, with_selector
+from tickloom.operators.blocks import pack_points
 from tickloom.operators.parse import good_points, parse_lines, strict_points
 
 
@@ -69,40 +73,62 @@ def series_scan(
     return with_selector(chosen).withColumnRenamed("selector", "id")
 
 
-def normalize_mixed(
-    lines: DataFrame | None = None,
-    blocks: DataFrame | None = None,
-    column: str = "item",
-    strict: bool = True,
-) -> DataFrame:
-    """Points of text lines and blocks, each given singly or in arrays.
+#: Fields of an item of mixed kind; each may be null or absent.
+MIXED_KINDS = ("line", "lines", "block", "blocks")
+
 
-    ``lines`` has strings or arrays of strings in ``column`` and ``blocks`` has
-    block structs or arrays of them. Empty arrays and nulls are skipped. A text
-    without ``/`` is no line and, when ``strict``, fails the query.
+def normalize_mixed(items: DataFrame, column: str = "item", strict: bool = True) -> DataFrame:
+    """Points of one column whose items are text lines, blocks, or arrays of either.
+
+    A column of one kind holds strings, arrays of strings, block structs or arrays
+    of them. A column of mixed kind is a struct with some of the ``MIXED_KINDS``
+    fields, of which an item fills what it has. Empty arrays and nulls are skipped.
+    A text that is no line fails the query when ``strict``.
     """
+    if items.columns != [column]:
+        raise ValueError(f"expected the single column {column!r}, got {items.columns}")
+    kinds = _kinds(F.col(column), items.schema[column].dataType)
     parts = []
-    if lines is not None:
-        texts = _single(lines, column).select(F.col(column).alias("line"))
-        parsed = parse_lines(texts)
+    texts = [_as_array(kinds[k], k == "line") for k in ("line", "lines") if k in kinds]
+    if texts:
+        parsed = parse_lines(_each(items, texts, "line"))
         points = strict_points(parsed) if strict else good_points(parsed)
         parts.append(points.select(*POINTS_SCHEMA.fieldNames()))
-    if blocks is not None:
-        rows = _single(blocks, column).select(f"{column}.*")
+    stored = [_as_array(kinds[k], k == "block") for k in ("block", "blocks") if k in kinds]
+    if stored:
+        rows = _each(items, stored, "block").select("block.*")
         parts.append(
             rows.select("class", "labels", "attributes", F.inline("points")).select(
                 *POINTS_SCHEMA.fieldNames()
             )
         )
-    if not parts:
-        raise ValueError("neither lines nor blocks given")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _single(df: DataFrame, column: str) -> DataFrame:
-    """One row per item that is not null."""
-    if df.columns != [column]:
-        raise ValueError(f"expected the single column {column!r}, got {df.columns}")
-    if df.schema[column].dataType.typeName() == "array":
-        df = df.select(F.explode(column).alias(column))
-    return df.where(F.col(column).isNotNull())
+    return reduce(DataFrame.unionByName, parts)
+
+
+def normalized_sink(
+    items: DataFrame, path: str, column: str = "item", strict: bool = True, **bounds: int
+) -> None:
+    """Write items of mixed kind as a table of blocks; ``bounds`` are those of ``pack_points``."""
+    write_blocks(pack_points(normalize_mixed(items, column, strict), **bounds), path)
+
+
+def _kinds(item: Column, kind: T.DataType) -> dict[str, Column]:
+    if isinstance(kind, T.StringType):
+        return {"line": item}
+    if isinstance(kind, T.ArrayType):
+        return {"lines" if isinstance(kind.elementType, T.StringType) else "blocks": item}
+    if isinstance(kind, T.StructType) and "points" in kind.fieldNames():
+        return {"block": item}
+    if isinstance(kind, T.StructType) and kind.fields and set(kind.fieldNames()) <= set(MIXED_KINDS):
+        return {name: item[name] for name in kind.fieldNames()}
+    raise ValueError(f"neither lines nor blocks: {kind.simpleString()}")
+
+
+def _as_array(value: Column, is_single: bool) -> Column:
+    return F.array(value) if is_single else value
+
+
+def _each(items: DataFrame, arrays: list[Column], name: str) -> DataFrame:
+    """A row per element that is not null of any of the arrays of an item."""
+    every = F.concat(*[F.coalesce(a, F.array()) for a in arrays]) if len(arrays) > 1 else arrays[0]
+    return items.select(F.explode(every).alias(name)).where(F.col(name).isNotNull())

@@ -21,12 +21,11 @@ from tickloom.llm.components import connected_components
 PAGES = "page_id long, url string, html string, row string, key string"
 
 
-def test_archives_hold_every_page(spark, monkeypatch):
-    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+def test_archives_hold_every_page(spark):
     pages = [(i, f"http://h{i % 4}.example.com/p{i % 7}?q#f", f"<p>{i % 9}é</p>", "x", "y") for i in range(40)]
     pages += [(50, None, None, "x", "y"), (51, None, "", "x", "y"), (None, "x y", "<p>1é</p>", "x", "y"), (52, "http://[bad", "z" * 300_000, "x", "y")]
     pages += [(60, "a b\nc", "same", "x", "y"), (60, "a b\nc", "same", "x", "y"), (61, "http://u:p@H.org:81/", "same", "x", "y")]
-    got = warc.archive_and_read(spark.createDataFrame(pages, PAGES).repartition(3)).collect()
+    got = warc.archive_and_read(spark.createDataFrame(pages, PAGES).repartition(3), block_lines=3).collect()
     payload = lambda h: (h or "").encode()
     first = {}
     for page, _, html, *_ in pages:
@@ -45,11 +44,10 @@ def test_archives_of_no_pages(spark):
     assert warc.archive_and_read(spark.createDataFrame([], PAGES)).collect() == []
 
 
-def test_look_up_finds_only_the_key(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+def test_look_up_finds_only_the_key(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://h{i % 5}.org/", str(i), "", "") for i in range(60)], PAGES)
     captures = warc.write_archives(pages, str(tmp_path / "w"))
-    index = warc.build_index(captures, str(tmp_path / "w"))
+    index = warc.build_index(captures, str(tmp_path / "w"), block_lines=2)
     keys = spark.createDataFrame([("org,h3)/",), ("org,h9)/",), ("",)], "key string")
     assert sorted(r.page_id for r in warc.look_up(index, keys).collect()) == list(range(3, 60, 5))
 
@@ -108,10 +106,16 @@ def stretches_by_brute_force(texts):
     return out
 
 
-@pytest.mark.parametrize("held", [substrings.SHARD_CONTEXTS, 10])
-def test_repeated_substrings_match_brute_force(spark, monkeypatch, held):
-    monkeypatch.setattr(substrings, "SHARD_CONTEXTS", held)
-    monkeypatch.setattr(substrings, "MERGE_BYTES", 2000)
+@pytest.mark.parametrize(
+    "batch_rows, bounds",
+    [
+        ("10000", {}),
+        ("5", {"shard_contexts": 10, "anchor_contexts": 3, "merge_bytes": 2000}),
+        ("2", {"shard_contexts": 1, "anchor_contexts": 1, "merge_bytes": 1}),
+    ],
+)
+def test_repeated_substrings_match_brute_force(spark, batch_rows, bounds):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefgh ") for _ in range(2000))
     texts = [
@@ -125,7 +129,8 @@ def test_repeated_substrings_match_brute_force(spark, monkeypatch, held):
             copy[rng.randrange(1200)] = "Z"
         texts.append("".join(copy))
     docs = frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]).repartition(3)
-    got = {r["row"]["doc_id"]: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.remove_repeats(docs, ["doc_id"]).collect()}
+    got = {r["row"]["doc_id"]: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.remove_repeats(docs, ["doc_id"], **bounds).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert [got[i] for i in range(len(texts))] == stretches_by_brute_force(texts)
 
 

@@ -20,7 +20,9 @@ Spark deals the work out so that no round needs the whole corpus:
   twice and sends each different context on once, as two hashes.
 * The hashes meet by anchor. An anchor met once is settled as unique; a whole
   context met twice as repeated. For what is left, the context's bytes are
-  fetched, brought together by anchor, and their suffixes are merged.
+  fetched, brought together by anchor, and their suffixes are merged. An anchor
+  with very many open contexts is dealt out by slices of ``SLICE`` windows and the
+  bytes that all windows of a slice share.
 
 Hashes have 64 bits; two different strings are taken for equal with a
 probability of their number squared over 2**65.
@@ -49,6 +51,9 @@ SHARED = LENGTH - REACH + 1
 #: Contexts a shard compares with each other at once, and bytes that one merge holds.
 SHARD_CONTEXTS = 1_000_000
 MERGE_BYTES = 4_000_000
+#: Contexts of one anchor that are settled and merged in one piece.
+ANCHOR_CONTEXTS = 20_000
+SLICE = 8
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -58,7 +63,7 @@ _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.u
 #: What becomes of an anchor: its bytes are repeated; its windows are open; its context is a partner.
 REPEATED, OPEN, PARTNER = 0, 1, 2
 
-_FOUND = "class binary, kind int, start long, stop long, anchor long, key long"
+_FOUND = "class binary, kind int, start long, stop long, anchor long, key long, sliced int"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -172,7 +177,7 @@ class _Shard:
             })
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     shard, seen = _Shard(), set()
     for batch in batches:
         for text_class, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -180,50 +185,70 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             seen.add(text_class)
             shard.add(text_class, text)
-            if shard.size >= SHARD_CONTEXTS:
+            if shard.size >= most:
                 yield from shard.flush()
     yield from shard.flush()
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kinds of contexts, for rows sorted by key, then context."""
+def _settle(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Kinds of contexts, for rows sorted by key, then context.
+
+    A key with more than ``most`` rows is settled piece by piece, cut
+    between contexts. Its pieces are known to be met more than once, and all its
+    repeated contexts count as possible partners.
+    """
     held: list[pa.RecordBatch] = []
+    long_key: int | None = None
 
-    def done(rows: pa.Table | pa.RecordBatch) -> pa.RecordBatch:
-        col = {n: rows.column(n).to_numpy(zero_copy_only=False) for n in rows.schema.names if n != "class"}
-        key, context, times = col["key"], col["context"], col["times"]
-        live = times > 0
-        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
-        same = np.concatenate([[True], (key[1:] != key[:-1]) | (context[1:] != context[:-1]) | ~live[1:] | ~live[:-1]])
-        of = np.cumsum(same) - 1
-        met = np.bincount(of, times)[of]
-        in_group = np.bincount(group, times)[group]
-        repeated = ~live | (met > 1)
-        is_open = live & (met == 1) & (in_group > 1)
-        with_open = (np.bincount(group, is_open) > 0)[group]
-        partner = live & (met > 1) & with_open & same
-        pick = np.concatenate([np.flatnonzero(repeated), np.flatnonzero(is_open), np.flatnonzero(partner)])
-        kind = np.repeat([REPEATED, OPEN, PARTNER], [repeated.sum(), is_open.sum(), partner.sum()])
-        return _batch(_FOUND, {
-            "class": rows.column("class").take(pa.array(pick)).to_pylist(), "kind": kind.astype(np.int32),
-            "start": col["start"][pick], "stop": col["stop"][pick], "anchor": col["anchor"][pick], "key": key[pick],
-        })
+    def settled(more: pa.RecordBatch) -> pa.RecordBatch:
+        rows = pa.Table.from_batches([*held, more]).combine_chunks().to_batches()[0]
+        held.clear()
+        return _kinds(rows, long_key, most)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = batch.column("key").to_numpy()
-        last = int(np.searchsorted(keys, keys[-1]))
-        if last:
-            yield done(pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks().to_batches()[0])
-            held = [batch.slice(last)]
-        elif held and held[-1].column("key")[0].as_py() != keys[0]:
-            yield done(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            held = [batch]
-        else:
-            held.append(batch)
+        keys, contexts = batch.column("key").to_numpy(), batch.column("context").to_numpy()
+        if held and held[-1].column("key")[0].as_py() != keys[0]:
+            yield settled(batch.slice(0, 0))
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if not cut and sum(b.num_rows for b in held) + batch.num_rows > most:
+            # All of one key: cut where the last context begins, in this batch or before it.
+            cut = int(np.searchsorted(contexts, contexts[-1]))
+            before = held[-1].column("context")[-1].as_py() if held else contexts[0]
+            if cut or before != contexts[0]:
+                long_key = int(keys[-1])
+                yield settled(batch.slice(0, cut))
+        elif cut:
+            yield settled(batch.slice(0, cut))
+        held.append(batch.slice(cut))
     if held:
-        yield done(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+        yield settled(held[0].slice(0, 0))
+
+
+def _kinds(rows: pa.RecordBatch, long_key: int | None, most: int) -> pa.RecordBatch:
+    col = {n: rows.column(n).to_numpy(zero_copy_only=False) for n in rows.schema.names if n != "class"}
+    key, context, times = col["key"], col["context"], col["times"]
+    live = times > 0
+    new_key = key[1:] != key[:-1]
+    group = np.cumsum(np.concatenate([[True], new_key])) - 1
+    new = np.concatenate([[True], new_key | (context[1:] != context[:-1]) | ~live[1:] | ~live[:-1]])
+    of = np.cumsum(new) - 1
+    in_piece = key == long_key if long_key is not None else np.zeros(len(key), bool)
+    met = np.bincount(of, times)[of]
+    in_group = np.bincount(group, times)[group] + 2 * in_piece
+    repeated = ~live | (met > 1)
+    is_open = live & (met == 1) & (in_group > 1)
+    with_open = (np.bincount(group, is_open) > 0)[group] | in_piece
+    partner = live & (met > 1) & with_open & new
+    sliced = in_piece | (np.bincount(group, new & live)[group] > most)
+    pick = np.concatenate([np.flatnonzero(x) for x in (repeated, is_open, partner)])
+    kind = np.repeat([REPEATED, OPEN, PARTNER], [repeated.sum(), is_open.sum(), partner.sum()])
+    return _batch(_FOUND, {
+        "class": rows.column("class").take(pa.array(pick)).to_pylist(), "kind": kind.astype(np.int32),
+        "start": col["start"][pick], "stop": col["stop"][pick], "anchor": col["anchor"][pick], "key": key[pick],
+        "sliced": sliced[pick].astype(np.int32),
+    })
 
 
 def merged_windows(
@@ -254,7 +279,7 @@ def merged_windows(
     return found
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Repeated stretches of open contexts, for rows sorted by key."""
 
     def done(rows: list[tuple]) -> pa.RecordBatch:
@@ -275,13 +300,13 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batch(_FOUND, {
             "class": [classes[o] for o in owner[a]], "kind": np.zeros(len(a), np.int32),
             "start": at[a], "stop": at[b] + LENGTH, "anchor": np.zeros(len(a), np.int64),
-            "key": np.zeros(len(a), np.int64),
+            "key": np.zeros(len(a), np.int64), "sliced": np.zeros(len(a), np.int32),
         })
 
     held, size = [], 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if size >= MERGE_BYTES and held[-1][0] != row[0]:
+            if size >= most and held[-1][0] != row[0]:
                 yield done(held)
                 held, size = [], 0
             held.append(row)
@@ -312,10 +337,9 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             *(batch.column(n).to_pylist() for n in ("class", "text", "wanted")), strict=True
         ):
             text = unpack.decompress(packed)
-            rows += [
-                (w["key"], text_class, w["kind"], w["start"], w["stop"], w["anchor"], text[w["start"] : w["stop"]])
-                for w in wanted
-            ]
+            for w in wanted:
+                for key, start, stop in _slices(w, text):
+                    rows.append((key, text_class, w["kind"], start, stop, w["anchor"], text[start:stop]))
             if len(rows) > 5_000:
                 yield _batch(_CUT, dict(zip(_CUT_NAMES, zip(*rows, strict=True), strict=True)))
                 rows = []
@@ -323,6 +347,24 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(_CUT, dict(zip(_CUT_NAMES, zip(*rows, strict=True), strict=True)))
 
 
+def _slices(w: dict, text: bytes) -> Iterator[tuple[int, int, int]]:
+    """Key and bytes of a context, or of its slices: windows at most ``SLICE`` apart from their anchor.
+
+    Equal windows lie in slices of the same number, and all windows of a slice
+    share its middle, so they get the same key.
+    """
+    if not w["sliced"]:
+        yield w["key"], w["start"], w["stop"]
+        return
+    first, last, anchor = w["start"], w["stop"] - LENGTH, w["anchor"]
+    for number in range((anchor - last) // SLICE, (anchor - first) // SLICE + 1):
+        high = anchor - number * SLICE
+        low = high - SLICE + 1
+        middle = text[high : low + LENGTH]
+        digest = hashlib.blake2b(middle, digest_size=8, key=f"{w['key']}:{number}".encode()).digest()
+        yield int.from_bytes(digest, "little", signed=True), max(first, low), min(last, high) + LENGTH
+
+
 _CUT = "key long, class binary, kind int, start long, stop long, anchor long, bytes binary"
 _CUT_NAMES = [f.split()[0] for f in _CUT.split(", ")]
 
@@ -335,20 +377,28 @@ def _class() -> Column:
     return F.unhex(F.md5(_bytes()))
 
 
-def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """``class`` (MD5 of a text) and ``stretches``: (start, stop) of bytes to remove, unmerged."""
+def repeated_stretches(
+    docs: DataFrame,
+    shard_contexts: int = SHARD_CONTEXTS,
+    anchor_contexts: int = ANCHOR_CONTEXTS,
+    merge_bytes: int = MERGE_BYTES,
+) -> DataFrame:
+    """``class`` (MD5 of a text) and ``stretches``: (start, stop) of bytes to remove, unmerged.
+
+    The numbers bound what a task holds and do not change the result.
+    """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(_class().alias("class"), _bytes().alias("text"))
     found = materialise(
-        texts.mapInArrow(_scan, _CONTEXTS)
+        texts.mapInArrow(lambda b: _scan(b, shard_contexts), _CONTEXTS)
         .repartition(n, "key")
         .sortWithinPartitions("key", "context")
-        .mapInArrow(_settle, _FOUND)
+        .mapInArrow(lambda b: _settle(b, anchor_contexts), _FOUND)
     )
     wanted = (
         found.where(F.col("kind") != REPEATED)
         .groupBy("class")
-        .agg(F.collect_set(F.struct("key", "kind", "start", "stop", "anchor")).alias("wanted"))
+        .agg(F.collect_set(F.struct("key", "kind", "start", "stop", "anchor", "sliced")).alias("wanted"))
         .withColumnRenamed("class", "of")
     )
     one_each = (
@@ -362,7 +412,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         .mapInArrow(_cut_contexts, _CUT)
         .repartition(n, "key")
         .sortWithinPartitions("key")
-        .mapInArrow(_merge, _FOUND)
+        .mapInArrow(lambda b: _merge(b, merge_bytes), _FOUND)
     )
     copies = (
         docs.select(_class().alias("class"), F.octet_length(_bytes()).cast("long").alias("stop"))
@@ -382,16 +432,18 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, carry: list[str] | None = None, **bounds: int
+) -> DataFrame:
     """``row`` (the columns ``carry`` of ``docs``, or all), ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept`` (bytes left) and ``kept_sha256``.
 
     Texts are UTF-8 bytes, null is empty; what is left need not be valid UTF-8.
     Strings are judged on the input. Texts shorter than ``LENGTH`` bytes stay
     whole; equal rows are repeats of each other. Other columns may have any
-    names. An empty table gives no rows.
+    names. An empty table gives no rows. ``bounds`` are those of ``repeated_stretches``.
     """
-    marks = repeated_stretches(docs).withColumnRenamed("class", "of")
+    marks = repeated_stretches(docs, **bounds).withColumnRenamed("class", "of")
     names = ["row", "class", "text"]
     given = docs.select(row_of(docs, carry), _class().alias("class"), _bytes().alias("text"))
     joined = (

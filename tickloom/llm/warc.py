@@ -209,7 +209,7 @@ class CaptureIndex:
         return [f[0] for f in self.files[:after] if f[2] >= key]
 
 
-def build_index(captures: DataFrame, folder: str) -> CaptureIndex:
+def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> CaptureIndex:
     """Sort captures into files of compressed blocks, each file with the directory of its blocks.
 
     Captures of one key are ordered by place, and a key with very many captures
@@ -218,13 +218,15 @@ def build_index(captures: DataFrame, folder: str) -> CaptureIndex:
     order = ["key", "archive", "offset"]
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     written = materialise(
-        captures.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_index_writer(folder), _BLOCKS)
+        captures.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_index_writer(folder, block_lines), _BLOCKS)
     )
     files = [tuple(r) for r in written.orderBy("first_key", "last_key", "index_file").collect()]
     return CaptureIndex(folder, files)
 
 
-def _index_writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _index_writer(
+    folder: str, block_lines: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """File: blocks, then the directory as JSON, then eight bytes with the directory's length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +249,7 @@ def _index_writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                     stream = _open_folder(folder)[0].open_output_stream(name, compression=None)
                 lines.append(row)
                 last = row[0]
-                if len(lines) == BLOCK_LINES:
+                if len(lines) == block_lines:
                     close_block()
                     lines = []
         if lines:
@@ -349,7 +351,7 @@ def _reader(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def archive_and_read(pages: DataFrame) -> DataFrame:
+def archive_and_read(pages: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Write ``pages`` as archives, index them, look up every URL and read its records.
 
     A row per row of ``pages``: ``page_id``, ``payload_bytes``,
@@ -358,6 +360,6 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     """
     folder = new_shared_path(pages.sparkSession, "warc")
     captures = write_archives(pages, folder)
-    index = build_index(captures, folder)
+    index = build_index(captures, folder, block_lines)
     wanted = pages.select(surt_key(F.col("url")).alias("key"))
     return read_records(look_up(index, wanted), folder)

@@ -1,4 +1,8 @@
-"""Key-value records in any format, with settings taken from a profile."""
+"""Key-value records in any format, with settings taken from a profile.
+
+Hadoop formats have no DataFrame reader or writer: their records pass through
+Python one by one. Use them to exchange data with other systems only.
+"""
 
 from __future__ import annotations
 

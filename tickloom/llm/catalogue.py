@@ -13,7 +13,16 @@ from tickloom.llm.chat import rotate
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
-from tickloom.llm.quality import COUNTS, judge
+from tickloom.llm.quality import (
+    COUNTS,
+    LEAST_RANGE,
+    MAX_REPEAT_PERCENT,
+    MIN_GROUP,
+    MIN_WORDS,
+    SPREADS,
+    TWO_SIDED,
+    judge,
+)
 from tickloom.llm.sharding import shuffle_into_shards
 from tickloom.llm.similarity import join_similar
 from tickloom.llm.substrings import remove_repeats
@@ -72,6 +81,71 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fences_sql(name: str) -> str:
+    reach = f"{SPREADS} * greatest(quantile_disc({name}, 0.75) - quantile_disc({name}, 0.25), {LEAST_RANGE[name]})"
+    low = f"quantile_disc({name}, 0.25) - {reach}" if name in TWO_SIDED else "NULL::DOUBLE"
+    return f"{low} AS {name}_low, quantile_disc({name}, 0.75) + {reach} AS {name}_high"
+
+
+_FENCES = ", ".join(_fences_sql(name) for name in LEAST_RANGE)
+
+
+def _outside_sql(level: str) -> str:
+    parts = [f"coalesce({n} < {level}.{n}_low, false) OR coalesce({n} > {level}.{n}_high, false)" for n in LEAST_RANGE]
+    return " OR ".join(parts)
+
+
+_OUTSIDE_OF_LEVEL = (
+    f"CASE WHEN p.n >= {MIN_GROUP} THEN {_outside_sql('p')} "
+    f"WHEN l.n >= {MIN_GROUP} THEN {_outside_sql('l')} ELSE {_outside_sql('a')} END"
+)
+#: With exact quantiles, which the sketches are for groups of up to ``SKETCH_SIZE`` documents.
+OP5_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows
+    QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1)
+  GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM docs)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, n_lines
+  FROM docs LEFT JOIN repeats USING (doc_id) LEFT JOIN lines USING (doc_id)
+), features AS (
+  SELECT *, word_chars / nullif(n_words, 0) AS word_length, n_symbols / nullif(n_words, 0) AS symbol_ratio,
+    n_dup_lines / n_lines AS dup_line_ratio, n_repeat_words / nullif(n_words, 0) AS repeat_ratio,
+    n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counts
+), by_pair AS (
+  SELECT lang, source, count(*) AS n, {_FENCES} FROM features WHERE NOT base_failed GROUP BY lang, source
+), by_lang AS (
+  SELECT lang, count(*) AS n, {_FENCES} FROM features WHERE NOT base_failed GROUP BY lang
+), by_all AS (
+  SELECT {_FENCES} FROM features WHERE NOT base_failed
+), judged AS (
+  SELECT d.*, {_OUTSIDE_OF_LEVEL} AS outside
+  FROM features d
+    LEFT JOIN by_pair p ON d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
+    LEFT JOIN by_lang l ON d.lang IS NOT DISTINCT FROM l.lang
+    CROSS JOIN by_all a
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT outside AS kept
+FROM judged
+"""
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read_table(spark, folder, "documents"), corpus_pipeline.TOKENIZER_FILE)
 
@@ -85,11 +159,67 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return rotate(read_table(spark, folder, "conversations"))
 
 
+OP8_SQL = """
+WITH said AS (
+  SELECT conv_id, turn // 4096 AS run, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, run ORDER BY turn NULLS FIRST, role, text) AS n FROM said
+), sides AS (
+  SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
+), messages AS (
+  SELECT p.conv_id, perspective, run, (n - 1) // 64 AS part, n, role = perspective AS mine,
+    '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN role
+      ELSE 'user name=' || replace(role, '<|', '< |') END || chr(10) AS head,
+    replace(text, '<|', '< |') || '<|im_end|>' AS body
+  FROM placed p JOIN sides s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
+), offsets AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, perspective, run, part ORDER BY n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS first
+  FROM messages
+)
+SELECT conv_id, perspective, run, part, count(*) AS n_turns,
+  string_agg(head || body || chr(10), '' ORDER BY n) AS text,
+  coalesce(string_agg(first || ':' || (first + length(body)), ',' ORDER BY n) FILTER (mine), '') AS mask,
+  coalesce(sum(length(body)) FILTER (mine), 0)::BIGINT AS n_masked
+FROM offsets GROUP BY ALL
+"""
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     joined = join_similar(read_table(spark, folder, "documents"), ["doc_id"])
     return joined.select("row.doc_id", "class_id", "n_links")
 
 
+OP9_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT doc_id, list_distinct([array_to_string(w[i:i + least(5, len(w)) - 1], ' ')
+    for i in range(1, len(w) - least(5, len(w)) + 2)]) AS g
+  FROM words WHERE len(w) > 0
+), each AS (
+  SELECT doc_id, len(g) AS size, unnest(g) AS gram FROM grams
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM each a JOIN each b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.size, b.size
+  HAVING 5 * count(*) >= 4 * (a.size + b.size - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT a AS doc_id, min(b) AS class_id,
+  (SELECT count(*) FROM links l WHERE l.a = r.a) AS n_links
+FROM reach r GROUP BY a
+"""
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
     found = find_benchmark(docs, benchmark, ["doc_id"])
@@ -103,18 +233,51 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     )
 
 
+OP10_SQL = """
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ')
+    for i in range(1, len(w) - least(10, len(w)) + 2)]) AS pattern
+  FROM items WHERE len(w) > 0
+), windows AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM docs, (SELECT DISTINCT n FROM patterns)
+), hits AS (
+  SELECT doc_id, i, x.n, item_id
+  FROM windows x JOIN patterns p ON p.n = x.n AND p.pattern = array_to_string(w[i:i + x.n - 1], ' ')
+), places AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits)
+  GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_sharding": (op2_sharding, None),
     "op3_suffix_array_dedup": (op3_suffix_array_dedup, None),
     "op4_pii": (op4_pii, None),
-    "op5_quality_rules": (op5_quality_rules, None),
+    "op5_quality_rules": (op5_quality_rules, OP5_SQL),
     "op6_packing": (op6_packing, None),
     "op7_secret_scans": (op7_secret_scans, None),
-    "op8_chat_formatting": (op8_chat_formatting, None),
-    "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, None),
+    "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
+    "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
-    "op10_benchmark_decontamination": (op10_benchmark_decontamination, None),
+    "op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL),
 }
 
 

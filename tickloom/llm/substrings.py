@@ -50,7 +50,7 @@ SHARED = LENGTH - REACH + 1
 
 #: Contexts a shard compares with each other at once, and bytes that one merge holds.
 SHARD_CONTEXTS = 1_000_000
-MERGE_BYTES = 4_000_000
+MERGE_BYTES = 1_000_000
 #: Contexts of one anchor that are settled and merged in one piece.
 ANCHOR_CONTEXTS = 20_000
 SLICE = 8
@@ -78,7 +78,7 @@ class Prefixes:
     def __init__(self, data: np.ndarray):
         global _powers
         if len(_powers[0]) <= len(data):
-            n = 2 * len(data) + 1
+            n = len(data) + len(data) // 4 + 1
             _powers = tuple(
                 np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
                 for base in (_ODD, _INVERSE)

@@ -48,6 +48,13 @@ def test_quality_fences_reject_outliers_only(spark):
     assert {r.doc_id for r in judged if r.base_failed} == {2000, 2001}
 
 
+def test_quality_without_any_usable_document(spark):
+    docs = frame(spark, [(1, "too short", "en", "s", 0), (2, None, None, None, None)])
+    judged = quality.judge(docs).select("row.doc_id", "base_failed", "kept").collect()
+    assert sorted(map(tuple, judged)) == [(1, True, False), (2, True, False)]
+    assert quality.keep_good(docs).collect() == []
+
+
 def test_quality_fences_are_quantiles_of_their_group(spark):
     rows = [(i, prose(i, 60 + i % 7), "en", "s", 0) for i in range(120)]
     docs = frame(spark, rows)

@@ -171,12 +171,15 @@ def adaptive_fences(measured: DataFrame) -> DataFrame:
     of_lang = _fences(some.groupBy("lang").agg(F.sum("n").alias("n"), *merged)).select(
         F.col("lang").alias("_m"), F.col("n").alias("_n2"), F.col("fences").alias("_f2")
     )
-    of_all = _fences(some.agg(*merged)).select(F.col("fences").alias("_f3"))
+    # No row where no document is usable: a merge of nothing is no sketch.
+    of_all = _fences(some.agg(F.count("*").alias("n"), *merged).where("n > 0")).select(
+        F.col("fences").alias("_f3")
+    )
     return (
         groups.select("lang", "source")
         .join(of_pair, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
         .join(of_lang, F.col("lang").eqNullSafe(F.col("_m")), "left")
-        .crossJoin(F.broadcast(of_all))  # one row
+        .join(F.broadcast(of_all), F.lit(True), "left")  # one row at most
         .select(
             "lang",
             "source",

@@ -148,7 +148,15 @@ class _Archive:
         self.path = f"{path}/{uuid.uuid4().hex}.warc.gz"
         self.stream = self.system.open_output_stream(self.path, compression=None)
         self.size = 0
-        self.add(gzip.compress(f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: {CAPTURED}\r\nContent-Type: application/warc-fields\r\nContent-Length: 0\r\n\r\n\r\n\r\n".encode(), mtime=0))
+        about = [
+            "WARC/1.1",
+            "WARC-Type: warcinfo",
+            f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>",
+            f"WARC-Date: {CAPTURED}",
+            "Content-Type: application/warc-fields",
+            "Content-Length: 0",
+        ]
+        self.add(gzip.compress("\r\n".join([*about, *[""] * 4]).encode(), mtime=0))
 
     def add(self, member: bytes) -> tuple[str, int, int]:
         self.stream.write(member)
@@ -218,7 +226,9 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     order = ["key", "archive", "offset"]
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     written = materialise(
-        captures.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_index_writer(folder, block_lines), _BLOCKS)
+        captures.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(_index_writer(folder, block_lines), _BLOCKS)
     )
     files = [tuple(r) for r in written.orderBy("first_key", "last_key", "index_file").collect()]
     return CaptureIndex(folder, files)

@@ -213,7 +213,10 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             features(F.col("text")).alias("features"),
         )
     )
-    fences = adaptive_fences(measured).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    # Written, so that a short table of fences is broadcast and documents are not shuffled.
+    fences = materialise(adaptive_fences(measured)).withColumnsRenamed(
+        {"lang": "_lang", "source": "_source"}
+    )
     failed = base_failed(F.col("features")["n_words"], F.col("features")["n_repeat_words"])
     outside = F.lit(False)
     for name in LEAST_RANGE:

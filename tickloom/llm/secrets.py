@@ -95,7 +95,8 @@ def scan(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             F.concat(*[_spans(k, m) for k, m in _weak(text).items()]).alias("weak"),
         )
     )
-    linked = linked_parts(parts)
+    # Written, so that a short table of links is broadcast and documents are not shuffled.
+    linked = materialise(linked_parts(parts))
     return parts.join(linked, parts["id"] == linked["of"], "left").select(
         "row",
         "base",

@@ -121,6 +121,23 @@ def test_terms_that_reveal_an_entity_are_found_and_removed(spark):
     assert "zebulon" not in clean and "boss@corp" not in clean and "[email]" in clean
 
 
+def disclosed(spark, texts):
+    """The disclosing terms of each text, in a corpus of ``texts`` and 200 others."""
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    rows += [(10_000 + i, prose(i, 60), "en", "s", 0) for i in range(200)]
+    found = privacy.find_personal_data(frame(spark, rows)).collect()
+    of = {r["row"]["doc_id"]: {r["row"]["text"][s.start : s.end] for s in r["spans"] if s.kind == "term"} for r in found}
+    return [of[i] for i in range(len(texts))]
+
+
+def test_a_name_in_the_one_document_with_an_address_is_removed(spark):
+    texts = ["river stone Zebulon boss@corp.example quiet ladder"]
+    assert "Zebulon" in disclosed(spark, texts)[0] and not disclosed(spark, texts)[0] & {"river", "quiet"}
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts + [prose(i, 60) for i in range(200)])]
+    clean = privacy.sanitise(frame(spark, rows)).where("doc_id = 0").first()["text"]
+    assert "Zebulon" not in clean and "river" in clean and "[email]" in clean
+
+
 def secrets_by_regex(text):
     head = r"(password|passwd|secret|token|api_?key)"
     found = []

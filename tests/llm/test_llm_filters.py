@@ -138,6 +138,13 @@ def test_a_name_in_the_one_document_with_an_address_is_removed(spark):
     assert "Zebulon" not in clean and "river" in clean and "[email]" in clean
 
 
+def test_copies_of_a_text_hide_no_disclosing_term(spark):
+    # "Zebulon" gives the address away whole; "amber" stands in too many other texts.
+    texts = [f"{prose(i, 20)} Zebulon boss@corp.example amber" for i in range(3)]
+    found = disclosed(spark, texts + texts[:1] * 400)
+    assert all("Zebulon" in terms and "amber" not in terms for terms in found)
+
+
 def secrets_by_regex(text):
     head = r"(password|passwd|secret|token|api_?key)"
     found = []

@@ -145,6 +145,18 @@ def test_copies_of_a_text_hide_no_disclosing_term(spark):
     assert all("Zebulon" in terms and "amber" not in terms for terms in found)
 
 
+def test_a_term_far_from_the_entity_is_removed(spark):
+    card = "4111 1111 1111 1111"
+    texts = [
+        f"Zebulon {'stone ' * 50} boss@corp.example {'stone ' * 50} ZEBULON 😀 Zebulon",
+        f"Ann Leeward, flat 7: {card}",
+        "nobody Zebulona here",
+    ]
+    found = disclosed(spark, texts)
+    assert {"Zebulon", "ZEBULON"} <= found[0] and not found[0] & {"stone", "boss", "corp", "example"}
+    assert {"Ann", "Leeward"} <= found[1] and found[2] == set()
+
+
 def secrets_by_regex(text):
     head = r"(password|passwd|secret|token|api_?key)"
     found = []

@@ -203,6 +203,17 @@ def test_weak_parts_count_only_near_their_complements(spark):
     assert left[1] == "id [SECRET]\n[SECRET]\n[SECRET]" and left[2] == texts[2]
 
 
+def test_bare_secrets_of_any_length_and_alphabet_are_linked(spark):
+    run = "wJalrXUtnFEMI7MDENGbPxRfiCYEXAMPLEKEY0123456789" * 3
+    bare = [run[:20], run[:32], run[:43] + "=", run[:44], run[:64], run[:86] + "==", run[:88], "aB3_" * 8, "aB3-" * 10, "aB3/" * 10]
+    rows = [(i, f"client_id: robot77 then {b} end", None, None, 0) for i, b in enumerate(bare)]
+    rows += [(100, f"client_id: robot77 then {run[:19]} end", None, None, 0), (101, f"only {run} here", None, None, 0)]
+    found = secrets.redact(frame(spark, rows)).collect()
+    left = {r.doc_id: r.text for r in found}
+    assert {left[i] for i in range(len(bare))} == {"[SECRET] then [SECRET] end"}
+    assert left[100] == rows[-2][1] and left[101] == rows[-1][1]
+
+
 def test_positions_of_very_many_matches(spark):
     text = "é1 " * 3000
     docs = spark.createDataFrame([(text,)], "text string")

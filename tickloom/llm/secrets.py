@@ -1,8 +1,9 @@
 """Secret scan that links the parts of multipart credentials.
 
 Method. Strong findings (assignments of secrets, access key ids, long hex runs)
-stand by themselves. Weak candidates (a bare base64 run, a named identifier, an
-endpoint) say little alone. They become parts with a place, and an interval
+stand by themselves. Weak candidates (a bare base64 or url-safe run of ``LEAST_BARE``
+characters or more, padded or not, with digits and letters of both cases; a
+named identifier; an endpoint) say little alone. They become parts with a place, and an interval
 join of parts within a scope of ``SCOPE`` characters reports a weak candidate
 only where the parts that complete it occur: a bare secret near an identifier,
 an identifier near a secret, an endpoint near both.
@@ -35,8 +36,10 @@ _LONG_ASSIGN = "^" + _ASSIGN_HEAD + "[A-Za-z0-9+/_.=-]{6,}$"
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 
+#: A run that is too short cannot hold a longer one, as above; so a run is matched whole.
+LEAST_BARE = 20
 #: Weak candidates: pattern, and what a value must contain besides.
-_BARE = "(?:\\G|(?<![A-Za-z0-9+/]))[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+_BARE = f"[A-Za-z0-9+/_-]{{{LEAST_BARE},}}+={{0,2}}"
 _NAMED = (
     "(?i:access_?key_?id|client_?id|account_?id|user_?name|login)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{4,}"
 )

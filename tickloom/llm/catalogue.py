@@ -27,6 +27,7 @@ from tickloom.llm.sharding import shuffle_into_shards
 from tickloom.llm.similarity import join_similar
 from tickloom.llm.substrings import remove_repeats
 from tickloom.llm.warc import archive_and_read
+from tickloom.llm.whitening import whiten
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,6 +267,10 @@ FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(read_table(spark, folder, "embeddings"))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_sharding": (op2_sharding, None),
@@ -278,6 +283,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tickloom.llm import privacy, secrets
+from tickloom.llm.alignment import align_tokens
 from tickloom.llm.chat import rotate
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
@@ -30,6 +32,10 @@ from tickloom.llm.warc import archive_and_read
 from tickloom.llm.whitening import whiten
 
 
+BYTE_BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_and_read(read_table(spark, folder, "pages"))
 
@@ -267,6 +273,10 @@ FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(read_table(spark, folder, "documents"), BYTE_BPE_FILE, PIECE_FILE)
+
+
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(read_table(spark, folder, "embeddings"))
 
@@ -283,6 +293,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL),
+    "op12_cross_tokenizer_alignment": (op12_cross_tokenizer_alignment, None),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
 

@@ -238,17 +238,16 @@ def _centred(
 
 def _matrix_batch(i: int, j: int, matrix: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     rows, columns = matrix.shape
+    index_type, matrix_type = schema.field("index").type, schema.field("matrix").type
     # Column by column, as MLlib keeps its matrices.
-    dense = {
-        "type": 1,
-        "numRows": rows,
-        "numCols": columns,
-        "colPtrs": None,
-        "rowIndices": None,
-        "values": matrix.ravel(order="F"),
-        "isTransposed": False,
-    }
-    return pa.RecordBatch.from_pylist([{"index": {"i": i, "j": j}, "matrix": dense}], schema=schema)
+    values = pa.ListArray.from_arrays(pa.array([0, matrix.size], pa.int32()), matrix.ravel(order="F"))
+    none = pa.array([None], pa.list_(pa.int32()))
+    parts = [pa.array([1]), pa.array([rows]), pa.array([columns]), none, none, values, pa.array([False])]
+    dense = [part.cast(field.type) for part, field in zip(parts, matrix_type, strict=True)]
+    place = pa.StructArray.from_arrays([pa.array([i]), pa.array([j])], fields=list(index_type))
+    return pa.RecordBatch.from_arrays(
+        [place, pa.StructArray.from_arrays(dense, fields=list(matrix_type))], schema=schema
+    )
 
 
 def _covariance(

@@ -12,6 +12,7 @@ import corpus_pipeline
 from tickloom.llm import privacy, secrets
 from tickloom.llm.alignment import align_tokens
 from tickloom.llm.chat import rotate
+from tickloom.llm.classifier import classify
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
@@ -273,6 +274,10 @@ FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_tokens(read_table(spark, folder, "documents"), BYTE_BPE_FILE, PIECE_FILE)
 
@@ -293,6 +298,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL),
+    "op11_quality_classifier": (op11_quality_classifier, None),
     "op12_cross_tokenizer_alignment": (op12_cross_tokenizer_alignment, None),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }

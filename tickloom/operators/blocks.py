@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.functions.ids import text_id, with_series_ids
 from tickloom.functions.text import parsed_labels
@@ -23,7 +28,7 @@ from tickloom.model import (
 )
 from tickloom.operators.chunks import chunk_labels, without_chunk_label
 from tickloom.operators.dump import POINT_ORDER
-from tickloom.operators.ordering import with_rank
+from tickloom.operators.ordering import Numbers, ordered_rows, with_rank
 from tickloom.session import materialise
 
 # Bounds of a block unless the caller asks for others. A block is one row.
@@ -65,22 +70,11 @@ def pack_points(
     numbered upwards from 0 in ``block_no``; a number is left out where both
     bounds are met at once. All blocks carry the metadata of the series. ``by``
     adds grouping columns that are kept in the result.
+
+    Points are shuffled once, into ordered partitions, and packed as they stream by there;
+    only the pieces of a block that goes on over the bound of a partition are exchanged.
     """
-    if max_points < 1 or max_bytes < 1:
-        raise ValueError("max_points and max_bytes must be at least 1")
-    keys = [*SERIES_KEY, *(by or [])]
-    # The label map is left out of the shuffle: the label text says the same.
-    rows = with_series_key(points).select(*keys, "attributes", *POINT_FIELDS)
-    size = F.lit(_POINT_BYTES) + F.coalesce(F.octet_length("v_str"), F.lit(0))
-    order = [F.col("ts"), *map(F.col, POINT_ORDER)]
-    ranked = with_rank(rows, keys, order, weight=size, weight_before="_bytes")
-    # Neither quotient ever falls, so their sum changes exactly where one of them does.
-    block = floor_div(F.col("rank") - 1, max_points) + floor_div(F.col("_bytes"), max_bytes)
-    packed = ranked.groupBy(*keys, block.alias("block_no")).agg(
-        F.min_by("attributes", "rank").alias("attributes"),
-        F.count(F.lit(1)).alias("count"),
-        F.sort_array(F.collect_list(point_struct())).alias("points"),
-    )
+    packed = _packed(points, max_points, max_bytes, by or [])
     zero = F.lit(0).cast("bigint")
     return packed.select(
         "class",
@@ -95,6 +89,107 @@ def pack_points(
     )
 
 
+def _packed(points: DataFrame, max_points: int, max_bytes: int, by: list[str]) -> DataFrame:
+    """Keys, ``block_no``, ``attributes``, ``count`` and ``points`` of blocks, and in ``first_place`` the
+    place of the first point in its series, from 1."""
+    if max_points < 1 or max_bytes < 1:
+        raise ValueError("max_points and max_bytes must be at least 1")
+    keys = [*SERIES_KEY, *by]
+    # The label map is left out of the shuffle: the label text says the same.
+    rows = with_series_key(points).select(*keys, "attributes", *POINT_FIELDS)
+    size = F.lit(_POINT_BYTES) + F.coalesce(F.octet_length("v_str"), F.lit(0))
+    ordered = ordered_rows(rows, keys, [F.col("ts"), *map(F.col, POINT_ORDER)], size)
+    schema = rows.select(*keys, "attributes").schema
+    for field in T.StructType.fromDDL("block_no long, first_place long, count long, is_piece boolean"):
+        schema.add(field)
+    schema.add("points", T.ArrayType(POINT_TYPE))
+    pieces = ordered.mapInArrow(_packer(to_arrow_schema(schema), max_points, max_bytes), schema)
+    piece = F.struct("first_place", "points")
+    joined = (
+        pieces.where("is_piece")
+        .groupBy(*keys, "block_no")
+        .agg(
+            F.min_by("attributes", "first_place").alias("attributes"),
+            F.min("first_place").alias("first_place"),
+            F.sum("count").alias("count"),
+            F.flatten(F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["points"])).alias("points"),
+        )
+    )
+    return pieces.where("NOT is_piece").drop("is_piece").unionByName(joined)
+
+
+def _packer(
+    schema: pa.Schema, max_points: int, max_bytes: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packs the rows of an ordered partition; what may go on beyond it is marked as a piece."""
+    kept = [name for name in schema.names if name not in ("block_no", "first_place", "count", "is_piece", "points")]
+
+    def blocks(
+        rows: pa.RecordBatch, starts: np.ndarray, numbers: np.ndarray, places: np.ndarray, is_piece: np.ndarray
+    ) -> pa.RecordBatch:
+        bounds = np.append(starts, rows.num_rows)
+        points = pa.StructArray.from_arrays(
+            [rows.column(name) for name in POINT_FIELDS],
+            fields=[pa.field(f.name, f.type, f.nullable) for f in schema.field("points").type.value_type],
+        )
+        made = {
+            "block_no": pa.array(numbers[starts]),
+            "first_place": pa.array(places[starts]),
+            "count": pa.array(np.diff(bounds).astype(np.int64)),
+            "is_piece": pa.array(is_piece),
+            "points": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), points),
+        }
+        first = pa.array(starts)
+        return pa.RecordBatch.from_arrays(
+            [made[n] if n in made else rows.column(n).take(first) for n in schema.names], schema=schema
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        # Rows of the block that is still open, the number and first place of it, and whether it was begun before.
+        held: list[pa.RecordBatch] = []
+        number, place, begun, goes_on, group = 0, 0, False, False, None
+
+        def closed(is_piece: bool) -> pa.RecordBatch:
+            rows = pa.concat_batches(held) if len(held) > 1 else held[0]
+            return blocks(rows, np.zeros(1, np.int64), np.array([number]), np.array([place]), np.array([is_piece]))
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            is_first = group is None
+            new, places, before = numbers.of(batch)
+            # Neither quotient ever falls, so their sum changes exactly where one of them does.
+            of_row = (places - 1) // max_points + before // max_bytes
+            goes_on = batch.column("_goes_on")[0].as_py()
+            rows = batch.select([*kept, *POINT_FIELDS])
+            starts_here = new | (np.diff(of_row, prepend=of_row[0]) != 0)
+            starts_here[0] = is_first or bool(new[0]) or of_row[0] != number
+            starts = np.flatnonzero(starts_here)
+            if len(starts) == 0:
+                held.append(rows)
+            else:
+                if held:
+                    held.append(rows.slice(0, starts[0]))
+                    yield closed(begun)
+                    begun = False
+                if is_first:
+                    begun = (places[0] - 1) % max_points != 0
+                if len(starts) > 1:
+                    whole = rows.slice(0, starts[-1]).slice(starts[0])
+                    marks = np.zeros(len(starts) - 1, bool)
+                    marks[0], begun = begun, False
+                    at = starts[0]
+                    yield blocks(whole, starts[:-1] - at, of_row[at:], places[at:], marks)
+                last = starts[-1]
+                held, number, place = [rows.slice(last)], int(of_row[last]), int(places[last])
+            group = numbers.last
+        if held:
+            yield closed(begun or goes_on)
+
+    return run
+
+
 def unpack_points(blocks: DataFrame) -> DataFrame:
     """Points of blocks, with their ``arity`` in shortest form.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.text import continuation_line, full_line
 from tickloom.model import POINT_FIELDS, SERIES_KEY, selector_text, with_series_key
-from tickloom.operators.ordering import with_rank
+from tickloom.operators.ordering import crosses, numbered_rows, ordered_rows
 
 # Order of points with one tick, so that results repeat.
 POINT_ORDER = [name for name in POINT_FIELDS if name != "ts"]
@@ -22,7 +22,9 @@ def dump_text(points: DataFrame, optimize: bool = False, run_lines: int = RUN_LI
     With ``optimize``, lines are in order and only the first line of a series
     names it; the others start with ``=`` and hold position and value. The name
     comes again after every ``run_lines`` lines, for every series alike. Runs of
-    lines under one name stay in one partition, and so in one file.
+    lines under one name stay in one partition, and so in one file. Points are
+    shuffled once, into ordered partitions where lines are written as they stand;
+    only the lines of a run that goes on over the bound of a partition move again.
     """
     points = with_series_key(points)
     if not optimize:
@@ -30,22 +32,20 @@ def dump_text(points: DataFrame, optimize: bool = False, run_lines: int = RUN_LI
     if run_lines < 1:
         raise ValueError("run_lines must be at least 1")
     rows = points.select(*SERIES_KEY, *POINT_FIELDS)
-    place = F.col("_place") - 1
-    runs = with_rank(
-        rows, SERIES_KEY, [F.col("ts"), *map(F.col, POINT_ORDER)], name="_place"
-    ).withColumns({"_run": F.floor(place / run_lines), "_in_run": place % run_lines})
+    order = [F.col("ts"), *map(F.col, POINT_ORDER)]
+    place = F.col("_number") - 1
+    runs = numbered_rows(ordered_rows(rows, SERIES_KEY, order)).withColumns(
+        {"_run": F.floor(place / run_lines), "_in_run": place % run_lines, "_crosses": crosses(run_lines)}
+    )
     n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        runs.repartition(n, *SERIES_KEY, "_run")
-        .sortWithinPartitions(*SERIES_KEY, "_place")
-        .select(
-            *SERIES_KEY,
-            "ts",
-            F.when(F.col("_in_run") == 0, full_line(selector_text()))
-            .otherwise(continuation_line())
-            .alias("line"),
-        )
+    crossing = (
+        runs.where("_crosses")
+        .repartition(n, *SERIES_KEY, "_run")
+        .sortWithinPartitions(*SERIES_KEY, "_number")
     )
+    line = F.when(F.col("_in_run") == 0, full_line(selector_text())).otherwise(continuation_line())
+    lines = [part.select(*SERIES_KEY, "ts", line.alias("line")) for part in (runs.where("NOT _crosses"), crossing)]
+    return lines[0].union(lines[1])
 
 
 def update_stream(

@@ -2,9 +2,11 @@
 
 A single series may hold a large share of all points. Rows are range-partitioned
 by group and order, which cuts large groups like any other stretch of rows, and
-each partition numbers its rows as they stream by. A group that goes on over
-several partitions is put right by a table with one row per partition. There is
-no limit above which the method or the result changes.
+each partition numbers its rows as they stream by. What a partition must know of
+its neighbours comes from a table with one row per partition, made of the same
+partitions: a query reads its one exchange several times, so rows are shuffled once and
+no copy of them is written. There is no limit above which the method or the
+result changes.
 """
 
 from __future__ import annotations
@@ -14,102 +16,152 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.session import materialise
+#: Columns of ``ordered_rows`` beside those of the rows: a hash of the keys, the weight, and of the
+#: row's partition its first and last group, how many rows and how much weight earlier partitions have of the
+#: first, how many rows the last has up to here, and whether the next partition goes on with it.
+ORDERED_NAMES = ["_group", "_weight", "_first", "_last", "_in_rows", "_in_sum", "_out_rows", "_goes_on"]
+_EDGES = ["_part", "_first", "_last", "_rows", "_sum"]
 
-def with_rank(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str = "rank",
-    weight: Column | None = None,
-    weight_before: str = "weight_before",
+
+def ordered_rows(
+    rows: DataFrame, keys: list[str], order: list[Column], weight: Column | None = None
 ) -> DataFrame:
-    """Number the rows of every group from 1 in the given order.
+    """``rows`` in partitions that follow each other by ``keys`` and ``order``, sorted, with ``ORDERED_NAMES``.
 
-    ``order`` should be total for the result to repeat. With ``weight``, a whole
-    number, ``weight_before`` is the sum of the weights of the group's earlier
-    rows. Null keys are keys like any other. The ordered rows are written once to
-    the shared folder, so that no retried task sees other partition bounds.
+    All readers of the exchange must see the same partitions. Spark's reuse of
+    exchanges gives that; a session that has switched it off is refused.
     """
+    spark = rows.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true") != "true":
+        raise RuntimeError("ordering rows needs spark.sql.exchange.reuse")
     # The hash skips nulls, so which keys are null is hashed as well.
     group = F.xxhash64(*[part for k in keys for part in (F.col(k).isNull(), F.col(k))])
     by = [*[F.col(k).asc() for k in keys], *order]
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     weighed = rows.withColumns(
         {"_group": group, "_weight": F.lit(0).cast("bigint") if weight is None else weight.cast("bigint")}
     )
     ordered = weighed.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    edges = ordered.mapInArrow(_edges, "_part int, _first long, _last long, _rows long, _sum long")
+    placed = ordered.withColumn("_of", F.spark_partition_id())
+    # The smaller side has one row per partition.
+    joined = placed.join(F.broadcast(_carried(edges)), F.col("_of") == F.col("_part"))
+    return joined.select(*rows.columns, *ORDERED_NAMES)
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for a partition that has any: its first and last group, and rows and weight of the last."""
+    first, last, rows, total = None, None, 0, 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        group, weight = batch.column("_group").to_numpy(), batch.column("_weight").to_numpy()
+        if first is None:
+            first = int(group[0])
+        changes = np.flatnonzero(group[1:] != group[:-1]) + 1
+        if len(changes) or group[0] != last:
+            rows = total = 0
+        start = int(changes[-1]) if len(changes) else 0
+        last, rows, total = int(group[-1]), rows + len(group) - start, total + int(weight[start:].sum())
+    if first is not None:
+        values = [first, last, rows, total]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()], pa.int32()), *[pa.array([v], pa.int64()) for v in values]],
+            names=_EDGES,
+        )
+
+
+def _carried(edges: DataFrame) -> DataFrame:
+    """What each partition must know of its neighbours; one row per partition goes in and comes out."""
+    # Rows of a group lie together. So the partitions that end with a group follow each other, and
+    # what lies before a partition of its first group is what those before it end with.
+    so_far = Window.partitionBy("_last").orderBy("_part")
+    ends = edges.withColumns({"_rows": F.sum("_rows").over(so_far), "_sum": F.sum("_sum").over(so_far)})
+    row = Window.orderBy("_part")
+    goes_on = F.lag("_last").over(row) == F.col("_first")
     zero = F.lit(0).cast("bigint")
-    schema = ordered.withColumns(
-        {"_part": F.lit(0), "_place": zero, "_number": zero, "_before": zero}
-    ).schema
-    written = materialise(ordered.mapInArrow(_number, schema))
-    carried = F.broadcast(_carried(written))
-    goes_on = (F.col("_part") == F.col("_to")) & (F.col("_group") == F.col("_of"))
-    added = {name: F.col("_number") + F.coalesce("_rows", zero)}
-    if weight is not None:
-        added[weight_before] = F.col("_before") + F.coalesce("_sum", zero)
-    return (
-        written.join(carried, goes_on, "left")
-        .withColumns(added)
-        .select(*rows.columns, *added)
+    return ends.select(
+        "_part",
+        "_first",
+        "_last",
+        F.when(goes_on, F.lag("_rows").over(row)).otherwise(zero).alias("_in_rows"),
+        F.when(goes_on, F.lag("_sum").over(row)).otherwise(zero).alias("_in_sum"),
+        F.col("_rows").alias("_out_rows"),
+        F.coalesce(F.lead("_first").over(row) == F.col("_last"), F.lit(False)).alias("_goes_on"),
     )
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, place, last, number, total = TaskContext.get().partitionId(), 0, None, 0, 0
-    for batch in batches:
+class Numbers:
+    """Place of each row in its group and the weight before it, as the batches of a partition stream by."""
+
+    def __init__(self) -> None:
+        self.last: int | None = None
+        self.rows = self.total = 0
+
+    def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which rows begin a group here, all rows' places, and the weights before them."""
         n = batch.num_rows
-        if n == 0:
-            continue
-        group = batch.column("_group").to_numpy()
-        weight = batch.column("_weight").to_numpy()
-        new = np.concatenate([[last is None or group[0] != last], group[1:] != group[:-1]])
+        group, weight = batch.column("_group").to_numpy(), batch.column("_weight").to_numpy()
+        if self.last is None:
+            # The first group goes on where the partitions before it end.
+            self.last = int(group[0])
+            self.rows, self.total = batch.column("_in_rows")[0].as_py(), batch.column("_in_sum")[0].as_py()
+        new = np.concatenate([[group[0] != self.last], group[1:] != group[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        first = np.cumsum(new) == 0  # rows of the group that the batch before ended with
+        same = np.cumsum(new) == 0  # rows of the group that the batch before ended with
         before = np.cumsum(weight) - weight
-        numbers = np.arange(n) - start + 1 + np.where(first, number, 0)
-        sums = before - before[start] + np.where(first, total, 0)
-        last, number, total = group[-1], int(numbers[-1]), int(sums[-1] + weight[-1])
-        added = [
-            pa.array(np.full(n, part), pa.int32()),
-            pa.array(place + np.arange(n), pa.int64()),
-            pa.array(numbers, pa.int64()),
-            pa.array(sums, pa.int64()),
-        ]
-        place += n
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, *added],
-            names=[*batch.schema.names, "_part", "_place", "_number", "_before"],
-        )
+        numbers = np.arange(n) - start + 1 + np.where(same, self.rows, 0)
+        sums = before - before[start] + np.where(same, self.total, 0)
+        self.last, self.rows, self.total = int(group[-1]), int(numbers[-1]), int(sums[-1] + weight[-1])
+        return new, numbers, sums
 
 
-def _carried(written: DataFrame) -> DataFrame:
-    """For partitions that go on with a group: its rows and weight in the partitions before.
+def numbered_rows(ordered: DataFrame) -> DataFrame:
+    """``ordered_rows`` with ``_number``, the place in the group from 1, and ``_before``, the weight before."""
+    zero = F.lit(0).cast("bigint")
+    return ordered.mapInArrow(_number, ordered.withColumns({"_number": zero, "_before": zero}).schema)
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    numbers = Numbers()
+    for batch in batches:
+        if batch.num_rows:
+            _, places, sums = numbers.of(batch)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(places), pa.array(sums)],
+                names=[*batch.schema.names, "_number", "_before"],
+            )
 
-    Both this table and what the driver collects for it have one row per partition.
+
+def with_rank(
+    rows: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    name: str = "rank",
+    weight: Column | None = None,
+    weight_before: str = "weight_before",
+) -> DataFrame:
+    """Number the rows of every group from 1 in the given order.
+
+    ``order`` should be total for the result to repeat. With ``weight``, a whole
+    number, ``weight_before`` is the sum of the weights of the group's earlier
+    rows. Null keys are keys like any other. Rows stay in order in their partitions.
     """
-    last = F.struct("_group", "_number", (F.col("_before") + F.col("_weight")).alias("sum"))
-    ends = (
-        written.groupBy("_part")
-        .agg(
-            F.min_by("_group", "_place").alias("first"),
-            F.max_by(last, "_place").alias("last"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .orderBy("_part")
-        .collect()
-    )
-    rows, group, number, total = [], None, 0, 0
-    for end in ends:
-        goes_on = group is not None and end["first"] == group
-        if goes_on:
-            rows.append((end["_part"], group, number, total))
-        whole = goes_on and end["last"]["_number"] == end["n"] and end["last"]["_group"] == group
-        group = end["last"]["_group"]
-        number = end["last"]["_number"] + (number if whole else 0)
-        total = end["last"]["sum"] + (total if whole else 0)
-    return written.sparkSession.createDataFrame(rows, "_to int, _of long, _rows long, _sum long")
+    numbered = numbered_rows(ordered_rows(rows, keys, order, weight))
+    added = [F.col("_number").alias(name)]
+    if weight is not None:
+        added.append(F.col("_before").alias(weight_before))
+    return numbered.select(*rows.columns, *added)
+
+
+def crosses(length: int) -> Column:
+    """Whether the stretch of ``length`` rows in which a row of ``numbered_rows`` lies crosses the bound of
+    its partition. Stretches begin at the places 1, ``length`` + 1 and so on of a group."""
+    stretch = F.floor((F.col("_number") - 1) / length)
+    cut = lambda rows: (rows % length != 0) & (stretch == F.floor((rows - 1) / length))
+    begun = (F.col("_group") == F.col("_first")) & cut(F.col("_in_rows"))
+    unfinished = (F.col("_group") == F.col("_last")) & F.col("_goes_on") & cut(F.col("_out_rows"))
+    return begun | unfinished

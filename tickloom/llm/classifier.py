@@ -232,7 +232,8 @@ def train(
         .where(F.col("label") == F.col("most"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where(~is_held_out(F.col("id")))
-    joined = texts.join(known, F.col("id") == F.col("of"))
+    # One plan at every size: labels grow with the corpus and are not broadcast.
+    joined = texts.join(known.hint("merge"), F.col("id") == F.col("of"))
     features = materialise(
         joined.select(F.xxhash64("id").alias("pick"), "label", "text").mapInArrow(
             _features, "pick long, label int, places array<int>"

@@ -1,6 +1,7 @@
 """Packing, ranking of large groups, chunks, joins and bags."""
 
 import random
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from tickloom.operators.blocks import (
     unpack_points,
 )
 from tickloom.operators.chunks import chunk_fuse, time_chunk
-from tickloom.operators.dump import POINT_ORDER
+from tickloom.operators.dump import POINT_ORDER, dump_text
 from tickloom.operators.joins import (
     bounds_cogroup,
     cogroup_bags,
@@ -35,6 +36,8 @@ from tickloom.operators.joins import (
     partition_join,
 )
 from tickloom.operators.ordering import with_rank
+from tickloom.operators import blocks as block_module
+from tickloom.sources.series import read_blocks, write_blocks
 
 from fixtures import frame, point, same_points
 
@@ -333,3 +336,73 @@ def test_attributes_are_no_part_of_the_key(spark):
     blocks = pack_points(points)
     assert blocks.count() == 1
     assert blocks.first()["attributes"] == {"a": "1"}
+
+
+def consecutive(spark, series, blocks, each, at=0):
+    """Blocks of one series that follow each other."""
+    points = [point("long", {"s": str(s)}, ts=10 * (at + i), v_long=i) for s in range(series) for i in range(blocks * each)]
+    return pack_points(frame(spark, *points), each)
+
+
+def marked(blocks):
+    """The points of every block, and whether it went through as it was: only unpacking changes the mark."""
+    return {(r["label_key"], tuple((p["ts"], p["v_long"]) for p in r["points"])): r["base"] for r in blocks.collect()}
+
+
+def test_merge_touches_only_what_overlaps(spark, tmp_path):
+    full = consecutive(spark, 2, 100, 8)
+    late = frame(spark, *[point("long", {"s": "1"}, ts=t, v_long=-1) for t in (2405, 2407, 2409, 2411)])
+    path = str(tmp_path / "blocks")
+    stored = full.unionByName(pack_points(late, 8)).withColumn("base", F.lit(77).cast("bigint"))
+    write_blocks(stored, path)
+    merged = merge_series(read_blocks(spark, path), 8)
+    got = marked(merged)
+    # 77 in a header field shows the blocks that were not packed again: all but the overlapped block.
+    assert sum(base == 77 for base in got.values()) == 199
+    again = [(k, points) for (k, points), base in got.items() if base == 0]
+    assert {k for k, _ in again} == {"s=1"}
+    assert sorted(p for _, points in again for p in points) == sorted(
+        [(2400 + 10 * i, 240 + i) for i in range(8)] + [(t, -1) for t in (2405, 2407, 2409, 2411)]
+    )
+    same_points(unpack_points(merged), unpack_points(stored))
+    for key in ("s=0", "s=1"):
+        rows = merged.where(F.col("label_key") == key).orderBy("block_no").collect()
+        ticks = [p["ts"] for r in rows for p in r["points"]]
+        assert ticks == sorted(ticks)
+        assert [r["block_no"] for r in rows] == [sum(r["count"] for r in rows[:i]) for i in range(len(rows))]
+
+
+def test_merge_sweeps_series_of_any_number_of_blocks(spark, monkeypatch):
+    """The same merge whether a series is swept in few parts of its time or in many."""
+    rng = random.Random(3)
+    halves = [
+        pack_points(frame(spark, *[point("s", ts=rng.randrange(400), v_long=i) for i in range(60)]), 4),
+        pack_points(frame(spark, *[point("s", ts=1000 + 3 * i, v_long=i) for i in range(60)]), 4),
+        pack_points(frame(spark, point("s", ts=1000 + 3 * 30, v_long=-1), point("s", ts=5000, v_long=-1)), 4),
+    ]
+    blocks = reduce(type(halves[0]).unionByName, halves).withColumn("base", F.lit(5).cast("bigint"))
+    whole = marked(merge_series(blocks, 4))
+    monkeypatch.setattr(block_module, "_SWEEP_PARTS", 7)
+    assert marked(merge_series(blocks, 4)) == whole
+    # The far part passes but for the block that the single point falls into.
+    assert sum(base == 5 for base in whole.values()) >= 13
+
+
+def test_points_are_shuffled_once(spark):
+    points = frame(spark, *[point("s", ts=t, v_long=t) for t in range(100)])
+    for packed in (pack_points(points, max_points=7), dump_text(points, optimize=True, run_lines=9)):
+        query = packed._jdf.queryExecution()
+        query.toRdd().count()
+        final = query.executedPlan().toString().split("== Initial Plan ==")[0]
+        nodes = [line.strip(" :+-") for line in final.split("\n")]
+        assert sum(n.startswith("Exchange rangepartitioning") for n in nodes) == 1
+        assert sum(n.startswith("ReusedExchange") for n in nodes) >= 3
+
+
+def test_ordering_refuses_a_session_that_reuses_no_exchange(spark, skewed):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(RuntimeError, match="exchange.reuse"):
+            pack_points(skewed)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

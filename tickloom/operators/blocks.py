@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from tickloom.model import (
 )
 from tickloom.operators.chunks import chunk_labels, without_chunk_label
 from tickloom.operators.dump import POINT_ORDER
-from tickloom.operators.ordering import Numbers, ordered_rows, with_rank
+from tickloom.operators.ordering import Numbers, ordered_rows
 from tickloom.session import materialise
 
 # Bounds of a block unless the caller asks for others. A block is one row.
@@ -186,6 +187,7 @@ def _packer(
             group = numbers.last
         if held:
             yield closed(begun or goes_on)
+        numbers.end()
 
     return run
 
@@ -220,6 +222,15 @@ def metadata_of_map(metadata: Column) -> dict[str, Column]:
     }
 
 
+def with_bounds(blocks: DataFrame) -> DataFrame:
+    """Blocks with ``first_tick`` and ``last_tick``, read from the header where the table stores them.
+
+    They are null for a block without points.
+    """
+    missing = {"first_tick": F.array_min("points.ts"), "last_tick": F.array_max("points.ts")}
+    return blocks.withColumns({name: c for name, c in missing.items() if name not in blocks.columns})
+
+
 def merge_series(
     blocks: DataFrame,
     max_points: int = DEFAULT_BLOCK_POINTS,
@@ -227,38 +238,124 @@ def merge_series(
 ) -> DataFrame:
     """Blocks with one selector merged in tick order, equal points kept.
 
-    The merged series has the attributes of its first block. Merging goes
-    through points and packs again, so a series never sits in one row whole
-    unless it fits a block.
+    The headers decide: a block that overlaps no other and holds from half of
+    ``max_points`` up to all of them passes as it is. What lies between two such blocks of a series
+    (blocks that overlap, and small ones) is unpacked, merged and packed again within the bounds, so a
+    series never sits in one row whole unless it fits a block. Points are read from their arrays
+    only there; blocks meet their verdict in a join, which is broadcast where the headers are few.
+
+    The merged series has the attributes of its first block. ``block_no`` is the number of
+    points of the series before the block.
     """
-    blocks = with_series_key(blocks)
-    first_tick = F.array_min("points.ts")
+    blocks = with_bounds(with_series_key(blocks))
+    headers = blocks.select(
+        *SERIES_KEY,
+        "first_tick",
+        "last_tick",
+        label_text(F.col("attributes")).alias("_attributes"),
+        block_points().alias("_points"),
+    )
     # Blocks without points come last, whatever their attributes.
-    place = F.struct(F.col("_start").isNull(), "_start", label_text(F.col("attributes")))
-    owners = materialise(
-        blocks.withColumn("_first_tick", first_tick)
-        .groupBy(*SERIES_KEY, "attributes")
-        .agg(F.min("_first_tick").alias("_start"), F.any_value("labels").alias("labels"))
-        .groupBy(*SERIES_KEY)
-        .agg(
-            F.min_by("attributes", place).alias("attributes"),
-            F.any_value("labels").alias("labels"),
-            F.min("_start").alias("_start"),
-        )
+    place = F.struct(F.col("first_tick").isNull(), "first_tick", "_attributes")
+    owners = headers.groupBy(*SERIES_KEY).agg(
+        F.min_by("_attributes", place).alias("_attributes"),
+        F.min("first_tick").alias("_start"),
+        F.max("last_tick").alias("_end"),
     )
-    points = unpack_points(blocks).select(*SERIES_KEY, *POINT_FIELDS)
-    merged = pack_points(
-        points.join(owners.drop("_start"), SERIES_KEY), max_points, max_bytes
+    full = (F.col("_points") * 2 >= max_points) & (F.col("_points") <= max_points)
+    verdicts = materialise(_stretches(headers.drop("_attributes").join(owners, SERIES_KEY), full))
+    span = ["first_tick", "last_tick"]
+    judged = blocks.drop("attributes", "block_no").join(
+        verdicts.where(F.col("first_tick").isNotNull()).distinct(), [*SERIES_KEY, *span]
     )
+    attributes = parsed_labels(F.col("_attributes"))
+    columns = [*METADATA_FIELDS, *HEADER_FIELDS, "count", "points", "label_key", "block_no"]
     zero = F.lit(0).cast("bigint")
-    empty = owners.where(F.col("_start").isNull()).select(
-        *METADATA_FIELDS,
-        *[zero.alias(name) for name in [*HEADER_FIELDS, "count"]],
-        F.array().cast(T.ArrayType(POINT_TYPE)).alias("points"),
-        "label_key",
-        zero.alias("block_no"),
+    own_header = {"attributes": attributes, "labels": parsed_labels(F.col("label_key")), "count": F.col("_points")}
+    passed = judged.where("_passes").withColumns({**own_header, "block_no": F.col("_base")})
+
+    points = (
+        judged.where("NOT _passes")
+        .select(*SERIES_KEY, "_base", "_attributes", F.inline("points"))
+        .withColumn("attributes", empty_string_map())
+    )
+    merged = _packed(points, max_points, max_bytes, ["_base", "_attributes"])
+    fresh = {**own_header, **{name: zero for name in HEADER_FIELDS}}
+    del fresh["count"]
+    merged = merged.withColumns({**fresh, "block_no": F.col("_base") + F.col("first_place") - 1})
+    empty = verdicts.where(F.col("first_tick").isNull()).dropDuplicates(SERIES_KEY).withColumns(
+        {**fresh, "count": zero, "points": F.array().cast(T.ArrayType(POINT_TYPE)), "block_no": zero}
+    )
+    return reduce(DataFrame.union, [part.select(*columns) for part in (passed, merged, empty)])
+
+
+def block_points() -> Column:
+    """Points that a block stores."""
+    return F.when(F.col("points").isNull(), 0).otherwise(F.size("points.ts")).cast("bigint")
+
+
+#: A series is swept in so many parts of its time at most.
+_SWEEP_PARTS = 4096
+
+
+def _stretches(headers: DataFrame, full: Column) -> DataFrame:
+    """Sweep over the intervals of each series: which blocks pass, and where what lies between them begins.
+
+    ``_passes`` says that a block is ``full`` and overlaps no other (equal ticks overlap). ``_base`` is the
+    number of points of the series before a block that passes, and else before the stretch of blocks it is in.
+    The time from ``_start`` to ``_end`` of a series is swept in parts, each with what it must know of the
+    others, so that a series with very many blocks is no single task. Of blocks without points, those of a
+    series that has no others stay, with null ticks.
+    """
+    span = F.col("_end").cast("decimal(20,0)") - F.col("_start") + 1
+    offset = F.col("first_tick").cast("decimal(20,0)") - F.col("_start")
+    part = F.floor(offset.cast("double") / span.cast("double") * _SWEEP_PARTS)
+    swept = headers.where(F.col("first_tick").isNotNull() | F.col("_start").isNull()).withColumn(
+        "_part", F.coalesce(part, F.lit(0).cast("bigint"))
+    )
+    key = [*SERIES_KEY, "_part"]
+    inside = Window.partitionBy(*key).orderBy("first_tick", "last_tick")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.partitionBy(*SERIES_KEY).orderBy("_part")
+    earlier_parts = parts.rowsBetween(Window.unboundedPreceding, -1)
+
+    totals = swept.groupBy(*key).agg(
+        F.max("last_tick").alias("_last"), F.min("first_tick").alias("_begin"), F.sum("_points").alias("_sum")
+    )
+    around = totals.select(
+        *key,
+        F.max("_last").over(earlier_parts).alias("_last_before"),
+        F.lead("_begin").over(parts).alias("_begin_after"),
+        F.coalesce(F.sum("_sum").over(earlier_parts), F.lit(0)).alias("_points_before"),
+    )
+    before = F.greatest(F.max("last_tick").over(earlier), F.col("_last_before"))
+    after = F.coalesce(F.lead("first_tick").over(inside), F.col("_begin_after"))
+    points = F.col("_points_before") + F.coalesce(F.sum("_points").over(earlier), F.lit(0))
+    judged = swept.join(around, key).select(
+        *swept.columns, before.alias("_b"), after.alias("_a"), points.alias("_before")
+    )
+    alone = (F.col("_b").isNull() | (F.col("_b") < F.col("first_tick"))) & (
+        F.col("_a").isNull() | (F.col("_a") > F.col("last_tick"))
+    )
+    judged = judged.withColumn("_passes", alone & full & F.col("first_tick").isNotNull()).withColumn(
+        "_after", F.when(F.col("_passes"), F.col("_before") + F.col("_points"))
+    )
+    # The stretch of a block begins behind the last block before it that passes.
+    begun = (
+        judged.groupBy(*key)
+        .agg(F.max("_after").alias("_after"))
+        .select(*key, F.max("_after").over(earlier_parts).alias("_from"))
+    )
+    stretch = F.greatest(F.max("_after").over(earlier), F.col("_from"), F.lit(0).cast("bigint"))
+    return judged.join(begun, key).select(
+        *SERIES_KEY,
+        "first_tick",
+        "last_tick",
+        "_attributes",
+        "_passes",
+        F.when(F.col("_passes"), F.col("_before")).otherwise(stretch).alias("_base"),
+        F.when(F.col("_passes"), F.col("_points")).alias("_points"),
     )
-    return merged.unionByName(empty)
 
 
 def split_key_value(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:

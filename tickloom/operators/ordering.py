@@ -32,7 +32,8 @@ def ordered_rows(
     """``rows`` in partitions that follow each other by ``keys`` and ``order``, sorted, with ``ORDERED_NAMES``.
 
     All readers of the exchange must see the same partitions. Spark's reuse of
-    exchanges gives that; a session that has switched it off is refused.
+    exchanges gives that: a session that has switched it off is refused, and readers check
+    that their partitions begin and end as the table of neighbours says.
     """
     spark = rows.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true") != "true":
@@ -44,7 +45,10 @@ def ordered_rows(
     weighed = rows.withColumns(
         {"_group": group, "_weight": F.lit(0).cast("bigint") if weight is None else weight.cast("bigint")}
     )
-    ordered = weighed.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    # Behind a generator no column is known to be constant, so none is left out by some readers
+    # and carried by others, which would make their exchanges differ.
+    opaque = weighed.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in weighed.columns]))))
+    ordered = opaque.repartitionByRange(n, *by).sortWithinPartitions(*by)
     edges = ordered.mapInArrow(_edges, "_part int, _first long, _last long, _rows long, _sum long")
     placed = ordered.withColumn("_of", F.spark_partition_id())
     # The smaller side has one row per partition.
@@ -77,10 +81,16 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _carried(edges: DataFrame) -> DataFrame:
     """What each partition must know of its neighbours; one row per partition goes in and comes out."""
     # Rows of a group lie together. So the partitions that end with a group follow each other, and
-    # what lies before a partition of its first group is what those before it end with.
-    so_far = Window.partitionBy("_last").orderBy("_part")
-    ends = edges.withColumns({"_rows": F.sum("_rows").over(so_far), "_sum": F.sum("_sum").over(so_far)})
+    # what lies before a partition of its first group is what those before it end with. Sums of
+    # a group are running sums less what they were where its first such partition begins.
     row = Window.orderBy("_part")
+    new = F.coalesce(F.lag("_last").over(row) != F.col("_last"), F.lit(True))
+    total = {name: F.sum(name).over(row) for name in ("_rows", "_sum")}
+    begun = edges.withColumns({f"{name}_all": t for name, t in total.items()} | {"_new": new})
+    before = {f"{n}_before": F.max(F.when(F.col("_new"), F.col(f"{n}_all") - F.col(n))).over(row) for n in total}
+    ends = begun.withColumns(before).select(
+        "_part", "_first", "_last", *[(F.col(f"{n}_all") - F.col(f"{n}_before")).alias(n) for n in total]
+    )
     goes_on = F.lag("_last").over(row) == F.col("_first")
     zero = F.lit(0).cast("bigint")
     return ends.select(
@@ -94,12 +104,16 @@ def _carried(edges: DataFrame) -> DataFrame:
     )
 
 
+_NOT_REUSED = "readers of one exchange saw different partitions; spark.sql.exchange.reuse must be on"
+
+
 class Numbers:
     """Place of each row in its group and the weight before it, as the batches of a partition stream by."""
 
     def __init__(self) -> None:
         self.last: int | None = None
         self.rows = self.total = 0
+        self.expected: tuple[int, int] | None = None
 
     def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which rows begin a group here, all rows' places, and the weights before them."""
@@ -107,7 +121,10 @@ class Numbers:
         group, weight = batch.column("_group").to_numpy(), batch.column("_weight").to_numpy()
         if self.last is None:
             # The first group goes on where the partitions before it end.
-            self.last = int(group[0])
+            self.last = batch.column("_first")[0].as_py()
+            if self.last != group[0]:
+                raise RuntimeError(_NOT_REUSED)
+            self.expected = (batch.column("_last")[0].as_py(), batch.column("_out_rows")[0].as_py())
             self.rows, self.total = batch.column("_in_rows")[0].as_py(), batch.column("_in_sum")[0].as_py()
         new = np.concatenate([[group[0] != self.last], group[1:] != group[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -118,6 +135,11 @@ class Numbers:
         self.last, self.rows, self.total = int(group[-1]), int(numbers[-1]), int(sums[-1] + weight[-1])
         return new, numbers, sums
 
+    def end(self) -> None:
+        """To be called after the last batch."""
+        if self.expected not in (None, (self.last, self.rows)):
+            raise RuntimeError(_NOT_REUSED)
+
 
 def numbered_rows(ordered: DataFrame) -> DataFrame:
     """``ordered_rows`` with ``_number``, the place in the group from 1, and ``_before``, the weight before."""
@@ -134,6 +156,7 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [*batch.columns, pa.array(places), pa.array(sums)],
                 names=[*batch.schema.names, "_number", "_before"],
             )
+    numbers.end()
 
 
 def with_rank(

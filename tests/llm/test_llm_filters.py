@@ -1,6 +1,7 @@
 """Quality rules, sanitisation, secrets and decontamination."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -55,15 +56,46 @@ def test_quality_without_any_usable_document(spark):
     assert quality.keep_good(docs).collect() == []
 
 
-def test_quality_fences_are_quantiles_of_their_group(spark):
-    rows = [(i, prose(i, 60 + i % 7), "en", "s", 0) for i in range(120)]
+def fences_by_hand(values, name):
+    """Lower and upper fence of one group, from its sorted values."""
+    high, spreads, margin = quality.RULES[name]
+    at = lambda q: values[max(0, math.ceil(round(q * len(values), 9)) - 1)]
+    reach = spreads * (at(high) - at(1 - high)) + margin
+    return at(1 - high) - reach, at(high) + reach
+
+
+@pytest.mark.parametrize("few", [98, 99, 100, 101])
+def test_quality_fences_are_quantiles_drawn_to_the_wider_group(spark, few):
+    """No size of a group changes the rule; around a hundred it once did."""
+    rows = [(i, prose(i, 60 + i % 7), "en", "many" if i >= few else "few", 0) for i in range(400)]
+    rows = [(i, t if s == "many" else t.replace(" ", "xx "), l, s, n) for i, t, l, s, n in rows]
     docs = frame(spark, rows)
-    measured = quality.judge(docs).select(F.lit("en").alias("lang"), F.lit("s").alias("source"), "features")
-    fence = quality.adaptive_fences(measured).first()["fences"]["word_length"]
-    ratios = sorted(len(t.replace(" ", "")) / len(t.split()) for _, t, *_ in rows)
-    low, high = ratios[29], ratios[89]
-    reach = quality.SPREADS * max(high - low, quality.LEAST_RANGE["word_length"])
-    assert (fence["low"], fence["high"]) == pytest.approx((low - reach, high + reach))
+    measured = quality.judge(docs, ["source"]).select(F.lit("en").alias("lang"), "row.source", "features")
+    fences = {r["source"]: r["fences"] for r in quality.adaptive_fences(measured).collect()}
+    ratio = lambda t: len(t.replace(" ", "")) / len(t.split())
+    whole = fences_by_hand(sorted(ratio(t) for _, t, *_ in rows), "word_length")
+    for source in ("many", "few"):
+        values = sorted(ratio(t) for _, t, _, s, _ in rows if s == source)
+        n, k = len(values), quality.SHRINKAGE
+        for side, own, wider in zip(("low", "high"), fences_by_hand(values, "word_length"), whole):
+            assert fences[source]["word_length"][side] == pytest.approx((n * own + k * wider) / (n + k))
+    assert fences["many"] != fences["few"]
+
+
+def test_quality_fences_follow_their_group(spark):
+    """Symbols that one source is full of are no fault there, and are one elsewhere."""
+    rng = random.Random(8)
+
+    def text(i, share):
+        return " ".join(w + "#" * (rng.random() < share) for w in prose(i, 90).split(" "))
+
+    rows = [(i, text(i, 0.3 * (i % 2)), "en", "code" if i % 2 else "news", 0) for i in range(6000)]
+    rows += [(9000, text(1, 0.3), "en", "news", 0), (9001, text(2, 0.3), "en", "code", 0)]
+    judged = {r.doc_id: r.kept for r in quality.judge(frame(spark, rows)).select("row.doc_id", "kept").collect()}
+    assert judged[9001] and sum(judged.values()) >= 5950
+    measured = quality.judge(frame(spark, rows), ["source"]).select(F.lit("en").alias("lang"), "row.source", "features")
+    high = {r["source"]: r["fences"]["symbol_ratio"]["high"] for r in quality.adaptive_fences(measured).collect()}
+    assert high["code"] > 1.1 * high["news"]
 
 
 def spans_by_regex(text):

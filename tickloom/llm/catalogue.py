@@ -18,11 +18,10 @@ from tickloom.llm.decontamination import find_benchmark
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import (
     COUNTS,
-    LEAST_RANGE,
     MAX_REPEAT_PERCENT,
-    MIN_GROUP,
     MIN_WORDS,
-    SPREADS,
+    RULES,
+    SHRINKAGE,
     TWO_SIDED,
     judge,
 )
@@ -90,22 +89,27 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fences_sql(name: str) -> str:
-    reach = f"{SPREADS} * greatest(quantile_disc({name}, 0.75) - quantile_disc({name}, 0.25), {LEAST_RANGE[name]})"
-    low = f"quantile_disc({name}, 0.25) - {reach}" if name in TWO_SIDED else "NULL::DOUBLE"
-    return f"{low} AS {name}_low, quantile_disc({name}, 0.75) + {reach} AS {name}_high"
+    high, spreads, margin = RULES[name]
+    least, most = (f"quantile_disc({name}, {q})" for q in (round(1 - high, 9), high))
+    reach = f"({spreads}::DOUBLE * ({most} - {least}) + {margin}::DOUBLE)"
+    low = f"{least} - {reach}" if name in TWO_SIDED else "NULL::DOUBLE"
+    return f"{low} AS {name}_low, {most} + {reach} AS {name}_high"
 
 
-_FENCES = ", ".join(_fences_sql(name) for name in LEAST_RANGE)
+_FENCES = ", ".join(_fences_sql(name) for name in RULES)
+_BOUNDS = [f"{name}_{side}" for name in RULES for side in ("low", "high")]
 
 
-def _outside_sql(level: str) -> str:
-    parts = [f"coalesce({n} < {level}.{n}_low, false) OR coalesce({n} > {level}.{n}_high, false)" for n in LEAST_RANGE]
-    return " OR ".join(parts)
+def _drawn_sql(own: str, wider: str) -> str:
+    return ", ".join(
+        f"CASE WHEN {own}.n IS NULL THEN {wider}.{b} "
+        f"ELSE ({own}.n * {own}.{b} + {SHRINKAGE} * {wider}.{b}) / ({own}.n + {SHRINKAGE}) END AS {b}"
+        for b in _BOUNDS
+    )
 
 
-_OUTSIDE_OF_LEVEL = (
-    f"CASE WHEN p.n >= {MIN_GROUP} THEN {_outside_sql('p')} "
-    f"WHEN l.n >= {MIN_GROUP} THEN {_outside_sql('l')} ELSE {_outside_sql('a')} END"
+_OUTSIDE = " OR ".join(
+    f"coalesce({n} < g.{n}_low, false) OR coalesce({n} > g.{n}_high, false)" for n in RULES
 )
 #: With exact quantiles, which the sketches are for groups of up to ``SKETCH_SIZE`` documents.
 OP5_SQL = f"""
@@ -141,12 +145,19 @@ WITH docs AS (
   SELECT lang, count(*) AS n, {_FENCES} FROM features WHERE NOT base_failed GROUP BY lang
 ), by_all AS (
   SELECT {_FENCES} FROM features WHERE NOT base_failed
+), lang_fences AS (
+  SELECT l.lang, {_drawn_sql("l", "a")} FROM by_lang l CROSS JOIN by_all a
+), wider AS (
+  SELECT k.lang, k.source, {", ".join(f"CASE WHEN l.{b} IS NULL THEN a.{b} ELSE l.{b} END AS {b}" for b in _BOUNDS)}
+  FROM (SELECT DISTINCT lang, source FROM features) k
+    LEFT JOIN lang_fences l ON k.lang IS NOT DISTINCT FROM l.lang CROSS JOIN by_all a
+), fences AS (
+  SELECT w.lang, w.source, {_drawn_sql("p", "w")}
+  FROM wider w LEFT JOIN by_pair p ON w.lang IS NOT DISTINCT FROM p.lang AND w.source IS NOT DISTINCT FROM p.source
 ), judged AS (
-  SELECT d.*, {_OUTSIDE_OF_LEVEL} AS outside
+  SELECT d.*, {_OUTSIDE} AS outside
   FROM features d
-    LEFT JOIN by_pair p ON d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
-    LEFT JOIN by_lang l ON d.lang IS NOT DISTINCT FROM l.lang
-    CROSS JOIN by_all a
+    LEFT JOIN fences g ON d.lang IS NOT DISTINCT FROM g.lang AND d.source IS NOT DISTINCT FROM g.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT outside AS kept

@@ -1,10 +1,13 @@
 """Quality rules with thresholds from quantile sketches per language and source.
 
 Method. One pass computes the features of each document. Mergeable quantile
-sketches (KLL) of four ratios are built per language and source; sketches are
-merged to a language and to the whole table for groups with too few documents.
-A fence at ``SPREADS`` interquartile ranges outside the quartiles replaces the
-fixed cutoff, and a join with the fences decides each document.
+sketches (KLL) of four ratios are built per language and source, and merged to a
+language and to the whole table. The fence of a group lies beyond a high quantile of its sketch,
+by a multiple of the range between that quantile and its mirror image. Since few
+documents say little about a quantile, the fence of a pair of n documents is its own with weight n and
+that of its language with weight ``SHRINKAGE``, and that of a language is drawn to the whole table's in the
+same way: there is no size at which a group changes from one to the other. A join
+with the fences decides each document.
 
 Only DataFrame functions are used.
 """
@@ -23,17 +26,17 @@ MAX_REPEAT_PERCENT = 50
 
 #: Accuracy of the sketches: up to so many values are kept exactly.
 SKETCH_SIZE = 1024
-#: A group with fewer documents takes the fences of its language, then of all.
-MIN_GROUP = 100
-#: Fences lie so many interquartile ranges outside the quartiles.
-SPREADS = 6.0
-#: Ratios with the smallest range that counts as their interquartile range, so that a group
-#: in which nearly all documents agree does not reject a document for a small difference.
-LEAST_RANGE = {
-    "word_length": 0.5,
-    "symbol_ratio": 0.05,
-    "dup_line_ratio": 0.1,
-    "repeat_ratio": 0.07,
+#: Documents that the fence of the wider group counts for.
+SHRINKAGE = 1000
+#: For each ratio: the quantile, how many ranges between it and its mirror image the fence lies beyond
+#: it, and a margin so small that it only keeps equal values of a group from being outside.
+#: Word lengths and symbols are told by the middle half of the documents, which a quarter of bad
+#: ones does not move. Repeats are absent from most documents, so their tail is looked at.
+RULES = {
+    "word_length": (0.75, 6.0, 0.05),
+    "symbol_ratio": (0.75, 6.0, 0.01),
+    "dup_line_ratio": (0.99, 0.5, 0.01),
+    "repeat_ratio": (0.99, 0.5, 0.01),
 }
 #: Ratios that are also too small below the lower fence.
 TWO_SIDED = ("word_length",)
@@ -128,21 +131,33 @@ def _fences(level: DataFrame) -> DataFrame:
     """Sketches replaced by the lower and upper fence of each ratio."""
 
     def fence(name: str) -> Column:
-        def of(quartiles: Column) -> Column:
-            low, high = quartiles["low"], quartiles["high"]
-            reach = SPREADS * F.greatest(high - low, F.lit(LEAST_RANGE[name]))
-            lower = low - reach if name in TWO_SIDED else F.lit(None).cast("double")
-            return F.struct(lower.alias("low"), (high + reach).alias("high"))
+        high, spreads, margin = RULES[name]
+
+        def of(quantiles: Column) -> Column:
+            reach = spreads * (quantiles["high"] - quantiles["low"]) + margin
+            lower = quantiles["low"] - reach if name in TWO_SIDED else F.lit(None).cast("double")
+            return F.struct(lower.alias("low"), (quantiles["high"] + reach).alias("high"))
 
         quantile = lambda q: F.kll_sketch_get_quantile_double(name, F.lit(q))
-        return let(F.struct(quantile(0.25).alias("low"), quantile(0.75).alias("high")), of)
+        low = round(1 - high, 9)
+        return let(F.struct(quantile(low).alias("low"), quantile(high).alias("high")), of)
 
     return level.select(
-        *[c for c in level.columns if c not in LEAST_RANGE],
-        F.struct(*[fence(name).alias(name) for name in LEAST_RANGE]).alias("fences"),
+        *[c for c in level.columns if c not in RULES],
+        F.struct(*[fence(name).alias(name) for name in RULES]).alias("fences"),
     )
 
 
+def _drawn(own: Column, n: Column, wider: Column) -> Column:
+    """Fences of a group of ``n`` documents, drawn to those of the wider group."""
+
+    def bound(name: str, side: str) -> Column:
+        mixed = (n * own[name][side] + SHRINKAGE * wider[name][side]) / (n + SHRINKAGE)
+        return F.when(own.isNull(), wider[name][side]).otherwise(mixed).alias(side)
+
+    return F.struct(*[F.struct(bound(name, "low"), bound(name, "high")).alias(name) for name in RULES])
+
+
 def adaptive_fences(measured: DataFrame) -> DataFrame:
     """``lang``, ``source`` and ``fences`` for every pair in ``measured``.
 
@@ -159,11 +174,11 @@ def adaptive_fences(measured: DataFrame) -> DataFrame:
             F.count(F.when(usable, 1)).alias("n"),
             *[
                 F.kll_sketch_agg_double(F.when(usable, f[name]), F.lit(SKETCH_SIZE)).alias(name)
-                for name in LEAST_RANGE
+                for name in RULES
             ],
         )
     )
-    merged = [F.kll_merge_agg_double(name).alias(name) for name in LEAST_RANGE]
+    merged = [F.kll_merge_agg_double(name).alias(name) for name in RULES]
     some = groups.where("n > 0")
     of_pair = _fences(some).select(
         F.col("lang").alias("_l"), F.col("source").alias("_s"), F.col("n").alias("_n"), F.col("fences").alias("_f1")
@@ -180,14 +195,8 @@ def adaptive_fences(measured: DataFrame) -> DataFrame:
         .join(of_pair, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
         .join(of_lang, F.col("lang").eqNullSafe(F.col("_m")), "left")
         .join(F.broadcast(of_all), F.lit(True), "left")  # one row at most
-        .select(
-            "lang",
-            "source",
-            F.when(F.col("_n") >= MIN_GROUP, F.col("_f1"))
-            .when(F.col("_n2") >= MIN_GROUP, F.col("_f2"))
-            .otherwise(F.col("_f3"))
-            .alias("fences"),
-        )
+        .withColumn("_f2", _drawn(F.col("_f2"), F.col("_n2"), F.col("_f3")))
+        .select("lang", "source", _drawn(F.col("_f1"), F.col("_n"), F.col("_f2")).alias("fences"))
     )
 
 
@@ -219,7 +228,7 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     )
     failed = base_failed(F.col("features")["n_words"], F.col("features")["n_repeat_words"])
     outside = F.lit(False)
-    for name in LEAST_RANGE:
+    for name in RULES:
         outside = outside | _outside(name)
     return measured.join(
         fences,

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tickloom.llm import packing, sharding, similarity, substrings, warc
+from tickloom.llm import catalogue, packing, sharding, similarity, substrings, warc
 from tickloom.llm.chat import rotate
 from tickloom.llm.components import connected_components
 
@@ -69,25 +70,61 @@ def test_shards_are_exact_and_lose_nothing(spark, rows_per_block):
     assert sorted(r.doc_id for r in rows) == list(range(501))
 
 
-def test_matrix_has_the_sums_it_must_have():
+def test_matrix_has_the_sums_it_must_have(monkeypatch):
     sizes = {p: p * 13 % 50 for p in range(37)}
-    blocks = sharding.split_evenly(sum(sizes.values()), 24)
-    matrix = sharding.CommunicationMatrix(sizes, blocks, 3)
-    rows = {p: np.diff(matrix.group_rows(matrix.group_of(p))[p], prepend=0) for p in sizes}
-    assert all(rows[p].sum() == sizes[p] for p in sizes)
-    assert (sum(rows.values()) == blocks).all()
-    assert sharding.draw_row(np.random.default_rng(1), np.array([3 * 10**9, 5 * 10**9]), 10**9).sum() == 10**9
+    for bundle in (512, 5):
+        monkeypatch.setattr(sharding, "_BUNDLE", bundle)
+        matrix = sharding.CommunicationMatrix(sizes, sharding.split_evenly(sum(sizes.values()), 4), 6, 3)
+        rows = {p: matrix.row(p) for p in sizes}
+        assert all(rows[p].sum() == sizes[p] for p in sizes)
+        assert (sum(rows.values()) == matrix.blocks()).all() and len(matrix.blocks()) == 24
+    rng = np.random.default_rng(1)
+    for left in ([3 * 10**9, 5 * 10**9], [10**9 - 1, 10**9], [10**10, 1, 0]):
+        drawn = sharding.draw_row(rng, np.array(left), 10**9)
+        assert drawn.sum() == 10**9 and (drawn <= left).all() and (drawn >= 0).all()
 
 
 def test_every_permutation_is_about_equally_likely():
     seen = Counter()
     for seed in range(3000):
-        matrix = sharding.CommunicationMatrix({0: 2, 1: 2}, np.array([2, 2]), seed)
-        seen[int(matrix.group_rows(0)[0][0])] += 1
+        seen[int(sharding.CommunicationMatrix({0: 2, 1: 2}, np.array([4]), 2, seed).row(0)[0])] += 1
     # Of two rows, how many go to a block of two out of four: 1/6, 4/6, 1/6.
     assert all(abs(seen[k] / 3000 - p) < 0.04 for k, p in ((0, 1 / 6), (1, 4 / 6), (2, 1 / 6)))
 
 
+@pytest.mark.parametrize("good, bad, rows", [(5, 7, 6), (30, 3, 10), (3, 40, 4), (1, 1, 1), (6, 0, 4), (0, 9, 4)])
+def test_draws_follow_the_exact_law(monkeypatch, good, bad, rows):
+    """The way beyond the generator's limit, at sizes where every probability can be counted."""
+    monkeypatch.setattr(sharding, "_GENERATOR_LIMIT", 0)
+    rng = np.random.default_rng(3)
+    seen = Counter(sharding.draw(rng, good, bad, rows) for _ in range(20_000))
+    ways = math.comb(good + bad, rows)
+    exact = {k: math.comb(good, k) * math.comb(bad, rows - k) / ways for k in range(min(good, rows) + 1) if rows - k <= bad}
+    assert set(seen) <= set(exact)
+    assert all(abs(seen[k] / 20_000 - p) < 5 * math.sqrt(p * (1 - p) / 20_000) + 1e-9 for k, p in exact.items())
+
+
+def test_draws_agree_at_both_sides_of_the_generators_limit():
+    rng = np.random.default_rng(5)
+    for good, bad, rows in ((10**9 - 1, 10**9 - 1, 1000), (10**9, 10**9, 1000), (10**9, 3 * 10**12, 5000)):
+        drawn = np.array([sharding.draw(rng, good, bad, rows) for _ in range(4000)])
+        share = good / (good + bad)
+        spread = math.sqrt(rows * share * (1 - share))
+        assert abs(drawn.mean() - rows * share) < 5 * spread / math.sqrt(4000) + 1e-9
+        assert abs(drawn.std() - spread) < 0.06 * spread + 1e-9
+
+
+def test_sharding_query_reports_sizes_and_digests(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = catalogue.queries()["op2_sharding"](spark, folder).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+    check_shards(rows, 16)
+
+
 def stretches_by_brute_force(texts):
     length = substrings.LENGTH
     data = [(t or "").encode() for t in texts]

@@ -8,10 +8,11 @@ and deals them out by its matrix row; the rows are exchanged once; each block
 permutes again. The result is a uniformly random permutation, every shard has
 its exact size and every slot is known without a global sort.
 
-A shard consists of several blocks, so that a task of the second permutation
-holds a bounded number of rows however large a shard is. The matrix is never
-built as a whole: the driver draws it for groups of partitions, and the rows of
-a group are drawn where they are used, from the group's totals and a seed.
+A shard consists of blocks of ``ROWS_PER_BLOCK`` rows or less, so that a task of the second
+permutation holds a bounded number of rows however large a shard is. The matrix is never
+built: a task draws the row it needs by halving the list of partitions, drawing how many
+rows of each block fall to either half, until one partition is left. Every task draws
+the same for the same half, as its seed is the place of the half.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialise
 
-#: Rows of a block of a shard, unless there would be more than ``MAX_BLOCKS`` blocks.
+#: Rows of a block of a shard at most.
 ROWS_PER_BLOCK = 4096
-MAX_BLOCKS = 4096
+#: Blocks that are drawn together, as the generator's exact draw takes fewer than 10**9 rows of a kind.
+_BUNDLE = 512
+_GENERATOR_LIMIT = 10**9
 
 _PART, _PLACE, _BLOCK, _KEY = "_part", "_place", "_block", "_key"
 
@@ -38,62 +41,78 @@ def split_evenly(total: int, parts: int) -> np.ndarray:
     return np.array([total // parts + (i < total % parts) for i in range(parts)], dtype=np.int64)
 
 
-def _draw(rng: np.random.Generator, good: int, bad: int, rows: int) -> int:
-    """How many of ``rows`` rows drawn without replacement are among the ``good`` ones.
+def draw(rng: np.random.Generator, good: int, bad: int, rows: int) -> int:
+    """How many of ``rows`` rows drawn without replacement are among the ``good`` ones, at any size.
 
-    The generator's exact draw is limited to fewer than 10**9 rows of a kind.
-    Beyond, the draw is normal with the mean and variance of the exact law,
-    which then has a standard deviation of thousands of rows or is a handful.
+    Where the generator's own draw does not reach, the exact law is inverted: probabilities follow from
+    the most likely number by their ratios, over twelve standard deviations to either side, beyond
+    which lies less than a uniform number can tell from nothing.
     """
-    if good < 10**9 and bad < 10**9:
+    if good < _GENERATOR_LIMIT and bad < _GENERATOR_LIMIT:
         return int(rng.hypergeometric(good, bad, rows))
     total = good + bad
-    mean = rows * good / total
-    spread = math.sqrt(mean * (bad / total) * (total - rows) / max(total - 1, 1))
-    return int(min(good, rows, max(0, rows - bad, round(rng.normal(mean, spread)))))
+    least, most = max(0, rows - bad), min(good, rows)
+    mode = min(most, max(least, (rows + 1) * (good + 1) // (total + 2)))
+    spread = math.sqrt(rows / total * good * (bad / total) * ((total - rows) / max(total - 1, 1)))
+    reach = int(12 * spread) + 60
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    # Of neighbours k and k + 1, how much likelier the second is.
+    steps = (
+        np.log(good - k) + np.log(rows - k) - np.log(k + 1) - np.log(float(bad - rows) + k + 1)
+    )
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    shares = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(shares, rng.random() * shares[-1], side="right"))
 
 
 def draw_row(rng: np.random.Generator, left: np.ndarray, rows: int) -> np.ndarray:
     """Of ``rows`` rows drawn without replacement from ``left``, how many fall to each block."""
-    rest = int(left.sum())
     drawn = np.zeros(len(left), dtype=np.int64)
-    for block, good in enumerate(left.tolist()):
+    rest = int(left.sum())
+    for first in range(0, len(left), _BUNDLE):
         if rows == 0:
             break
-        rest -= good
-        drawn[block] = _draw(rng, good, rest, rows)
-        rows -= int(drawn[block])
+        bundle = left[first : first + _BUNDLE]
+        size = int(bundle.sum())
+        rest -= size
+        taken = draw(rng, size, rest, rows)
+        rows -= taken
+        if size < _GENERATOR_LIMIT:
+            drawn[first : first + _BUNDLE] = rng.multivariate_hypergeometric(bundle, taken, method="marginals")
+            continue
+        for i, good in enumerate(bundle.tolist(), first):
+            size -= good
+            drawn[i] = draw(rng, good, size, taken)
+            taken -= int(drawn[i])
     return drawn
 
 
 class CommunicationMatrix:
-    """The matrix for ``sizes`` rows per input partition and ``blocks`` rows per block."""
+    """The matrix for ``sizes`` rows per input partition and ``blocks`` rows per block.
+
+    It keeps one number per partition; a row takes time in proportion to the blocks times the
+    logarithm of the partitions, and the memory of the blocks.
+    """
 
-    def __init__(self, sizes: dict[int, int], blocks: np.ndarray, seed: int):
+    def __init__(self, sizes: dict[int, int], shard_rows: np.ndarray, per_shard: int, seed: int):
         self.parts = sorted(sizes)
-        self.rows = [sizes[p] for p in self.parts]
-        self.seed = seed
-        self.group = max(1, math.isqrt(len(self.parts)))
-        rng = np.random.default_rng([seed, 0])
-        left = blocks.copy()
-        self.totals = []
-        for first in range(0, len(self.parts), self.group):
-            self.totals.append(draw_row(rng, left, sum(self.rows[first : first + self.group])))
-            left -= self.totals[-1]
-
-    def group_rows(self, group: int) -> dict[int, np.ndarray]:
-        """Each partition of a group with its running totals over the blocks."""
-        rng = np.random.default_rng([self.seed, 1, group])
-        left = self.totals[group].copy()
-        found = {}
-        for i in range(group * self.group, min((group + 1) * self.group, len(self.parts))):
-            row = draw_row(rng, left, self.rows[i])
-            left -= row
-            found[self.parts[i]] = np.cumsum(row)
-        return found
-
-    def group_of(self, part: int) -> int:
-        return int(np.searchsorted(self.parts, part)) // self.group
+        self.before = np.concatenate([[0], np.cumsum([sizes[p] for p in self.parts], dtype=np.int64)])
+        self.shard_rows, self.per_shard, self.seed = shard_rows, per_shard, seed
+
+    def blocks(self) -> np.ndarray:
+        return np.concatenate([split_evenly(int(n), self.per_shard) for n in self.shard_rows])
+
+    def row(self, part: int) -> np.ndarray:
+        """How many rows of an input partition go to each block."""
+        at, first, last = int(np.searchsorted(self.parts, part)), 0, len(self.parts)
+        left = self.blocks()
+        while last - first > 1:
+            middle = (first + last) // 2
+            rng = np.random.default_rng([self.seed, first, last])
+            lower = draw_row(rng, left, int(self.before[middle] - self.before[first]))
+            left, first, last = (lower, first, middle) if at < middle else (left - lower, middle, last)
+        return left
 
 
 def shuffle_into_shards(
@@ -107,8 +126,7 @@ def shuffle_into_shards(
 
     The locally permuted input is written once to the shared folder: a lost
     executor cannot change which rows a partition held when it was counted.
-    Memory of the driver and of a task: one number per input partition and
-    (square root of partitions) x blocks numbers, blocks being 4096 at most.
+    The driver and the tasks hold one number per input partition, tasks also one per block.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
@@ -124,21 +142,21 @@ def shuffle_into_shards(
     )
     sizes = {r[_PART]: r["n"] for r in written.groupBy(_PART).agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
-    per_shard = max(1, min(-(-total // (shards * rows_per_block)), MAX_BLOCKS // shards))
-    shard_rows = split_evenly(total, shards)
-    block_rows = np.concatenate([split_evenly(n, per_shard) for n in shard_rows])
-    matrix = docs.sparkSession.sparkContext.broadcast(CommunicationMatrix(sizes, block_rows, seed))
+    per_shard = max(1, -(-total // (shards * rows_per_block)))
+    matrix = docs.sparkSession.sparkContext.broadcast(
+        CommunicationMatrix(sizes, split_evenly(total, shards), per_shard, seed)
+    )
 
     @F.pandas_udf("int")
     def block_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        drawn: dict[int, np.ndarray] = {}
+        last, until = None, None
         for part, place in batches:
             out = np.empty(len(part), dtype=np.int32)
             for p in part.unique():
-                if p not in drawn:
-                    drawn = matrix.value.group_rows(matrix.value.group_of(p))
+                if p != last:
+                    last, until = p, np.cumsum(matrix.value.row(int(p)))
                 mine = (part == p).to_numpy()
-                out[mine] = np.searchsorted(drawn[p], place.to_numpy()[mine], side="right")
+                out[mine] = np.searchsorted(until, place.to_numpy()[mine], side="right")
             yield pd.Series(out)
 
     again = F.xxhash64(F.lit(seed + 1), _PART, _PLACE)

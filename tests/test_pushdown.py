@@ -1,8 +1,16 @@
 """Conditions of catalogue queries that must reach the scan."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickloom.operators.blocks import block_bounds, clip_blocks, pack_points, unpack_points
+from tickloom.operators.select import select_series
 from tickloom.plans import catalogue
+from tickloom.plans.events import event_points
+from tickloom.sources.directory import fetch_series, find_series, write_series
+from tickloom.sources.series import read_blocks, write_blocks
+
+from fixtures import frame, point, same_points
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,3 +30,77 @@ def test_conditions_reach_the_scan(spark, query, pushed):
     plan = catalogue.queries()[query](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PushedFilters") :].split("\n")[0]
     assert all(p in filters for p in pushed), filters
+
+
+def scans(query):
+    """What each file scan of a finished query read: its line in the plan, and its rows."""
+    plan = query._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    return [(n.toString(), n.metrics().apply("numOutputRows").value()) for n in found if n.nodeName().startswith("Scan parquet")]
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Plans as they are before any run, so that their scans can be looked at."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_label_selectors_skip_points_of_other_series(spark, plain_plans, tmp_path):
+    path = str(tmp_path / "series")
+    points = event_points(spark, FOLDER)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    write_series(points, path)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    selector = "~.*{user=7}"
+    found = fetch_series(spark, path, selector)
+    found._jdf.queryExecution().toRdd().count()
+    text, read = next((t, n) for t, n in scans(found) if "v_double" in t)
+    assert "series_id" in text[text.index("PushedFilters") :]
+    assert 0 < read < 0.6 * points.count()
+    same_points(found, select_series(points, selector))
+
+
+@pytest.mark.parametrize("selector", ["click{shard=1}", "~p.*|view{user~1.*,tier=gold}", "~.*{nothing=1}", "click", "~.*"])
+def test_fetch_equals_a_scan(spark, tmp_path, selector):
+    path = str(tmp_path / "series")
+    points = event_points(spark, FOLDER).where(F.col("labels")["user"] < "3")
+    write_series(points, path)
+    same_points(fetch_series(spark, path, selector), select_series(points, selector))
+
+
+def test_attributes_are_found_behind_labels(spark, tmp_path):
+    path = str(tmp_path / "series")
+    rows = [point("a", {"k": "l"}, ts=1, v_long=1, attributes={"k": "a"}), point("b", {}, ts=1, v_long=2, attributes={"k": "a"})]
+    write_series(frame(spark, *rows), path)
+    assert [r["class"] for r in fetch_series(spark, path, "~.*{k=a}").collect()] == ["b"]
+    assert fetch_series(spark, path, "~.*{k=z}").collect() == []
+    assert [r.ts for r in fetch_series(spark, path, "a", first=1, last=1).collect()] == [1]
+    assert fetch_series(spark, path, "a", first=2).collect() == []
+    with pytest.raises(ValueError):
+        find_series(spark, path)
+
+
+def test_bounds_and_clips_use_the_headers(spark, plain_plans, tmp_path):
+    path = str(tmp_path / "blocks")
+    points = frame(spark, *[point("c", {"k": str(t % 3)}, ts=t, v_long=t) for t in range(3000)])
+    write_blocks(pack_points(points, 10), path)
+    bounds = block_bounds(read_blocks(spark, path))
+    plan = bounds._jdf.queryExecution().executedPlan().toString()
+    assert "points" not in plan[plan.index("ReadSchema") :].replace("n_points", "").split("\n")[0]
+    assert {(r.n_points, r.first_tick, r.last_tick) for r in bounds.collect()} == {(1000, k, 2997 + k) for k in range(3)}
+    clipped = clip_blocks(read_blocks(spark, path), 100, 140)
+    plan = clipped._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+    assert "GreaterThanOrEqual(last_tick,100)" in pushed and "LessThanOrEqual(first_tick,140)" in pushed
+    assert sorted(r.ts for r in unpack_points(clipped).collect()) == list(range(100, 141))
+
+
+def test_statistics_tell_the_kinds_of_values(spark, tmp_path):
+    path = str(tmp_path / "blocks")
+    write_blocks(pack_points(frame(spark, point(ts=1, v_long=1), point(ts=2, v_str="x"))), path)
+    row = read_blocks(spark, path).first()
+    assert (row["n_points"], row["first_tick"], row["last_tick"], row["kinds"]) == (2, 1, 2, ["v_long", "v_str"])

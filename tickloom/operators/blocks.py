@@ -21,6 +21,7 @@ from tickloom.model import (
     POINT_FIELDS,
     POINT_TYPE,
     SERIES_KEY,
+    VALUE_FIELDS,
     arity,
     empty_string_map,
     label_text,
@@ -35,6 +36,8 @@ from tickloom.session import materialise
 # Bounds of a block unless the caller asks for others. A block is one row.
 DEFAULT_BLOCK_POINTS = 100_000
 DEFAULT_BLOCK_BYTES = 64_000_000
+# What ``with_statistics`` adds to a header.
+STATISTICS = ["n_points", "first_tick", "last_tick", "kinds"]
 # A point without the text of its value.
 _POINT_BYTES = 80
 
@@ -197,7 +200,7 @@ def unpack_points(blocks: DataFrame) -> DataFrame:
 
     All five fields are columns and absent ones are null.
     """
-    carried = [c for c in blocks.columns if c not in (*HEADER_FIELDS, "count", "points")]
+    carried = [c for c in blocks.columns if c not in (*HEADER_FIELDS, "count", "points", *STATISTICS)]
     return blocks.select(*carried, F.inline("points")).withColumn("arity", arity())
 
 
@@ -231,6 +234,44 @@ def with_bounds(blocks: DataFrame) -> DataFrame:
     return blocks.withColumns({name: c for name, c in missing.items() if name not in blocks.columns})
 
 
+def with_statistics(blocks: DataFrame) -> DataFrame:
+    """Blocks with what their header should say of their points, so that the points need not be read.
+
+    ``n_points``, ``first_tick`` and ``last_tick``, and ``kinds``: the names of the value fields in use.
+    """
+
+    def if_used(name: str) -> Column:
+        return F.when(F.exists("points", lambda p: p[name].isNotNull()), F.lit(name))
+
+    kinds = F.array_compact(F.array(*map(if_used, VALUE_FIELDS)))
+    return with_bounds(blocks).withColumns({"n_points": block_points(), "kinds": kinds})
+
+
+def block_bounds(blocks: DataFrame) -> DataFrame:
+    """Points, first and last tick of every series, from the headers of its blocks.
+
+    Of blocks that ``write_blocks`` has stored, no points are read. Blocks without points count as 0.
+    """
+    known = with_bounds(with_series_key(blocks))
+    n = F.col("n_points") if "n_points" in known.columns else block_points()
+    return known.groupBy(*SERIES_KEY).agg(
+        F.sum(n).alias("n_points"), F.min("first_tick").alias("first_tick"), F.max("last_tick").alias("last_tick")
+    )
+
+
+def clip_blocks(blocks: DataFrame, clip_from: int, clip_to: int) -> DataFrame:
+    """The points from ``clip_from`` to ``clip_to``, in the blocks that have any.
+
+    Blocks outside are left out by their header, which a scan of stored blocks can use to skip
+    them; the points of blocks inside are not looked at.
+    """
+    near = with_bounds(blocks).where((F.col("last_tick") >= clip_from) & (F.col("first_tick") <= clip_to))
+    inside = (F.col("first_tick") >= clip_from) & (F.col("last_tick") <= clip_to)
+    kept = F.filter("points", lambda p: p["ts"].between(clip_from, clip_to))
+    clipped = near.withColumn("points", F.when(inside, F.col("points")).otherwise(kept))
+    return clipped.where(F.size("points") > 0).drop(*STATISTICS)
+
+
 def merge_series(
     blocks: DataFrame,
     max_points: int = DEFAULT_BLOCK_POINTS,
@@ -442,11 +483,7 @@ def chunk_blocks(blocks: DataFrame, clip_from: int, clip_to: int, width: int) ->
         return F.concat(firsts, F.array(F.size(points)))
 
     clipped = (
-        with_series_key(blocks)
-        .withColumn(
-            "points", F.filter("points", lambda p: p["ts"].between(clip_from, clip_to))
-        )
-        .where(F.size("points") > 0)
+        clip_blocks(with_series_key(blocks), clip_from, clip_to)
         .withColumn("points", F.sort_array("points"))
         .withColumn("_starts", starts(F.col("points")))
     )

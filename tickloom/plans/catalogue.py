@@ -56,7 +56,9 @@ from tickloom.operators.aggregates import (
     window_of_all,
 )
 from tickloom.operators.blocks import (
+    block_bounds,
     block_metadata,
+    clip_blocks,
     join_key_value,
     load_blocks,
     merge_series,
@@ -86,6 +88,7 @@ from tickloom.plans.workflows import (
     time_window,
 )
 from tickloom.session import new_shared_path
+from tickloom.sources.directory import fetch_series, find_series, series_directory, write_series
 from tickloom.sources.files import archive_entries, read_whole_files, whole_file_ingest
 from tickloom.sources.keyvalue import (
     BYTES_WRITABLE,
@@ -228,6 +231,65 @@ def stored_series_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.select("id", "ts", "v_double")
 
 
+LABEL_SELECTORS = ["~.*{shard=2,user~1.*}", "click{tier=gold,shard=3}"]
+
+
+@query(
+    P
+    + """
+    select selector, ts, v_double from p
+    where (shard = 2 and starts_with(user_id::varchar, '1')) or (class = 'click' and tier = 'gold' and shard = 3)
+    """
+)
+def series_fetch(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "directory")
+    write_series(event_points(spark, folder), path)
+    points = fetch_series(spark, path, *LABEL_SELECTORS)
+    return points.select(selector_text().alias("selector"), "ts", "v_double")
+
+
+@query(
+    P
+    + """
+    select selector, count(*) as n_points, min(ts) as first_tick, max(ts) as last_tick from p
+    where (shard = 2 and starts_with(user_id::varchar, '1')) or (class = 'click' and tier = 'gold' and shard = 3)
+    group by selector
+    """
+)
+def series_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "directory")
+    write_series(event_points(spark, folder), path)
+    found = find_series(spark, path, *LABEL_SELECTORS)
+    series = series_directory(spark, path).join(found, "series_id", "left_semi")
+    return series.select(selector_text().alias("selector"), "n_points", "first_tick", "last_tick")
+
+
+@query(
+    P
+    + """
+    select selector, count(*) as n_points, min(ts) as first_tick, max(ts) as last_tick from p group by selector
+    """
+)
+def stored_block_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "blocks")
+    write_blocks(pack_points(event_points(spark, folder), max_points=20), path)
+    bounds = with_selector(block_bounds(read_blocks(spark, path)))
+    return bounds.select("selector", "n_points", "first_tick", "last_tick")
+
+
+@query(
+    P
+    + f"""
+    select selector, ts, v_double from p where ts between {CLIP_FROM} and {CLIP_TO}
+    """
+)
+def stored_block_clip(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "blocks")
+    write_blocks(pack_points(event_points(spark, folder), max_points=20), path)
+    points = unpack_points(clip_blocks(read_blocks(spark, path), CLIP_FROM, CLIP_TO))
+    return with_selector(points).select("selector", "ts", "v_double")
+
+
 @query(
     P
     + f"""

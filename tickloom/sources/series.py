@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tickloom.functions.selectors import selector_condition
 from tickloom.functions.timeunits import floor_div
 from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, with_selector
-from tickloom.operators.blocks import pack_points
+from tickloom.operators.blocks import pack_points, with_statistics
 from tickloom.operators.parse import good_points, parse_lines, strict_points
 
 
@@ -40,7 +40,8 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_blocks(blocks: DataFrame, path: str) -> None:
-    blocks.write.parquet(path)
+    """Write blocks with statistics of their points, in an order that lets readers skip row groups."""
+    with_statistics(blocks).sortWithinPartitions("class", "first_tick").write.parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from tickloom.llm import privacy, secrets
 from tickloom.llm.alignment import align_tokens
 from tickloom.llm.chat import rotate
@@ -32,6 +31,7 @@ from tickloom.llm.warc import archive_and_read
 from tickloom.llm.whitening import whiten
 
 
+WORD_BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -166,7 +166,7 @@ FROM judged
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(read_table(spark, folder, "documents"), corpus_pipeline.TOKENIZER_FILE)
+    return pack(read_table(spark, folder, "documents"), WORD_BPE_FILE)
 
 
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
@@ -307,7 +307,6 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_secret_scans": (op7_secret_scans, None),
     "op8_chat_formatting": (op8_chat_formatting, OP8_SQL),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, OP9_SQL),
-    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL),
     "op11_quality_classifier": (op11_quality_classifier, None),
     "op12_cross_tokenizer_alignment": (op12_cross_tokenizer_alignment, None),

@@ -27,7 +27,9 @@ def test_parts_are_added_where_they_can_be_imported():
 
 def test_a_missing_library_costs_only_the_optional_parts(monkeypatch):
     queries, sql = names_without(monkeypatch, "zstandard")
-    assert queries == set(catalogue.queries()) and sql == set(catalogue.oracle_sql())
+    # The pipeline needs less than all operators together.
+    assert queries - {"pipeline"} == set(catalogue.queries())
+    assert sql - {"pipeline"} == set(catalogue.oracle_sql())
 
 
 def test_the_library_stands_without_the_optional_parts(monkeypatch):

@@ -241,11 +241,37 @@ def test_dialogues_from_every_side(spark):
     assert rotate(frame_.where("false")).collect() == []
 
 
-def test_long_dialogues_come_in_parts(spark):
-    turns = spark.range(200).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("r"), F.col("id") % 2).alias("role"), F.col("id").cast("string").alias("text"))
-    rows = rotate(turns).where("perspective = 'r1'").orderBy("run", "part").collect()
-    assert [r.n_turns for r in rows] == [64, 64, 64, 8]
-    assert re.findall(r"\n(\d+)<", "".join(r.text for r in rows)) == [str(i) for i in range(200)]
+@pytest.mark.parametrize("step", [1, 1_700_000_000_000])
+@pytest.mark.parametrize("turns_per_part", [64, 200, 199])
+def test_long_dialogues_come_in_parts_by_bytes(spark, step, turns_per_part):
+    """Numbers of turns may be far apart; what counts is the bytes before a turn."""
+    words = [("system", "be kind"), ("system", "be brief"), *[(f"r{i % 2}", f"{i:04}") for i in range(2, 199)], ("late", "0199")]
+    rows = [(1, i * step, role, text) for i, (role, text) in enumerate(words)]
+    frame_ = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    size = lambda role, text: len(role) + len(text) + 64
+    before = np.cumsum([0] + [size(*w) for w in words])
+    sizes = list(Counter(b // before[turns_per_part] for b in before[:-1].tolist()).values())
+    parts = rotate(frame_, int(before[turns_per_part])).where("perspective = 'r1'").orderBy("part").collect()
+    assert [r.n_turns for r in parts] == [n for n in sizes if n > 1] and len(sizes) in (1, 2, 4)
+    assert re.findall(r"\n(\d{4})<", "".join(r.text for r in parts)) == [f"{i:04}" for i in range(2, 200)][: sum(r.n_turns for r in parts) - 2]
+    for r in parts:
+        assert r.text.startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>system\nbe brief<|im_end|>\n")
+        said = [r.text[int(a) : int(b)] for a, b in (m.split(":") for m in r["mask"].split(","))]
+        assert all(re.fullmatch(r"\d{4}<\|im_end\|>", t) for t in said) and r.n_masked == sum(map(len, said))
+    # Who is silent in a part has no row there.
+    late = rotate(frame_, int(before[turns_per_part])).where("perspective = 'late'").collect()
+    assert [r.part for r in late] == [len(sizes) - 1]
+
+
+def test_turns_of_any_length_and_awkward_rows(spark):
+    schema = "conv_id long, turn long, role string, text string, part string, said string, sides string, of string"
+    rows = [(1, 0, "a", "x" * 700_000), (1, 1, "b", "y"), (1, None, "a", "z"), (None, None, None, None), (None, None, None, None)]
+    rows += [(2, -(2**62), "a", "early"), (2, 2**62, "b", "late")]
+    got = rotate(spark.createDataFrame([(*r, "c", "c", "c", "c") for r in rows], schema)).collect()
+    by = {(r.conv_id, r.perspective, r.part): r for r in got}
+    assert set(by) == {(1, "a", 0), (1, "b", 1), (None, "unknown", 0), (2, "a", 0), (2, "b", 0)}
+    assert by[1, "a", 0].n_turns == 2 and len(by[1, "a", 0].text) > 700_000
+    assert by[None, "unknown", 0].n_turns == 2 and by[2, "a", 0].text.index("early") < by[2, "a", 0].text.index("late")
 
 
 def links_by_brute_force(docs):

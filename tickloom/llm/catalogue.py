@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import privacy, secrets
 from tickloom.llm.alignment import align_tokens
-from tickloom.llm.chat import rotate
+from tickloom.llm.chat import PART_BYTES, TURN_BYTES, rotate
 from tickloom.llm.classifier import classify
 from tickloom.llm.common import read_table
 from tickloom.llm.decontamination import find_benchmark
@@ -178,27 +178,38 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return rotate(read_table(spark, folder, "conversations"))
 
 
-OP8_SQL = """
+OP8_SQL = f"""
 WITH said AS (
-  SELECT conv_id, turn // 4096 AS run, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
-  FROM conversations
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, run ORDER BY turn NULLS FIRST, role, text) AS n FROM said
+  SELECT *, row_number() OVER w AS n,
+    coalesce(sum(strlen(role) + strlen(text) + {TURN_BYTES}) OVER (
+      w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // {PART_BYTES} AS part
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), others AS (
+  SELECT conv_id, min(n) FILTER (role <> 'system') AS n FROM placed GROUP BY conv_id
+), shown AS (
+  SELECT conv_id, part, n, role, text, true AS own FROM placed
+  UNION ALL
+  SELECT p.conv_id, q.part, p.n, p.role, p.text, false
+  FROM placed p JOIN others o ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+    JOIN (SELECT DISTINCT conv_id, part FROM placed WHERE part > 0) q ON p.conv_id IS NOT DISTINCT FROM q.conv_id
+  WHERE p.part = 0 AND (o.n IS NULL OR p.n < o.n)
 ), sides AS (
-  SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
+  SELECT DISTINCT conv_id, part, role AS perspective FROM placed WHERE role <> 'system'
 ), messages AS (
-  SELECT p.conv_id, perspective, run, (n - 1) // 64 AS part, n, role = perspective AS mine,
+  SELECT p.conv_id, perspective, p.part, n, own, role = perspective AS mine,
     '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN role
       ELSE 'user name=' || replace(role, '<|', '< |') END || chr(10) AS head,
     replace(text, '<|', '< |') || '<|im_end|>' AS body
-  FROM placed p JOIN sides s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
+  FROM shown p JOIN sides s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.part = s.part
 ), offsets AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-    PARTITION BY conv_id, perspective, run, part ORDER BY n
+    PARTITION BY conv_id, perspective, part ORDER BY n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS first
   FROM messages
 )
-SELECT conv_id, perspective, run, part, count(*) AS n_turns,
+SELECT conv_id, perspective, part, count(*) FILTER (own) AS n_turns,
   string_agg(head || body || chr(10), '' ORDER BY n) AS text,
   coalesce(string_agg(first || ':' || (first + length(body)), ',' ORDER BY n) FILTER (mine), '') AS mask,
   coalesce(sum(length(body)) FILTER (mine), 0)::BIGINT AS n_masked

@@ -189,6 +189,59 @@ def test_a_term_far_from_the_entity_is_removed(spark):
     assert {"Ann", "Leeward"} <= found[1] and found[2] == set()
 
 
+def invented(rng, n):
+    """Prose of invented words, of which many are met once, as in the given tables."""
+    parts = "an er th in on at en re ti es or te of ed is it al ar st to".split()
+    return " ".join("".join(rng.choice(parts) for _ in range(min(6, int(rng.expovariate(0.5)) + 1))) for _ in range(n))
+
+
+def test_names_beside_addresses_go_and_other_words_stay(spark):
+    rng = random.Random(11)
+    letters = "bcdfghjklmnpqrstvwxz"
+    name = lambda: "".join(rng.choice(letters) for _ in range(9)).capitalize()
+    names, rows = {}, []
+    for i in range(120):
+        first, last = name(), name()
+        names[i] = {first, last}
+        address = f"u{i}@mail{i}.example"
+        if i % 4 == 0:
+            address = f"+44 20 7946 {i:04}"
+        rows.append((i, f"{invented(rng, 150)} {first} {last} {address} {invented(rng, 150)}", "en", "s", 0))
+    rows += [(1000 + i, invented(rng, 300), "en", "s", 0) for i in range(600)]
+    found = privacy.find_personal_data(frame(spark, rows), ["doc_id", "text"]).where("size(base) > 0").collect()
+    assert len(found) == 120
+    caught = words = gone = 0
+    for r in found:
+        text = r["row"]["text"]
+        hidden = [text[s.start : s.end] for s in r["spans"] if s.kind in ("term", "general")]
+        caught += len(names[r["row"]["doc_id"]] & set(hidden))
+        words += len(re.findall(r"[^\W\d_]{2,}", text))
+        gone += sum(w not in names[r["row"]["doc_id"]] for w in hidden)
+    assert caught >= 0.9 * 240
+    assert gone <= 0.02 * words
+
+
+def test_a_list_of_addresses_is_judged_by_its_neighbours_only(spark):
+    """Each number of a list also stands elsewhere, so each is a group of its own."""
+    many = 300
+    lines = [f"person{chr(97 + i % 26)}{chr(97 + i // 26)} u{i}@list.example" for i in range(many)]
+    texts = ["\n".join(lines)] + [f"{prose(i, 30)} u{i}@list.example" for i in range(many)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(9000 + i, prose(i, 60), "en", "s", 0) for i in range(3000)]
+    found = {r["row"]["doc_id"]: r for r in privacy.find_personal_data(frame(spark, rows)).collect()}
+    assert sum(s.kind == "email" for s in found[0]["base"]) == many
+    hidden = {found[0]["row"]["text"][s.start : s.end] for s in found[0]["spans"] if s.kind in ("term", "general")}
+    assert sum(f"person{chr(97 + i % 26)}{chr(97 + i // 26)}" in hidden for i in range(many)) >= 0.9 * many
+
+
+def test_weaker_terms_are_generalised(spark):
+    twice = f"{prose(1, 20)} Quillon {prose(2, 20)} boss@corp.example {prose(3, 20)} Quillon"
+    rows = [(0, twice, "en", "s", 0), *[(10 + i, prose(i, 60), "en", "s", 0) for i in range(200)]]
+    found = privacy.find_personal_data(frame(spark, rows)).where("size(base) > 0").first()
+    assert {found["row"]["text"][s.start : s.end]: s.kind for s in found["spans"] if s.kind != "email"} == {"Quillon": "general"}
+    clean = privacy.sanitise(frame(spark, rows)).where("doc_id = 0").first()["text"]
+    assert "Quillon" not in clean and clean.count("[general]") == 2
+
+
 def secrets_by_regex(text):
     head = r"(password|passwd|secret|token|api_?key)"
     found = []

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.blocks import block_bounds, clip_blocks, pack_points, unpack_points
+from tickloom.operators.aggregates import series_count
+from tickloom.operators.joins import group_assignment, partition_join
 from tickloom.operators.select import select_series
 from tickloom.plans import catalogue
 from tickloom.plans.events import event_points
 from tickloom.sources.directory import fetch_series, find_series, write_series
-from tickloom.sources.series import read_blocks, write_blocks
+from tickloom.sources.series import read_blocks, save_points_by_series, write_blocks
 
 from fixtures import frame, point, same_points
 
@@ -104,3 +106,29 @@ def test_statistics_tell_the_kinds_of_values(spark, tmp_path):
     write_blocks(pack_points(frame(spark, point(ts=1, v_long=1), point(ts=2, v_str="x"))), path)
     row = read_blocks(spark, path).first()
     assert (row["n_points"], row["first_tick"], row["last_tick"], row["kinds"]) == (2, 1, 2, ["v_long", "v_str"])
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_points_are_joined_where_they_lie(spark, plain_plans, no_broadcast, tmp_path):
+    points = event_points(spark, FOLDER)
+    save_points_by_series(points, "points_by_series", str(tmp_path / "points"), 8)
+    try:
+        stored = spark.table("points_by_series")
+        joined = partition_join(stored, group_assignment(points, ["shard"]))
+        tree = joined._jdf.queryExecution().executedPlan().toString()
+        # The side of the points: from the join down to the scan of the bucketed table.
+        left = tree[tree.index("SortMergeJoin") : tree.index("Bucketed: true")]
+        assert "Exchange" not in left
+        assert joined.count() == points.count()
+        counts = series_count(stored)
+        assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+        same_points(stored, points)
+    finally:
+        spark.sql("drop table points_by_series")

@@ -1,6 +1,7 @@
 """Sources, sinks and streams."""
 
 import zipfile
+from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from tickloom.operators.select import select_series
 from tickloom.session import materialise, new_shared_path, shared_dir
 from tickloom.sources.files import (
     archive_entries,
+    archive_index,
     ingest_totals,
+    read_archive_entries,
     read_whole_files,
     whole_file_ingest,
 )
@@ -190,6 +193,42 @@ def test_archives(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("split_bytes", [1, 300, 1 << 30])
+def test_archives_are_read_by_ranges(spark, tmp_path, split_bytes):
+    expected = {}
+    for name in ("a b+c~.zip", "plain.zip"):
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            archive.writestr("dir/", "")
+            for i in range(40):
+                info = zipfile.ZipInfo(f"dir/é{i}")
+                info.extra = b"\x99\x99\x02\x00xy" if i % 3 else b""
+                info.compress_type = zipfile.ZIP_DEFLATED if i % 2 else zipfile.ZIP_STORED
+                content = (name * i * i).encode()
+                archive.writestr(info, content)
+                expected[quote(name, safe="*-._").replace("~", "%7E") + f" dir/é{i}"] = content
+    with zipfile.ZipFile(tmp_path / "none.zip", "w"):
+        pass
+    assert archive_index(spark, str(tmp_path)).count() == 80
+    rows = read_archive_entries(spark, str(tmp_path), split_bytes)
+    assert {r["key"]: bytes(r["value"]) for r in rows.collect()} == expected
+    tasks = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == 1 if split_bytes > 300 else tasks > 1
+
+
+def test_damaged_and_odd_archives_fail(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("x", "hello hello")
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    data[data.index(b"hello")] ^= 1
+    (tmp_path / "a.zip").write_bytes(data)
+    with pytest.raises(Exception, match="damaged"):
+        read_archive_entries(spark, str(tmp_path)).collect()
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_BZIP2) as archive:
+        archive.writestr("x", "hello")
+    with pytest.raises(Exception, match="method 12"):
+        read_archive_entries(spark, str(tmp_path)).collect()
+
+
 def test_materialised_tables_are_in_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_path(spark, "x").startswith(shared_dir(spark))

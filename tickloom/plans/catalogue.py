@@ -89,7 +89,7 @@ from tickloom.plans.workflows import (
 )
 from tickloom.session import new_shared_path
 from tickloom.sources.directory import fetch_series, find_series, series_directory, write_series
-from tickloom.sources.files import archive_entries, read_whole_files, whole_file_ingest
+from tickloom.sources.files import read_archive_entries, whole_file_ingest
 from tickloom.sources.keyvalue import (
     BYTES_WRITABLE,
     SEQUENCE_INPUT,
@@ -109,6 +109,7 @@ from tickloom.sources.series import (
     normalized_sink,
     read_blocks,
     read_points,
+    save_points_by_series,
     series_scan,
     write_blocks,
     write_points,
@@ -482,7 +483,7 @@ def archive_entry_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = new_shared_path(spark, "archives")
     write_files(archives, path)
-    records = in_sequence_file(spark, archive_entries(read_whole_files(spark, path)))
+    records = in_sequence_file(spark, read_archive_entries(spark, path, split_bytes=1 << 16))
     return records.select(
         F.decode("key", "UTF-8").alias("key"),
         F.octet_length("value").cast("bigint").alias("n_bytes"),
@@ -1094,6 +1095,18 @@ def partition_join_points(spark: SparkSession, folder: str) -> DataFrame:
     return with_selector(joined).select("event_id", "selector", "group_id")
 
 
+@query(P + f"select selector, ts, v_double, {SHARD_ID} as group_id from p")
+def partition_join_stored(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "points")
+    table = f"points_{path[-32:]}"
+    save_points_by_series(event_points(spark, folder), table, path, buckets=16)
+    points = spark.table(table)
+    light = load_blocks(pack_points(event_points(spark, folder)), "light")
+    series = light.select(F.col("className").alias("class"), "labels")
+    joined = partition_join(points, group_assignment(series, ["shard"]))
+    return joined.select(selector_text().alias("selector"), "ts", "v_double", "group_id")
+
+
 # ------------------------------------------------ order, chunks and sinks
 
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordering import with_rank
 from tickloom.session import materialise
 
 # Archive entries handed to Spark at once.
@@ -81,6 +85,143 @@ def ingest_totals(records: DataFrame) -> DataFrame:
     )
 
 
+#: Packed bytes of entries that one task reads, but for one larger entry.
+SPLIT_BYTES = 128 * 1024 * 1024
+# What stands before the bytes of an entry, apart from its name and extra field.
+_LOCAL_HEADER = 30
+_STORED, _DEFLATED = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED
+
+
+def archive_index(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A row per entry of zip archives: ``path``, ``name``, ``offset``, ``packed``, ``size``, ``method``, ``crc``.
+
+    Only the central directory of an archive is read, by ranges at its end; directories are
+    skipped. The archives must be in a store that ``pyarrow.fs`` opens.
+    """
+    archives = spark.read.format("binaryFile").load(path).select("path")
+    schema = "path string, name string, offset long, packed long, size long, method int, crc long"
+    fields = [f.split()[0] for f in schema.split(", ")]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in batch.column("path").to_pylist():
+                with _opened(place) as file, zipfile.ZipFile(_Ranges(file)) as archive:
+                    entries = [e for e in archive.infolist() if not e.is_dir()]
+                if any(e.flag_bits & 1 for e in entries):
+                    raise ValueError(f"encrypted entries in {place}")
+                rows = [
+                    (place, e.filename, e.header_offset, e.compress_size, e.file_size, e.compress_type, e.CRC)
+                    for e in entries
+                ]
+                for first in range(0, len(rows), _BATCH_ROWS):
+                    columns = [pa.array(c) for c in zip(*rows[first : first + _BATCH_ROWS])]
+                    columns[fields.index("method")] = columns[fields.index("method")].cast(pa.int32())
+                    yield pa.RecordBatch.from_arrays(columns, names=fields)
+
+    # A task per archive at most: what is slow is opening them, not their paths.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return archives.repartition(n, "path").mapInArrow(read, schema)
+
+
+def read_archive_entries(spark: SparkSession, path: str | list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """``(key, value)`` of every entry of zip archives of any size; keys are those of ``archive_entries``.
+
+    The index is dealt out by packed bytes, so a large archive is read by many tasks, each by
+    ranges of its own; no archive is held whole. Entries are stored or deflated, and their
+    checksums are checked. A single entry is a single value and must fit a task.
+    """
+    index = archive_index(spark, path).withColumn("_all", F.lit(0))
+    order = [F.col("path"), F.col("offset")]
+    dealt = with_rank(index, ["_all"], order, "_place", F.col("packed") + _LOCAL_HEADER, "_before")
+    part = F.floor(F.col("_before") / split_bytes)
+    tasks = dealt.withColumn("part", part).drop("_all", "_place", "_before")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        tasks.repartition(n, "part").sortWithinPartitions("path", "offset").mapInArrow(_read_entries, "key string, value binary")
+    )
+
+
+def _read_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    opened, file = None, None
+    keys: list[str] = []
+    values: list[bytes] = []
+    held = 0
+    for batch in batches:
+        for entry in batch.to_pylist():
+            if entry["path"] != opened:
+                if file is not None:
+                    file.close()
+                opened, file = entry["path"], _opened(entry["path"])
+            keys.append(f"{_archive_name(opened)} {entry['name']}")
+            values.append(_entry(file, entry))
+            held += len(values[-1])
+            if held >= _BATCH_BYTES or len(keys) >= _BATCH_ROWS:
+                yield _records(keys, values)
+                keys, values, held = [], [], 0
+    if file is not None:
+        file.close()
+    if keys:
+        yield _records(keys, values)
+
+
+def _opened(path: str) -> pa.NativeFile:
+    """A file by the path that Spark gives it, which is not percent-encoded."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    return system.open_input_file(inner)
+
+
+class _Ranges(io.RawIOBase):
+    """A file read by ranges, which fails as files do where it is asked for a place before its start."""
+
+    def __init__(self, file: pa.NativeFile):
+        self.file, self.size, self.place = file, file.size(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        place = offset + {io.SEEK_SET: 0, io.SEEK_CUR: self.place, io.SEEK_END: self.size}[whence]
+        if place < 0:
+            raise OSError("before the start of the file")
+        self.place = place
+        return place
+
+    def readinto(self, buffer) -> int:
+        data = self.file.read_at(min(len(buffer), max(0, self.size - self.place)), self.place)
+        buffer[: len(data)] = data
+        self.place += len(data)
+        return len(data)
+
+
+def _records(keys: list[str], values: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values, pa.binary())], names=["key", "value"])
+
+
+def _entry(file: pa.NativeFile, entry: dict) -> bytes:
+    header = file.read_at(_LOCAL_HEADER, entry["offset"])
+    # Lengths of the name and of the extra field, as the local header has them.
+    skipped = sum(int.from_bytes(header[i : i + 2], "little") for i in (26, 28))
+    packed = file.read_at(entry["packed"], entry["offset"] + _LOCAL_HEADER + skipped)
+    if entry["method"] == _STORED:
+        value = packed
+    elif entry["method"] == _DEFLATED:
+        value = zlib.decompress(packed, -zlib.MAX_WBITS)
+    else:
+        raise ValueError(f"entry {entry['name']} is packed by method {entry['method']}")
+    if len(value) != entry["size"] or zlib.crc32(value) != entry["crc"]:
+        raise ValueError(f"entry {entry['name']} of {entry['path']} is damaged")
+    return value
+
+
+def _archive_name(path: str) -> str:
+    return quote(path.rsplit("/", 1)[-1], safe="*-._").replace("~", "%7E")
+
+
 def archive_entries(archives: DataFrame) -> DataFrame:
     """``(key, value)`` of every entry of zip archives, directories skipped.
 
@@ -94,7 +235,7 @@ def archive_entries(archives: DataFrame) -> DataFrame:
         held = 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                name = quote(path.rsplit("/", 1)[-1], safe="*-._").replace("~", "%7E")
+                name = _archive_name(path)
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for entry in archive.infolist():
                         if entry.is_dir():

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.selectors import selector_condition
 from tickloom.functions.timeunits import floor_div
-from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, with_selector
+from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, SERIES_KEY, with_selector, with_series_key
 from tickloom.operators.blocks import pack_points, with_statistics
 from tickloom.operators.parse import good_points, parse_lines, strict_points
 
@@ -39,6 +39,26 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_points_by_series(points: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Save points as a table whose files hold whole series, dealt into ``buckets`` by series key.
+
+    Joins and groupings by series (``partition_join``, ``series_count``) then use the points where they lie,
+    and only what is joined to them moves. The table ``table`` is in the session's catalogue, its files are
+    under ``path``. A series is one bucket, so points of a table with very large series are better written
+    by ``write_points``, and joined there by a shuffle that adaptive execution splits.
+    """
+    keyed = with_series_key(points)
+    columns = [name for name in keyed.columns if name in (*POINTS_SCHEMA.fieldNames(), "label_key")]
+    (
+        keyed.select(*columns)
+        .repartition(buckets, *SERIES_KEY)
+        .write.bucketBy(buckets, *SERIES_KEY)
+        .sortBy(*SERIES_KEY)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def write_blocks(blocks: DataFrame, path: str) -> None:
     """Write blocks with statistics of their points, in an order that lets readers skip row groups."""
     with_statistics(blocks).sortWithinPartitions("class", "first_tick").write.parquet(path)

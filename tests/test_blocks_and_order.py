@@ -36,6 +36,7 @@ from tickloom.operators.joins import (
     partition_join,
 )
 from tickloom.operators.ordering import with_rank
+from tickloom.operators.segments import SegmentFunction, apply_to_segments
 from tickloom.operators import blocks as block_module
 from tickloom.sources.series import read_blocks, write_blocks
 
@@ -406,3 +407,42 @@ def test_ordering_refuses_a_session_that_reuses_no_exchange(spark, skewed):
             pack_points(skewed)
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def sessions_by_hand(points, gap):
+    found = {}
+    for p in sorted(points.collect(), key=lambda p: p["ts"]):
+        runs = found.setdefault((p["class"], p["label_key"]), [])
+        if runs and p["ts"] - runs[-1][-1] <= gap:
+            runs[-1].append(p["ts"])
+        else:
+            runs.append([p["ts"]])
+    return {(*key, n): ticks for key, runs in found.items() for n, ticks in enumerate(runs, 1)}
+
+
+@pytest.mark.parametrize("batch_rows", ["10000", "3"])
+def test_segments_give_the_same_for_any_partitions(spark, skewed, partitions, batch_rows):
+    def step(state, frame):
+        rows, state = [], list(state)
+        for tick in frame["ts"]:
+            if state[1] is None or tick - state[1] > 20:
+                state[2] += 1
+            state[0], state[1] = tick if state[0] is None else state[0], tick
+            rows.append(state[2])
+        return tuple(state), frame[["class", "label_key", "ts"]].assign(session=rows)
+
+    def merge(a, b):
+        return a[0], b[1], a[2] + b[2] - (b[0] - a[1] <= 20)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        points = with_series_key(skewed)
+        function = SegmentFunction(lambda: (None, None, 0), step, merge)
+        rows = apply_to_segments(points, function, "class string, label_key string, ts long, session long").collect()
+        got = {}
+        for r in rows:
+            got.setdefault((r["class"], r["label_key"], r["session"]), []).append(r["ts"])
+        assert {k: sorted(v) for k, v in got.items()} == sessions_by_hand(points, 20)
+        assert apply_to_segments(points.where("false"), function, "class string, session long").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -29,7 +29,22 @@ _EDGES = ["_part", "_first", "_last", "_rows", "_sum"]
 def ordered_rows(
     rows: DataFrame, keys: list[str], order: list[Column], weight: Column | None = None
 ) -> DataFrame:
-    """``rows`` in partitions that follow each other by ``keys`` and ``order``, sorted, with ``ORDERED_NAMES``.
+    """``rows`` in partitions that follow each other by ``keys`` and ``order``, sorted, with ``ORDERED_NAMES``."""
+    ordered = sorted_partitions(rows, keys, order, weight)
+    edges = ordered.mapInArrow(_edges, "_part int, _first long, _last long, _rows long, _sum long")
+    return with_neighbours(ordered, _carried(edges)).select(*rows.columns, *ORDERED_NAMES)
+
+
+def with_neighbours(ordered: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``sorted_partitions`` with what ``known`` says of their ``_part``, in a row per partition."""
+    placed = ordered.withColumn("_of", F.spark_partition_id())
+    return placed.join(F.broadcast(known), F.col("_of") == F.col("_part"))
+
+
+def sorted_partitions(
+    rows: DataFrame, keys: list[str], order: list[Column], weight: Column | None = None
+) -> DataFrame:
+    """``rows`` with ``_group`` and ``_weight``, sorted, in partitions that follow each other.
 
     All readers of the exchange must see the same partitions. Spark's reuse of
     exchanges gives that: a session that has switched it off is refused, and readers check
@@ -48,12 +63,7 @@ def ordered_rows(
     # Behind a generator no column is known to be constant, so none is left out by some readers
     # and carried by others, which would make their exchanges differ.
     opaque = weighed.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in weighed.columns]))))
-    ordered = opaque.repartitionByRange(n, *by).sortWithinPartitions(*by)
-    edges = ordered.mapInArrow(_edges, "_part int, _first long, _last long, _rows long, _sum long")
-    placed = ordered.withColumn("_of", F.spark_partition_id())
-    # The smaller side has one row per partition.
-    joined = placed.join(F.broadcast(_carried(edges)), F.col("_of") == F.col("_part"))
-    return joined.select(*rows.columns, *ORDERED_NAMES)
+    return opaque.repartitionByRange(n, *by).sortWithinPartitions(*by)
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +114,7 @@ def _carried(edges: DataFrame) -> DataFrame:
     )
 
 
-_NOT_REUSED = "readers of one exchange saw different partitions; spark.sql.exchange.reuse must be on"
+NOT_REUSED = "readers of one exchange saw different partitions; spark.sql.exchange.reuse must be on"
 
 
 class Numbers:
@@ -123,7 +133,7 @@ class Numbers:
             # The first group goes on where the partitions before it end.
             self.last = batch.column("_first")[0].as_py()
             if self.last != group[0]:
-                raise RuntimeError(_NOT_REUSED)
+                raise RuntimeError(NOT_REUSED)
             self.expected = (batch.column("_last")[0].as_py(), batch.column("_out_rows")[0].as_py())
             self.rows, self.total = batch.column("_in_rows")[0].as_py(), batch.column("_in_sum")[0].as_py()
         new = np.concatenate([[group[0] != self.last], group[1:] != group[:-1]])
@@ -138,7 +148,7 @@ class Numbers:
     def end(self) -> None:
         """To be called after the last batch."""
         if self.expected not in (None, (self.last, self.rows)):
-            raise RuntimeError(_NOT_REUSED)
+            raise RuntimeError(NOT_REUSED)
 
 
 def numbered_rows(ordered: DataFrame) -> DataFrame:

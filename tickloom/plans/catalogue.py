@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,6 +80,7 @@ from tickloom.operators.joins import (
 from tickloom.operators.parse import parse_lines, parse_stream, strict_points
 from tickloom.operators.ordering import with_rank
 from tickloom.operators.rows import apply_exprs, apply_per_series, generate_rows, map_rows
+from tickloom.operators.segments import SegmentFunction, apply_to_segments
 from tickloom.operators.select import filter_by_metadata, select_series
 from tickloom.plans.events import event_points, read_table
 from tickloom.plans.workflows import (
@@ -1404,6 +1406,45 @@ def apply_per_series_query(spark: SparkSession, folder: str) -> DataFrame:
     return apply_per_series(points, sessions, schema)
 
 
+def _session_step(state: tuple, frame: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+    """State: first and last tick, and sessions so far; a session goes on over gaps of an hour at most."""
+    first, last, n = state
+    ts = frame["ts"].to_numpy()
+    before = ts[:1] if last is None else [last]
+    new = np.diff(ts, prepend=before) > 3_600_000_000
+    if last is None:
+        new[0] = True
+    number = n + np.cumsum(new)
+    rows = frame[[*SERIES_KEY, "ts"]].assign(session=number)
+    return (ts[0] if first is None else first, ts[-1], int(number[-1])), rows
+
+
+def _sessions_merged(a: tuple, b: tuple) -> tuple:
+    if a[0] is None or b[0] is None:
+        return a if b[0] is None else b
+    return a[0], b[1], a[2] + b[2] - (b[0] - a[1] <= 3_600_000_000)
+
+
+@query(
+    P
+    + """
+    , g as (select class, lk, ts, coalesce(ts - lag(ts) over w > 3600000000, true)::int as is_new
+            from p window w as (partition by class, lk order by ts)),
+    s as (select *, sum(is_new) over (partition by class, lk order by ts) as session from g)
+    select class, lk as label_key, session::bigint as session, count(*) as n_points,
+           min(ts) as first_tick, max(ts) as last_tick
+    from s group by class, lk, session
+    """
+)
+def sessions_by_segments(spark: SparkSession, folder: str) -> DataFrame:
+    points = event_points(spark, folder).select(*SERIES_KEY, "ts")
+    function = SegmentFunction(lambda: (None, None, 0), _session_step, _sessions_merged)
+    numbered = apply_to_segments(points, function, "class string, label_key string, ts bigint, session bigint")
+    return numbered.groupBy(*SERIES_KEY, "session").agg(
+        F.count(F.lit(1)).alias("n_points"), F.min("ts").alias("first_tick"), F.max("ts").alias("last_tick")
+    )
+
+
 @query(
     P
     + f"""

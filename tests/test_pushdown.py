@@ -1,16 +1,25 @@
 """Conditions of catalogue queries that must reach the scan."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.blocks import block_bounds, clip_blocks, pack_points, unpack_points
+from tickloom.functions.geo import cell, cover
 from tickloom.operators.aggregates import series_count
 from tickloom.operators.joins import group_assignment, partition_join
 from tickloom.operators.select import select_series
 from tickloom.plans import catalogue
 from tickloom.plans.events import event_points
 from tickloom.sources.directory import fetch_series, find_series, write_series
-from tickloom.sources.series import read_blocks, save_points_by_series, write_blocks
+from tickloom.sources.series import (
+    points_in_box,
+    read_blocks,
+    save_points_by_series,
+    write_blocks,
+    write_points_by_place,
+)
 
 from fixtures import frame, point, same_points
 
@@ -132,3 +141,41 @@ def test_stored_points_are_joined_where_they_lie(spark, plain_plans, no_broadcas
         same_points(stored, points)
     finally:
         spark.sql("drop table points_by_series")
+
+
+BOXES = [(-90, 90, -180, 180), (0, 0, 0, 0), (10.5, 11, -3, 40), (-90, -89, 179, 180), (80, 90, 170, -170), (5, 1, 0, 1), (-33, 47.25, -1, 0)]
+
+
+@pytest.mark.parametrize("box", BOXES)
+@pytest.mark.parametrize("ranges", [2, 32])
+def test_boxes_are_covered(spark, box, ranges):
+    rng = random.Random(1)
+    places = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(500)]
+    places += [(float(a), float(b)) for a in box[:2] for b in box[2:]] + [(-90.0, -180.0), (90.0, 180.0), (0.0, 0.0)]
+    rows = spark.createDataFrame(places, "lat double, lon double").withColumn("c", cell(F.col("lat"), F.col("lon"))).collect()
+    found = cover(*box, ranges)
+    assert len(found) <= ranges and all(a <= b for a, b in found) and found == sorted(found)
+    inside = lambda r: box[0] <= r.lat <= box[1] and (
+        box[2] <= r.lon <= box[3] if box[2] <= box[3] else r.lon >= box[2] or r.lon <= box[3]
+    )
+    for r in rows:
+        by_hand = 0
+        y, x = (min(int((v - a) / s * 2**31), 2**31 - 1) for v, a, s in ((r.lat, -90, 180), (r.lon, -180, 360)))
+        for i in range(31):
+            by_hand |= (x >> i & 1) << 2 * i | (y >> i & 1) << 2 * i + 1
+        assert r.c == by_hand
+        assert not inside(r) or any(a <= r.c <= b for a, b in found)
+
+
+def test_boxes_skip_points_elsewhere(spark, plain_plans, tmp_path):
+    path = str(tmp_path / "places")
+    points = event_points(spark, FOLDER)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    write_points_by_place(points, path)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    found = points_in_box(spark, path, 10, 40, 20, 80)
+    found._jdf.queryExecution().toRdd().count()
+    text, read = scans(found)[0]
+    assert "cell" in text[text.index("PushedFilters") :] and 0 < read < 0.5 * points.count()
+    same_points(found, points.where("lat between 10 and 40 and lon between 20 and 80"))
+    assert points_in_box(spark, path, 5, 1, 0, 1).count() == 0

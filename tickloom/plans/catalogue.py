@@ -109,12 +109,14 @@ from tickloom.sources.ranges import range_scan
 from tickloom.sources.series import (
     MIXED_KINDS,
     normalized_sink,
+    points_in_box,
     read_blocks,
     read_points,
     save_points_by_series,
     series_scan,
     write_blocks,
     write_points,
+    write_points_by_place,
 )
 from tickloom.sources.text import read_lines, write_lines, write_update_stream
 
@@ -280,6 +282,14 @@ def stored_block_bounds(spark: SparkSession, folder: str) -> DataFrame:
     return bounds.select("selector", "n_points", "first_tick", "last_tick")
 
 
+@query(P + "select selector, ts, lat, lon, v_double from p where lat between 10.5 and 40 and (lon >= 100 or lon <= -150.5)")
+def points_in_box_query(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_shared_path(spark, "places")
+    write_points_by_place(event_points(spark, folder), path)
+    points = points_in_box(spark, path, 10.5, 40.0, 100.0, -150.5)
+    return with_selector(points).select("selector", "ts", "lat", "lon", "v_double")
+
+
 @query(
     P
     + f"""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.geo import cell, cover
 from tickloom.functions.selectors import selector_condition
 from tickloom.functions.timeunits import floor_div
 from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, SERIES_KEY, with_selector, with_series_key
@@ -39,6 +41,33 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_points_by_place(points: DataFrame, path: str) -> None:
+    """Write points in the order of their ``cell``, so that ``points_in_box`` reads what lies near a box."""
+    placed = with_series_key(points).withColumn("cell", cell(F.col("lat"), F.col("lon")))
+    columns = [n for n in placed.columns if n in (*POINTS_SCHEMA.fieldNames(), "label_key", "cell")]
+    placed.select(*columns).repartitionByRange("cell", "ts").sortWithinPartitions("cell", "ts").write.parquet(path)
+
+
+def points_in_box(
+    spark: SparkSession, path: str, lat_min: float, lat_max: float, lon_min: float, lon_max: float
+) -> DataFrame:
+    """Points of ``write_points_by_place`` in a box, its edges included.
+
+    A box from a larger to a smaller longitude goes over the 180th meridian. Ranges of cells that cover
+    the box reach the scan; the coordinates then decide.
+    """
+    ranges = cover(lat_min, lat_max, lon_min, lon_max)
+    points = spark.read.parquet(path)
+    if not ranges:
+        return points.where("false")
+    near = reduce(or_, [F.col("cell").between(low, high) for low, high in ranges])
+    if lon_min <= lon_max:
+        in_lon = F.col("lon").between(lon_min, lon_max)
+    else:
+        in_lon = (F.col("lon") >= lon_min) | (F.col("lon") <= lon_max)
+    return points.where(near & F.col("lat").between(lat_min, lat_max) & in_lon)
+
+
 def save_points_by_series(points: DataFrame, table: str, path: str, buckets: int) -> None:
     """Save points as a table whose files hold whole series, dealt into ``buckets`` by series key.
 

@@ -1,5 +1,6 @@
 """Sources, sinks and streams."""
 
+import os
 import zipfile
 from urllib.parse import quote
 
@@ -11,7 +12,7 @@ from tickloom.operators.blocks import pack_points, unpack_points
 from tickloom.operators.dump import dump_text
 from tickloom.operators.parse import good_points, parse_lines
 from tickloom.operators.select import select_series
-from tickloom.session import materialise, new_shared_path, shared_dir
+from tickloom.session import materialise, new_shared_path, removing_tables, shared_dir
 from tickloom.sources.files import (
     archive_entries,
     archive_index,
@@ -236,6 +237,16 @@ def test_materialised_tables_are_in_the_shared_folder(spark):
     assert table.count() == 5 and table.inputFiles()[0].startswith(f"file://{shared_dir(spark)}")
 
 
+def test_tables_can_be_removed_when_their_results_are_used(spark):
+    kept = materialise(spark.range(3))
+    with removing_tables(spark):
+        gone = materialise(spark.range(5))
+        folder = gone.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert gone.count() == 5 and os.path.isdir(folder)
+        new_shared_path(spark, "never-written")
+    assert not os.path.exists(folder) and kept.count() == 3
+
+
 def test_row_operators_run_on_streams(spark, points, tmp_path):
     """Reading, selecting and writing lines needs no state, so it streams as it is."""
     source, target = str(tmp_path / "in"), str(tmp_path / "out")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,8 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_shared_dir
 
 
+_named: list[str] = []
+
+
 def new_shared_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark)}/tickloom/{kind}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tickloom/{kind}-{uuid.uuid4().hex}"
+    _named.append(path)
+    return path
+
+
+@contextmanager
+def removing_tables(spark: SparkSession) -> Iterator[None]:
+    """Within, results are used up; what was written to the shared folder for them goes at the end.
+
+    Only paths named within are removed, so results made before stay readable, and tables of
+    other sessions are not touched.
+    """
+    before = len(_named)
+    try:
+        yield
+    finally:
+        named, _named[before:] = _named[before:], []
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, named):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

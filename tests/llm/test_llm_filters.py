@@ -356,6 +356,29 @@ def test_awkward_documents(spark, make):
     assert secrets.scan(docs).count() == n
     redacted = secrets.redact(docs)
     assert redacted.schema.simpleString() == docs.schema.simpleString() and redacted.count() == n
+
+
+@pytest.mark.parametrize("make", [awkward, empty])
+@pytest.mark.parametrize("table_bytes", [decontamination.TABLE_BYTES, -1])
+def test_decontamination_of_awkward_documents(spark, monkeypatch, make, table_bytes):
+    monkeypatch.setattr(decontamination, "TABLE_BYTES", table_bytes)
+    docs = make(spark)
+    n = docs.count()
+    benchmark = spark.createDataFrame([(1, prose(2, 20))], "item_id long, text string")
     kept = decontamination.drop_contaminated(docs, benchmark)
-    assert kept.columns == docs.columns and kept.count() == max(0, n - 3)
+    assert kept.schema.simpleString() == docs.schema.simpleString() and kept.count() == max(0, n - 3)
     assert decontamination.drop_contaminated(docs, benchmark.where("false")).count() == n
+
+
+def test_a_large_benchmark_is_not_collected(spark, monkeypatch):
+    """Only shift tables of a fixed size are broadcast; few slots let more stop, and change no row."""
+    monkeypatch.setattr(decontamination, "SPREAD", 3)
+    docs = frame(spark, [(i, prose(i % 7, 60), "en", "a", 0) for i in range(30)])
+    benchmark = spark.createDataFrame([(i, prose(i, 25)) for i in range(5)], "item_id long, text string")
+    columns = ["row.doc_id", "n_words", "hits", "items"]
+    expected = sorted(decontamination.find_benchmark(docs, benchmark).select(*columns).collect())
+    assert sum(bool(r.hits) for r in expected) > 10
+    monkeypatch.setattr(decontamination, "TABLE_BYTES", 0)
+    for slots in (1 << 20, 4):
+        monkeypatch.setattr(decontamination, "SLOTS", slots)
+        assert sorted(decontamination.find_benchmark(docs, benchmark).select(*columns).collect()) == expected

@@ -168,10 +168,13 @@ def _joined(docs: DataFrame, texts: DataFrame, carry: list[str] | None) -> DataF
         F.collect_set(F.struct("first", "n")).alias("spans"), F.collect_set("of_items").alias("lists")
     )
     every = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["first"] + s["n"] - 1)))
-    found = found.select(
-        "digest",
-        F.array_sort(F.array_distinct(every)).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten("lists"))).alias("items"),
+    # Written, so that the join reads two shuffles and adaptive execution can split copies of one text.
+    found = materialise(
+        found.select(
+            "digest",
+            F.array_sort(F.array_distinct(every)).alias("hits"),
+            F.array_sort(F.array_distinct(F.flatten("lists"))).alias("items"),
+        )
     )
     text = F.col("text").cast("string")
     rows = docs.select(

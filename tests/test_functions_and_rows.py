@@ -1,11 +1,14 @@
 """Selectors, stacks, nested conversions and user functions."""
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.expressions import read_expressions
+from tickloom.functions.ids import text_id, with_series_ids
+from tickloom.functions.keyed import keyed_id
 from tickloom.functions.portable import (
     add,
     columns_from_portable,
@@ -24,7 +27,13 @@ from tickloom.functions.stack import (
     stack_to_struct,
 )
 from tickloom.model import SERIES_KEY
-from tickloom.operators.rows import apply_exprs, apply_per_series, generate_rows, map_rows
+from tickloom.operators.rows import (
+    apply_exprs,
+    apply_per_series,
+    generate_from_series,
+    generate_rows,
+    map_rows,
+)
 from tickloom.operators.select import filter_by_metadata, select_series
 
 from fixtures import frame, point
@@ -228,3 +237,108 @@ def test_generate_rows(spark):
 
     rows = generate_rows(spark.range(4), UpTo, F.col("id")).collect()
     assert sorted((r["id"], r["n"]) for r in rows) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (3, 2)]
+
+
+@pytest.mark.parametrize("batch_rows", [7, 10_000])
+def test_generate_from_series(spark, batch_rows):
+    @F.arrow_udtf(returnType="class string, n bigint, first bigint, last bigint")
+    class Gaps:
+        """Steps between ticks in order, also over the bound of two batches."""
+
+        def __init__(self):
+            self.ticks, self.name = [], None
+
+        def eval(self, points: pa.RecordBatch):
+            self.name = points.column("class")[0].as_py()
+            self.ticks += points.column("ts").to_pylist()
+            yield pa.table({"class": [], "n": [], "first": [], "last": []}, schema=KINDS)
+
+        def terminate(self):
+            assert self.ticks == sorted(self.ticks)
+            yield pa.table([[self.name], [len(self.ticks)], self.ticks[:1], self.ticks[-1:]], schema=KINDS)
+
+    KINDS = pa.schema([("class", pa.string()), ("n", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+    points = frame(
+        spark, *[point("hot", ts=t * 37 % 50, v_long=t) for t in range(50)], point("cold", ts=-1, v_long=3)
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        got = {tuple(r) for r in generate_from_series(points, Gaps).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {("hot", 50, 0, 49), ("cold", 1, -1, -1)}
+
+
+def sip_by_hand(key, content):
+    """SipHash-2-4 on whole numbers, after the paper."""
+    full = (1 << 64) - 1
+    k = [int.from_bytes(key[i : i + 8], "little") for i in (0, 8)]
+    names = b"somepseudorandomlygeneratedbytes"
+    v = [int.from_bytes(names[8 * i : 8 * i + 8], "big") ^ k[i % 2] for i in range(4)]
+
+    def turn(i, bits):
+        v[i] = (v[i] << bits | v[i] >> (64 - bits)) & full
+
+    def round_():
+        for a, b, c, d, x, y in ((0, 1, 2, 3, 13, 16), (2, 1, 0, 3, 17, 21)):
+            v[a], v[c] = (v[a] + v[b]) & full, (v[c] + v[d]) & full
+            turn(b, x), turn(d, y)
+            v[b], v[d] = v[b] ^ v[a], v[d] ^ v[c]
+            turn(a, 32)
+
+    padded = content + bytes(7 - len(content) % 8) + bytes([len(content) % 256])
+    for i in range(0, len(padded), 8):
+        word = int.from_bytes(padded[i : i + 8], "little")
+        v[3] ^= word
+        round_(), round_()
+        v[0] ^= word
+    v[2] ^= 255
+    for _ in range(4):
+        round_()
+    return v[0] ^ v[1] ^ v[2] ^ v[3]
+
+
+# The published results for the key 00..0f and the contents of 0 to 15 bytes 00, 01, ...
+SIP_VECTORS = """
+310e0edd47db6f72 fd67dc93c539f874 5a4fa9d909806c0d 2d7efbd796666785 b7877127e09427cf 8da699cd64557618
+cee3fe586e46c9cb 37d1018bf50002ab 6224939a79f5f593 b0e4a90bdf82009e f3b9dd94c5bb5d7a a7ad6b22462fb3f4
+fbe50e86bc8f1e75 903d84c02756ea14 eef27a8e90ca23f7 e545be4961ca29a1
+""".split()
+
+
+def test_keyed_id_of_published_vectors(spark):
+    key = bytes(range(16))
+    contents = [bytes(range(n)) for n in range(len(SIP_VECTORS))]
+    rows = spark.createDataFrame([(c,) for c in contents], "c binary")
+    got = {bytes(r["c"]): r["id"] for r in rows.select("c", keyed_id("c", key).alias("id")).collect()}
+    assert [(got[c] % (1 << 64)).to_bytes(8, "little").hex() for c in contents] == SIP_VECTORS
+
+
+def test_keyed_id_of_texts(spark):
+    texts = ["", "a", "é", "\x00", "twelve bytes", "日本語" * 9, "x" * 255, "y" * 256, "z" * 5000, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for key in (b"\xff" * 16, b"0123456789abcdef"):
+        got = {r["t"]: r["id"] for r in rows.select("t", keyed_id("t", key).alias("id")).collect()}
+        assert got.pop(None) is None
+        assert {t: i % (1 << 64) for t, i in got.items()} == {t: sip_by_hand(key, t.encode()) for t in got}
+    with pytest.raises(ValueError, match="16 bytes"):
+        keyed_id("t", b"short")
+
+
+def test_ids_and_stacks_under_a_key(spark, series):
+    key = b"0123456789abcdef"
+    for row in with_series_ids(series, key).collect():
+        assert row["class_id"] % (1 << 64) == sip_by_hand(key, row["class"].encode())
+        assert row["labels_id"] % (1 << 64) == sip_by_hand(key, row["label_key"].encode())
+    stack = levelled_stack(*[F.lit(t) for t in "edcba"])
+    same_level = F.transform(stack, lambda e: F.struct(F.lit(1).alias("level"), e["obj"].alias("obj")))
+    orders = [stack_order(same_level, key), stack_order(same_level)]
+    keyed, plain = spark.range(1).select(*[F.transform(o, lambda e: e["obj"]) for o in orders]).first()
+
+    def signed(text):
+        value = sip_by_hand(key, text.encode())
+        return value - (1 << 64) if value >> 63 else value
+
+    assert keyed == sorted("abcde", key=signed)
+    by_id = spark.createDataFrame([(t,) for t in "abcde"], "t string").sort(text_id("t"))
+    assert plain == [r["t"] for r in by_id.collect()]

@@ -1,10 +1,11 @@
-"""Deterministic 60-bit ids of text."""
+"""Deterministic ids of text: of 60 bits for everybody, or of 64 bits under a key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.keyed import keyed_id
 from tickloom.model import with_series_key
 
 
@@ -14,12 +15,13 @@ def text_id(text: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
-def with_series_ids(df: DataFrame) -> DataFrame:
-    """Add ``class_id`` and ``labels_id``.
+def with_series_ids(df: DataFrame, key: bytes | None = None) -> DataFrame:
+    """Add ``class_id`` and ``labels_id``, under a ``key`` of 16 bytes if there is one.
 
     Equal labels give equal ids whatever the class. Ids can collide, so joins
     use them together with the series key.
     """
+    ids = {"class_id": "class", "labels_id": "label_key"}
     return with_series_key(df).withColumns(
-        {"class_id": text_id("class"), "labels_id": text_id("label_key")}
+        {name: text_id(of) if key is None else keyed_id(of, key) for name, of in ids.items()}
     )

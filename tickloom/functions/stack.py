@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.ids import text_id
+from tickloom.functions.keyed import keyed_id
 
 
 def stack_to_struct(*values: Column) -> Column:
@@ -43,8 +44,8 @@ def stack_get(stack: Column, index: Column | int) -> Column:
     return F.try_element_at(F.filter(stack, lambda e: e["level"] == index), F.lit(1))
 
 
-def stack_order(stack: Column) -> Column:
-    """Stack elements by level, then by the id of the object.
+def stack_order(stack: Column, key: bytes | None = None) -> Column:
+    """Stack elements by level, then by the id of the object, under a ``key`` if there is one.
 
     A negative level or an element without an object fails the query.
     """
@@ -53,6 +54,7 @@ def stack_order(stack: Column) -> Column:
             e["level"].isNull() | e["obj"].isNull(), "stack element without level or object"
         )
         level = F.when(problem.isNull(), e["level"]).otherwise(F.raise_error(problem).cast("int"))
-        return F.struct(level.alias("level"), text_id(e["obj"]).alias("id"), e["obj"].alias("obj"))
+        id = text_id(e["obj"]) if key is None else keyed_id(e["obj"], key)
+        return F.struct(level.alias("level"), id.alias("id"), e["obj"].alias("obj"))
 
     return F.array_sort(F.transform(stack, place))

@@ -82,3 +82,15 @@ def generate_rows(df: DataFrame, generator: Callable[..., Any], *arguments: Colu
     ``explode`` fits, use that instead.
     """
     return df.lateralJoin(generator(*[argument.outer() for argument in arguments]))
+
+
+def generate_from_series(points: DataFrame, generator: Callable[..., Any]) -> DataFrame:
+    """Rows an Arrow table function makes from the points of each series, in the order of ticks.
+
+    ``generator`` is made with ``pyspark.sql.functions.arrow_udtf``, whose ``returnType`` gives the
+    columns (Spark 4.1 knows no ``analyze`` there). For each series a new instance gets the points
+    batch by batch in ``eval``, and ``terminate`` ends it; what is kept between batches is up to the
+    instance. A series is one task; see ``apply_to_segments`` for large ones.
+    """
+    keyed = with_series_key(points)
+    return generator(keyed.asTable().partitionBy(*SERIES_KEY).orderBy("ts"))

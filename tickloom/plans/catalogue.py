@@ -10,6 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,7 +80,7 @@ from tickloom.operators.joins import (
 )
 from tickloom.operators.parse import parse_lines, parse_stream, strict_points
 from tickloom.operators.ordering import with_rank
-from tickloom.operators.rows import apply_exprs, apply_per_series, generate_rows, map_rows
+from tickloom.operators.rows import apply_exprs, apply_per_series, generate_from_series, map_rows
 from tickloom.operators.segments import SegmentFunction, apply_to_segments
 from tickloom.operators.select import filter_by_metadata, select_series
 from tickloom.plans.events import event_points, read_table
@@ -123,6 +124,7 @@ from tickloom.sources.text import read_lines, write_lines, write_update_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+
 @dataclass(frozen=True)
 class Entry:
     run: Query
@@ -689,6 +691,63 @@ def series_ids(spark: SparkSession, folder: str) -> DataFrame:
     return with_selector(with_series_ids(series)).select("selector", "class_id", "labels_id")
 
 
+def _sip_sum(a: str, b: str) -> str:
+    return f"(({a}::hugeint + {b}::hugeint) % {1 << 64})::ubigint"
+
+
+def _sip_turn(a: str, bits: int) -> str:
+    return f"(({a}::hugeint * {1 << bits}) % {1 << 64})::ubigint | ({a} >> {64 - bits})"
+
+
+def _keyed_ids_sql(key: bytes) -> str:
+    """Ids of class and labels under a key: a step of the recursion is a round over all texts at once."""
+    low, high = (int.from_bytes(key[i : i + 8], "little") for i in (0, 8))
+    start = [int.from_bytes(text, "big") for text in (b"somepseu", b"dorandom", b"lygenera", b"tedbytes")]
+    v = [f"{word ^ (high if i % 2 else low)}::ubigint as v{i}" for i, word in enumerate(start)]
+    digits = "h || repeat('00', (7 - n % 8)::int) || lpad(to_hex(n % 256), 2, '0')"
+    pairs = " || ".join(f"substr(d, (w * 16 + {2 * i + 1})::int, 2)" for i in reversed(range(8)))
+    return f"""
+    , texts as (select class as text from p union select lk from p),
+    bytes as (select text, hex(encode(text)) as h, octet_length(encode(text)) as n from texts),
+    padded as (select text, n // 8 + 1 as n_words, {digits} as d from bytes),
+    split as (select text, d, n_words, unnest(range(n_words)) as w from padded),
+    words as (select text, w, ('0x' || {pairs})::ubigint as m from split),
+    state as (
+      select text, n_words, 0::bigint as step, {", ".join(v)} from padded
+      union all
+      select text, n_words, step + 1, xor(a, after) as v0, v1, {_sip_turn("c", 32)} as v2, v3 from (
+        select text, n_words, step, after, a, c, xor({_sip_turn("v3", 21)}, a) as v3,
+               xor({_sip_turn("v1", 17)}, c) as v1 from (
+          select text, n_words, step, after, v1, v3, {_sip_sum("v0", "v3")} as a, {_sip_sum("v2", "v1")} as c from (
+            select text, n_words, step, after, {_sip_turn("a", 32)} as v0, c as v2,
+                   xor({_sip_turn("v1", 13)}, a) as v1, xor({_sip_turn("v3", 16)}, c) as v3 from (
+              select *, {_sip_sum("v0", "v1")} as a, {_sip_sum("v2", "v3")} as c from (
+                select s.text, n_words, step, v0, v1,
+                       case when step = 2 * n_words then xor(v2, 255::ubigint) else v2 end as v2,
+                       case when step % 2 = 0 then xor(v3, coalesce(m, 0::ubigint)) else v3 end as v3,
+                       case when step % 2 = 1 then coalesce(m, 0::ubigint) else 0::ubigint end as after
+                from state s left join words w on w.text = s.text and w.w = step // 2
+                where step < 2 * n_words + 4)))))
+    ),
+    ids as (
+      select text, xor(xor(v0, v1), xor(v2, v3))::hugeint as id from state where step = 2 * n_words + 4
+    ),
+    signed as (select text, (case when id >= {1 << 63} then id - {1 << 64} else id end)::bigint as id from ids)
+    select distinct selector, c.id as class_id, l.id as labels_id
+    from p join signed c on c.text = p.class join signed l on l.text = p.lk
+    """
+
+
+#: For the queries only; a real key is kept secret.
+SAMPLE_KEY = bytes(range(16))
+
+
+@query(P.replace("with", "with recursive", 1) + _keyed_ids_sql(SAMPLE_KEY))
+def keyed_series_ids(spark: SparkSession, folder: str) -> DataFrame:
+    series = event_points(spark, folder).select(*SERIES_KEY).distinct()
+    return with_selector(with_series_ids(series, SAMPLE_KEY)).select("selector", "class_id", "labels_id")
+
+
 @query(P + "select event_id, selector from p")
 def series_selector(spark: SparkSession, folder: str) -> DataFrame:
     return event_points(spark, folder).select("event_id", selector_text().alias("selector"))
@@ -1464,22 +1523,25 @@ def sessions_by_segments(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def generate_rows_query(spark: SparkSession, folder: str) -> DataFrame:
-    @F.udtf(returnType="day bigint")
+    @F.arrow_udtf(returnType="class string, label_key string, day bigint")
     class ServiceDays:
-        """Days of a calendar that only Python code knows."""
+        """Days from the first to the last tick of a series, by a calendar that only Python code knows."""
 
-        def eval(self, first: int, last: int):
-            for day in range(first, last + 1):
-                if day % 7 in (1, 4):
-                    yield (day,)
+        def __init__(self):
+            self.next_day = None
 
-    bounds = with_selector(series_bounds(event_points(spark, folder))).select(
-        "selector",
-        floor_div(F.col("first_tick"), DAY).alias("first_day"),
-        floor_div(F.col("last_tick"), DAY).alias("last_day"),
-    )
-    days = generate_rows(bounds, ServiceDays, F.col("first_day"), F.col("last_day"))
-    return days.select("selector", "day")
+        def eval(self, points: pa.RecordBatch) -> Iterator[pa.Table]:
+            ticks = points.column("ts").to_numpy()
+            first, last = ticks[0] // DAY, ticks[-1] // DAY
+            days = np.arange(first if self.next_day is None else self.next_day, last + 1)
+            self.next_day = last + 1
+            days = days[np.isin(days % 7, (1, 4))]
+            key = {name: pa.array([points.column(name)[0].as_py()] * len(days), pa.string()) for name in SERIES_KEY}
+            yield pa.table(key | {"day": pa.array(days, pa.int64())})
+
+    points = event_points(spark, folder).select(*SERIES_KEY, "ts")
+    days = generate_from_series(points, ServiceDays)
+    return with_selector(days).select("selector", "day")
 
 
 def _public_name(name: str) -> str:

@@ -320,6 +320,16 @@ def test_bags_are_filled_one_after_the_other(spark, partitions, rows_per_bag):
     assert contents[0] == contents[1]
 
 
+def test_bags_of_rows_that_differ_only_in_a_map(spark):
+    rows = [(1, {"a": i, "b": -i} if i % 2 else {"b": -i, "a": i}) for i in range(40)]
+    made = []
+    for listed, n in ((rows, 1), (rows[::-1], 8)):
+        turned = [(k, dict(reversed(m.items()))) if n == 8 else (k, m) for k, m in listed]
+        bags = bag_by_key(spark.createDataFrame(turned, "k int, m map<string,int>").repartition(n), ["k"], rows_per_bag=7)
+        made.append({r["part"]: sorted(e["m"]["a"] for e in r["bag"]) for r in bags.collect()})
+    assert made[0] == made[1] and [len(made[0][p]) for p in range(6)] == [7, 7, 7, 7, 7, 5]
+
+
 @pytest.mark.parametrize("rows_per_bag", [10, 1000])
 def test_cogroup_keeps_every_row_once(spark, rows_per_bag):
     left = [(1, v) for v in range(50)] + [(2, 0)]

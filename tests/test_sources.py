@@ -118,6 +118,16 @@ def test_normalize_mixed(spark, points, tmp_path):
     assert stored.where("count > 4").isEmpty()
     same_points(unpack_points(stored), points)
 
+    bad = items.union(spark.createDataFrame([(("no line", None, None),)], items.schema))
+    with pytest.raises(Exception, match="malformed line: no line"):
+        normalize_mixed(bad).count()
+    same_points(normalize_mixed(bad, strict=False), points)
+    # The items are read once, whatever kinds they hold.
+    stored_items = str(tmp_path / "items")
+    items.write.parquet(stored_items)
+    plan = normalize_mixed(spark.read.parquet(stored_items))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
     no_line = spark.createDataFrame([("bm90IGEgbGluZQ",)], "item string")
     with pytest.raises(Exception, match="malformed line"):
         normalize_mixed(no_line).count()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tickloom.functions.ids import with_series_ids
 from tickloom.functions.timeunits import floor_div
@@ -81,11 +82,18 @@ def bag_by_key(
 
     The rows of a key fill bags one after the other, numbered by ``part`` from 0,
     in an order that their content decides; how the table is stored does not
-    matter. Maps cannot be compared and do not take part in the order.
+    matter. Columns that hold maps inside other values do not take part in the order.
     """
     if rows_per_bag < 1:
         raise ValueError("rows_per_bag must be at least 1")
-    content = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    content = []
+    for field in df.schema:
+        value, inner = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(inner, MapType):
+            # Equal maps may list their entries in any order.
+            value, inner = F.array_sort(F.map_entries(value)), inner.valueType
+        if "map<" not in inner.simpleString():
+            content.append(value)
     row = F.struct(*[c for c in df.columns if c not in keys])
     ranked = with_rank(df, keys, [F.xxhash64(*content)], name="_rank")
     part = floor_div(F.col("_rank") - 1, rows_per_bag)

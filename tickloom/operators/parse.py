@@ -22,8 +22,8 @@ from tickloom.model import POINT_FIELDS, POINTS_SCHEMA, VALUE_FIELDS, empty_stri
 LINE_PLACE = ["file", "block_start", "place"]
 
 
-def _typed(lines: DataFrame, column: str) -> DataFrame:
-    """Lines and their place, plus the parts of each line, typed.
+def _typed(lines: DataFrame, column: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Lines, their place and the columns ``carry``, plus the parts of each line, typed.
 
     ``_bad`` says what is wrong with a line taken by itself. The parts pass through
     a one-element ``inline``, so that conditions put on them later, also those that
@@ -36,7 +36,7 @@ def _typed(lines: DataFrame, column: str) -> DataFrame:
     def part(name: str) -> Column:
         return F.nullif(raw(name), F.lit(""))
 
-    kept = [column, *[name for name in lines.columns if name in LINE_PLACE]]
+    kept = [column, *[name for name in lines.columns if name in LINE_PLACE], *carry]
     named = raw("brace") == "{"
     staged = with_line_parts(lines.select(*kept), column, "_parts").withColumns(
         {
@@ -88,19 +88,19 @@ def _finish(typed: DataFrame, column: str, keep: list[str]) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Points of self-contained lines, with ``line`` and ``problem``.
+def parse_lines(lines: DataFrame, column: str = "line", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Points of self-contained lines, with ``line``, ``problem`` and the columns ``carry`` of the lines.
 
     ``problem`` is null for a good line. Continuation lines are problems here;
     ``parse_stream`` reads them.
     """
-    typed = _typed(lines, column).withColumns(
+    typed = _typed(lines, column, carry).withColumns(
         {
             "class": F.when(~F.col("_mark"), F.col("_class")),
             "labels": F.when(~F.col("_mark"), F.col("_labels")),
         }
     )
-    return _finish(typed, column, [])
+    return _finish(typed, column, list(carry))
 
 
 def parse_stream(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -153,7 +153,13 @@ def rejected_lines(parsed: DataFrame) -> DataFrame:
 
 def strict_points(parsed: DataFrame) -> DataFrame:
     """Points of all lines; the query fails on the first line with a problem."""
+    return parsed.where(is_fine()).drop("line", "problem", *LINE_PLACE)
+
+
+def is_fine() -> Column:
+    """True for a line without a problem; one with a problem fails the query.
+
+    As a condition the check stays whatever columns are used later.
+    """
     failure = F.raise_error(F.concat(F.col("problem"), F.lit(": "), F.col("line")))
-    # As a condition the check stays whatever columns are used later.
-    fine = F.when(F.col("problem").isNull(), True).otherwise(failure.cast("boolean"))
-    return parsed.where(fine).drop("line", "problem", *LINE_PLACE)
+    return F.when(F.col("problem").isNull(), True).otherwise(failure.cast("boolean"))

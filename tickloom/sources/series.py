@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -14,7 +15,7 @@ from tickloom.functions.selectors import selector_condition
 from tickloom.functions.timeunits import floor_div
 from tickloom.model import BLOCKS_SCHEMA, POINTS_SCHEMA, SERIES_KEY, with_selector, with_series_key
 from tickloom.operators.blocks import pack_points, with_statistics
-from tickloom.operators.parse import good_points, parse_lines, strict_points
+from tickloom.operators.parse import good_points, is_fine, parse_lines, strict_points
 
 
 def write_points(points: DataFrame, path: str, bucket_width: int | None = None) -> None:
@@ -138,21 +139,26 @@ def normalize_mixed(items: DataFrame, column: str = "item", strict: bool = True)
     if items.columns != [column]:
         raise ValueError(f"expected the single column {column!r}, got {items.columns}")
     kinds = _kinds(F.col(column), items.schema[column].dataType)
-    parts = []
     texts = [_as_array(kinds[k], k == "line") for k in ("line", "lines") if k in kinds]
-    if texts:
-        parsed = parse_lines(_each(items, texts, "line"))
-        points = strict_points(parsed) if strict else good_points(parsed)
-        parts.append(points.select(*POINTS_SCHEMA.fieldNames()))
     stored = [_as_array(kinds[k], k == "block") for k in ("block", "blocks") if k in kinds]
-    if stored:
-        rows = _each(items, stored, "block").select("block.*")
-        parts.append(
-            rows.select("class", "labels", "attributes", F.inline("points")).select(
-                *POINTS_SCHEMA.fieldNames()
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    if not stored:
+        parsed = parse_lines(_each(items, line=texts))
+        points = strict_points(parsed) if strict else good_points(parsed)
+        return points.select(*POINTS_SCHEMA.fieldNames())
+    head = ["class", "labels", "attributes"]
+    if not texts:
+        blocks = _each(items, block=stored).select("block.*")
+        return blocks.select(*head, F.inline("points")).select(*POINTS_SCHEMA.fieldNames())
+    # Lines and blocks stay rows of one table, so the items are read once: a parsed line is
+    # an array of one point beside the arrays of the blocks.
+    parsed = parse_lines(_each(items, line=texts, block=stored), carry=("block",))
+    is_line = F.col("line").isNotNull()
+    good = is_fine() if strict else F.col("problem").isNull()
+    kind = parsed.schema["block"].dataType["points"].dataType
+    line_points = F.array(F.struct(*[F.col(f.name) for f in kind.elementType.fields])).cast(kind)
+    both = [F.when(is_line, F.col(name)).otherwise(F.col(f"block.{name}")).alias(name) for name in head]
+    every = F.when(is_line, line_points).otherwise(F.col("block.points"))
+    return parsed.where(~is_line | good).select(*both, F.inline(every)).select(*POINTS_SCHEMA.fieldNames())
 
 
 def normalized_sink(
@@ -178,7 +184,16 @@ def _as_array(value: Column, is_single: bool) -> Column:
     return F.array(value) if is_single else value
 
 
-def _each(items: DataFrame, arrays: list[Column], name: str) -> DataFrame:
-    """A row per element that is not null of any of the arrays of an item."""
-    every = F.concat(*[F.coalesce(a, F.array()) for a in arrays]) if len(arrays) > 1 else arrays[0]
-    return items.select(F.explode(every).alias(name)).where(F.col(name).isNotNull())
+def _each(items: DataFrame, **arrays: list[Column]) -> DataFrame:
+    """A row per element that is not null of any of the arrays of an item, under the name of its kind.
+
+    Rows of other kinds are null there.
+    """
+
+    def under(kind: str) -> Callable[[Column], Column]:
+        return lambda value: F.struct(*[(value if n == kind else F.lit(None)).alias(n) for n in arrays])
+
+    rows = [F.transform(array, under(kind)) for kind, of in arrays.items() for array in of]
+    if len(rows) > 1:
+        rows = [F.concat(*[F.coalesce(a, F.array()) for a in rows])]
+    return items.select(F.inline(rows[0])).where(reduce(or_, [F.col(n).isNotNull() for n in arrays]))

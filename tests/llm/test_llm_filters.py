@@ -233,6 +233,32 @@ def test_a_list_of_addresses_is_judged_by_its_neighbours_only(spark):
     assert sum(f"person{chr(97 + i % 26)}{chr(97 + i // 26)}" in hidden for i in range(many)) >= 0.9 * many
 
 
+@pytest.mark.parametrize("most", [3, privacy.MOST_ENTITIES])
+def test_lists_add_to_the_sightings_of_a_pair(spark, monkeypatch, most):
+    """As if every text's words were paired with each of its entities."""
+    rng = random.Random(5)
+    apart = lambda i: f"u{i}@mail.example"
+    texts = [f"{prose(i, 20)} {apart(0)} {prose(50 + i, 20)} Zebulon" for i in range(14)]
+    texts += [f"{prose(100 + i, 30)} {apart(i)}" for i in range(1, 5)]
+    texts.append(" ".join(map(apart, range(5))) + f" {prose(200, 20)}" + " Zebulon" * 20)
+    for i in range(80):
+        some = rng.sample(range(5, 25), rng.randrange(1, 9))
+        named = [f"name{chr(97 + k)}" for k in some for _ in range(rng.randrange(4))]
+        texts.append(f"{' '.join(map(apart, some))} {prose(300 + i, 12)} {' '.join(named)}")
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts + [prose(500 + i, 60) for i in range(400)])])
+
+    def spans():
+        found = privacy.find_personal_data(docs).where("size(base) > 0").collect()
+        return {r["row"]["doc_id"]: (r["row"]["text"], [(s.start, s.end, s.kind) for s in r["spans"]]) for r in found}
+
+    monkeypatch.setattr(privacy, "MOST_ENTITIES", 1000)
+    expected = spans()
+    monkeypatch.setattr(privacy, "MOST_ENTITIES", most)
+    assert spans() == expected
+    text, found = expected[18]
+    assert [kind for start, end, kind in found if text[start:end] == "Zebulon"] == ["general"] * 20
+
+
 def test_weaker_terms_are_generalised(spark):
     twice = f"{prose(1, 20)} Quillon {prose(2, 20)} boss@corp.example {prose(3, 20)} Quillon"
     rows = [(0, twice, "en", "s", 0), *[(10 + i, prose(i, 60), "en", "s", 0) for i in range(200)]]

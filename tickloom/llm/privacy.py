@@ -10,9 +10,10 @@ Beside the entity (within ``NEAR`` code points) a name may be met once, so the s
 there counts as it is, smoothed by half a sighting. Words that merely stand in the same text are held
 against their rate elsewhere: p is the lower end of Wilson's interval of the share of sightings in the entity's
 texts, so a word met once, as most words are, reveals nothing, and one met again and again there
-and nowhere else does. A text in which several entities stand is shared among them; with more than
-``MOST_ENTITIES`` it is a list, where distance says nothing of any, and only neighbours count. So pairs of
-term and entity grow with the text.
+and nowhere else does. A text in which several entities stand is shared among them. With more than
+``MOST_ENTITIES`` it is a list, which gives each of them so small a share that a pair met in lists only
+never discloses: pairs are made from the other texts, and lists add what they hold of these. So pairs of
+term and entity grow with the text, and every text counts.
 
 A term that loses at most ``REMOVED`` bits is removed, one that loses at most ``GENERALISED`` is
 replaced by a mark, wherever it stands in the texts of that entity. Both are bits below the
@@ -39,7 +40,8 @@ NEAR = 48
 PRIOR = 0.5
 #: Standard deviations by which a share is taken lower for words that are not beside the entity.
 DOUBT = 1.64
-#: Groups of entities among which a text is shared at most.
+#: Groups of entities in a text up to which its words are paired with each; longer texts are lists. A list gives a
+#: pair less than 1 in ``MOST_ENTITIES`` of its sightings, which must be below the share that discloses.
 MOST_ENTITIES = 4
 #: Parts into which the texts of an entity are dealt where they are joined by entity.
 SALTS = 16
@@ -211,25 +213,47 @@ def disclosing_spans(entities: DataFrame, docs: DataFrame) -> DataFrame:
     # The lower end for n of n sightings is n / (n + DOUBT ** 2), so fewer do not disclose.
     least = DOUBT * DOUBT / (2**GENERALISED - 1)
     shared = groups.groupBy("text_hash").agg(F.count("*").alias("among"))
-    few = shared.where(F.col("among") <= MOST_ENTITIES)
-    words = texts.join(few, "text_hash").select("text_hash", "among", F.explode(_term_hashes(F.col("text"))).alias("term"))
-    apart = (
-        words.groupBy("text_hash", "among", "term")
+    members = groups.select("text_hash", "group").join(shared, "text_hash")
+    is_list = F.col("among") > MOST_ENTITIES
+    in_lists = members.where(is_list).select("group", F.lit(True).alias("in_list")).distinct()
+    words = (
+        texts.join(shared, "text_hash")
+        .select("text_hash", "among", F.explode(_term_hashes(F.col("text"))).alias("term"))
+        .groupBy("text_hash", "among", "term")
         .agg(F.count("*").alias("n"))
+    )
+    apart = (
+        words.where(~is_list)
         .join(groups.select("text_hash", "group"), "text_hash")
         .groupBy("group", "term")
-        .agg(F.sum(F.col("n") / F.col("among")).alias("n"))
-        .where(F.col("n") >= least)
+        .agg(F.sum(F.col("n") / F.col("among")).alias("n"), F.sum("n").alias("held"))
+        .join(in_lists, "group", "left")
+        .where((F.col("n") >= least) | F.col("in_list"))
     )
-    seen = beside.withColumn("beside", F.lit(True)).select("group", "term", F.col("n").cast("double"), "beside").union(
-        apart.select("group", "term", "n", F.lit(False))
+    none = [F.lit(None).cast("long").alias("held"), F.lit(None).cast("boolean").alias("in_list")]
+    seen = beside.select("group", "term", F.col("n").cast("double"), *none, F.lit(True).alias("beside")).union(
+        apart.select("group", "term", "n", "held", "in_list", F.lit(False))
     )
     share = F.when(F.col("beside"), (F.col("n") + PRIOR) / (F.col("n_t") + PRIOR)).otherwise(
         _lower_share(F.least("n", "n_t"), F.col("n_t"))
     )
     lost = -F.log2(share)
+    # Sightings that are not in the texts so far are in lists at most. What lists cannot lift over the bounds
+    # goes here, so that a term is left in pairs with few entities.
+    lifted = F.col("n") + (F.col("n_t") - F.col("held")) / (MOST_ENTITIES + 1)
+    liftable = F.col("in_list") & (lifted >= least) & (lifted >= F.col("n_t") * 2**-GENERALISED)
+    pairs = materialise(seen.join(of_term, "term").where((lost <= GENERALISED) | F.coalesce(liftable, F.lit(False))))
+    from_lists = (
+        pairs.where("in_list")
+        .select("group", "term")
+        .join(words.where(is_list), "term")
+        .join(members.where(is_list).select("text_hash", "group"), ["text_hash", "group"])
+        .groupBy("group", "term")
+        .agg(F.sum(F.col("n") / F.col("among")).alias("more"))
+    )
     revealing = (
-        seen.join(of_term, "term")
+        pairs.join(from_lists, ["group", "term"], "left")
+        .withColumn("n", F.when(F.col("beside"), F.col("n")).otherwise(F.col("n") + F.coalesce("more", F.lit(0.0))))
         .where(lost <= GENERALISED)
         .groupBy("group", "term")
         .agg(F.min(lost).alias("lost"))

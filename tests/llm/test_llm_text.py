@@ -263,6 +263,26 @@ def test_long_dialogues_come_in_parts_by_bytes(spark, step, turns_per_part):
     assert [r.part for r in late] == [len(sizes) - 1]
 
 
+def test_parts_of_silent_participants_can_be_kept(spark):
+    said = [("system", "be kind"), ("ann", "one"), ("bob", "two"), ("system", "three"), ("system", "four"), ("ann", "five")]
+    rows = [(c, i, role, text) for c in (1, None) for i, (role, text) in enumerate(said)] + [(2, 0, "system", "only")]
+    frame_ = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    # Parts: the instructions, "one", "two" with "three", "four" alone, "five".
+    got = rotate(frame_, 73, silent=True).collect()
+    assert sorted((r.conv_id or 0, r.perspective, r.part) for r in got) == [
+        (c, side, part) for c in (0, 1) for side in ("ann", "bob") for part in sorted({r.part for r in got})
+    ]
+    for conv in (1, None):
+        for side in ("ann", "bob"):
+            own = sorted((r for r in got if (r.conv_id, r.perspective) == (conv, side)), key=lambda r: r.part)
+            texts = re.findall(r"\n(\w+)<", "".join(r.text for r in own))
+            assert texts == ["one", "two", "three", "four", "five"] and sum(r.n_turns for r in own) == len(said)
+    assert any(r["mask"] == "" and r.n_masked == 0 for r in got)
+    speaking = {tuple(r) for r in got if r["mask"]}
+    assert speaking == {tuple(r) for r in rotate(frame_, 73).collect()} and len(speaking) < len(got)
+    assert not any("four" in r.text for r in got if r["mask"])
+
+
 def test_turns_of_any_length_and_awkward_rows(spark):
     schema = "conv_id long, turn long, role string, text string, part string, said string, sides string, of string"
     rows = [(1, 0, "a", "x" * 700_000), (1, 1, "b", "y"), (1, None, "a", "z"), (None, None, None, None), (None, None, None, None)]

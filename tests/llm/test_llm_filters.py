@@ -40,6 +40,16 @@ def test_quality_counts_match_brute_force(spark):
         assert tuple(r["features"][n] for n in quality.COUNTS) == counts(r["text"]), r["text"]
 
 
+def test_no_lambda_runs_for_each_line_or_split_word(spark):
+    """Memory beside the heap can't be seen here; interpreted filters of all words and lines can, in the plan."""
+    texts = [" \n" * 20_000, " \t" * 20_000 + "\nx\r\ny \n\x0b\nx\r\n\u2028\n\u0085\n\u0085", "\r\rx\ny\r\ny\r", "a\n \na"]
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    measured = docs.select("text", quality.features(F.col("text")).alias("f"))
+    for r in measured.collect():
+        assert tuple(r["f"][n] for n in quality.COUNTS) == counts(r["text"]), r["text"][-40:]
+    assert "filter(split(" not in measured._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_quality_fences_reject_outliers_only(spark):
     rows = [(i, prose(i, 90), "en", f"s{i % 3}", 0) for i in range(150)]
     rows += [(1000 + i, prose(i, 90).replace(" ", "### "), "en", "s0", 0) for i in range(5)]

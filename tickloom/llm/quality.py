@@ -41,6 +41,9 @@ RULES = {
 #: Ratios that are also too small below the lower fence.
 TWO_SIDED = ("word_length",)
 
+#: Matched at line starts only, so that a long line of white space fails once.
+LINE_WITH_WORD = "(?<![^\\n])[\\x20\\x09\\x0B-\\x0D]*+[^\\x20\\x09-\\x0D][^\\n]*+"
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -93,7 +96,6 @@ def features(text: Column) -> Column:
     Ratios of a text without words are null.
     """
     value = F.coalesce(text, F.lit(""))
-    has_word = lambda line: F.length(F.translate(line, WHITE_SPACE, "")) > 0
 
     def counts(words: Column, lines: Column) -> Column:
         plain_length = F.length(F.translate(value, WHITE_SPACE, ""))
@@ -106,8 +108,9 @@ def features(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
         )
 
-    words = F.filter(F.split(value, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
-    lines = F.filter(F.split(value, "\\n", -1), has_word)
+    # No lambdas: these run for each word and line, and interpreted trees cost the executor memory beside its heap.
+    words = F.array_remove(F.split(value, "[\\x20\\x09-\\x0D]+", -1), "")
+    lines = F.regexp_extract_all(value, F.lit(LINE_WITH_WORD), 0)
     counted = let(words, lambda w: let(lines, lambda ls: counts(w, ls)))
 
     def with_ratios(c: Column) -> Column:
